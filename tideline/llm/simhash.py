@@ -110,7 +110,8 @@ def _keys() -> Column:
 
 def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(a, b) edges over ids of distinct fingerprints (id, fp); each close pair is joined by a path of them, and only close ones are joined."""
-    keyed = save(pivot_table(fps).withColumn("key", F.explode(_keys())), "keyed")
+    table = save(pivot_table(fps).withColumn("keys", _keys()), "pivots")
+    keyed = table.select("id", "fp", "near", F.explode("keys").alias("key"))
     counts = keyed.groupBy("key").count().where("count > 1")
     met = save(keyed.join(counts, "key"), "met")
 
