@@ -38,7 +38,7 @@ FOREVER = 1 << 40
 class ByteBPE:
     """A vocabulary of byte strings with merge ranks; ranks are the ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 250_000):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern)
