@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, chat, exact_dedup, langid, mixing, quality, simhash, tokcount, topk
+from tideline.llm import bpe, chat, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, tokcount, topk
 from tideline.llm.common import table
 
 try:  # vocabulary files of public tokenizers, where they are installed
@@ -36,6 +36,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokcount.document_tokens(table(spark, sf_dir, "documents"), ranks, pattern, end_id=50256)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -107,7 +112,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op5_suffix_dedup, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
