@@ -8,12 +8,13 @@ hold no repeated window and go. Equal strings are one, with a count; a string
 that occurs twice is repeated throughout. What is left are different strings
 under one anchor, such as the ends of shared passages.
 
-Those are compared by the suffix order and common prefixes of each task's strings,
-built column by column: each round inserts one symbol of every string, from the
-back, into the collection's Burrows-Wheeler transform and updates the common
-prefixes beside it. A round reads the last round's two columns from front to
-back and writes new ones; large collections keep them in files of the task's
-own. A window is repeated if its suffix shares 200 bytes with a neighbour.
+Those are compared by column-wise construction over each task's strings: each
+round inserts one symbol of every string into the collection's positional
+Burrows-Wheeler transform and updates what neighbours have in common. Equal
+windows lie alike about their anchors, so the strings are aligned by these and a
+round costs no more than its column. A large collection's columns are a file of
+the task's own, read front to back. A window is repeated if, in the round that
+ends it, its string agrees with a neighbour over the last 200 columns.
 
 An anchor under which very many different strings meet (the ends of a passage
 that a large part of all documents share) would be more than a task should hold.
@@ -42,9 +43,11 @@ from tideline.llm.common import save, ship, slices
 WINDOW, GRAM = 200, 32
 BLOCK = 1 << 20
 #: Different strings under one anchor beyond which windows are counted one by one.
-CROWD = 256
-#: Bytes of strings that are put in suffix order together, and symbols beyond which columns are files.
-COLLECTION, IN_MEMORY = 1 << 20, 16 << 20
+CROWD = 50_000
+#: Bytes of strings that are put in order together, and symbols beyond which columns are a file.
+COLLECTION, IN_MEMORY = 4 << 20, 64 << 20
+#: Packing of a run's place: first window, the anchor's offset from it, number of windows.
+_OFFSET, _FIRST = 512, 512 * 512
 _U = np.uint64
 
 
@@ -90,7 +93,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text number, first window, number of windows, anchor hash, hash of the string) of every run of windows with one anchor."""
+    """(text number, first window, anchor's offset from it, number of windows, anchor hash, hash of the string) of every run of windows with one anchor."""
     lengths = np.array([len(t) for t in texts], np.int64)
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     whole = np.frombuffer(b"".join(texts), np.uint8)
@@ -114,104 +117,64 @@ def runs(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np
         text = np.searchsorted(offsets, start + at, "right") - 1
         inside = start + at + window <= offsets[text + 1]
         start, stop, text = start[inside], stop[inside], text[inside]
-        parts.append((text, start + at - offsets[text], stop - start, grams[anchor[start]], second.of(q, start, stop + window - 1) + (stop - start).astype(_U)))
+        parts.append((text, start + at - offsets[text], anchor[start] - start, stop - start, grams[anchor[start]], second.of(q, start, stop + window - 1) + (stop - start).astype(_U)))
     if not parts:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, _U, _U))
     return tuple(map(np.concatenate, zip(*parts)))
 
 
-class Columns:
-    """A round's columns: in memory, or in files of the task's own when large; old ones are dropped."""
+def repeated_windows(strings: list[bytes], anchors: list[int], window: int = WINDOW) -> list[np.ndarray]:
+    """For each string, which of its windows another string has at the same place from its anchor.
 
-    def __init__(self):
-        self.folder, self.files = None, []
-
-    def new(self, size: int, kind) -> np.ndarray:
-        if size * np.dtype(kind).itemsize <= IN_MEMORY:
-            return np.empty(size, kind)
-        if self.folder is None:
-            self.folder = tempfile.mkdtemp(prefix="columns-")
-        fd, name = tempfile.mkstemp(dir=self.folder)
-        os.close(fd)
-        self.files.append(name)
-        while len(self.files) > 6:  # those of earlier rounds; an open map outlives its name
-            os.unlink(self.files.pop(0))
-        return np.memmap(name, kind, "w+", shape=size)
-
-    def close(self) -> None:
-        for f in self.files:
-            os.unlink(f)
-        if self.folder:
-            os.rmdir(self.folder)
-
-
-def repeated_windows(strings: list[bytes], window: int = WINDOW) -> list[np.ndarray]:
-    """For each string, which of its windows are in the collection twice.
-
-    Row r of the columns is the r-th suffix in order; ``bwt`` has the symbol before
-    it (byte + 1; 0 for none) and ``lcp`` what it shares with the row above. Rows
-    0 to n - 1 are the n empty suffixes. The suffix that begins with the symbol
-    before row r comes, among all suffixes, where r's symbol comes among all
-    symbols in order of (symbol, row).
+    The strings are laid under each other by their anchors. Round after round one
+    more column comes in, a symbol of every string: ``order`` sorts the strings by
+    what they hold so far, read from the newest column back (so the symbols, in
+    order, are the column's part of the transform), and ``since`` is the column
+    from which a string agrees with the one before it. A stable sort by the new
+    symbols gives the next order; among equal symbols, strings agree since the
+    latest column among those between them.
     """
-    n, lengths = len(strings), np.array([len(s) for s in strings], np.int64)
-    longest = int(lengths.max(initial=0))
-    # symbols from the back: column j is the j-th last symbol of every string
-    back = np.zeros((longest + 1, n), np.uint16)
-    for i, s in enumerate(strings):
-        back[: len(s), i] = np.frombuffer(s, np.uint8)[::-1].astype(np.uint16) + 1
-    columns = Columns()
-    bwt, lcp, row = back[0].copy(), np.zeros(n, np.uint16), np.arange(n)
+    n, anchors = len(strings), np.array(anchors, np.int64)
+    lengths = np.array([len(s) for s in strings], np.int64)
+    first = int(anchors.max(initial=0)) - anchors  # the column of a string's first byte
+    width = int((first + lengths).max(initial=0))
+    # one row per column; byte + 1 (255 is no byte of UTF-8), 0 where a string is not there
+    columns, done = _array((width, n), np.uint8)
+    marks, marked = _array((width, n), bool)  # by the column in which a window starts
     try:
-        for j in range(1, longest + 1):
-            live = np.flatnonzero(lengths >= j)
-            order = np.argsort(bwt, kind="stable")
-            order = order[np.searchsorted(bwt[order], 1) :]
-            owner = np.full(len(bwt), -1, np.int64)
-            owner[row[live]] = live
-            added = owner[order]
-            fresh = np.flatnonzero(added >= 0)
-            who = added[fresh]
-            size = n + len(order)
-            next_bwt, next_lcp = columns.new(size, np.uint16), columns.new(size, np.uint16)
-            old = np.ones(size, bool)
-            old[n + fresh] = False
-            next_bwt[old], next_lcp[old] = bwt, lcp
-            next_bwt[n + fresh] = back[j, who]
-            # what a new row shares with the one above, and the one below a new row with it
-            k = np.unique(np.concatenate([fresh, fresh + 1]))
-            k = k[k < len(order)]
-            next_lcp[n + k[k == 0]] = 0
-            k = k[k > 0]
-            same = bwt[order[k]] == bwt[order[k - 1]]
-            next_lcp[n + k[~same]] = 0
-            k = k[same]
+        for i, s in enumerate(strings):
+            columns[first[i] : first[i] + len(s), i] = np.frombuffer(s, np.uint8) + 1
+        order, since = np.arange(n), np.zeros(n, np.int64)
+        for c in range(width):
+            symbol = columns[c, order]
+            sort = np.argsort(symbol, kind="stable")
+            symbol = symbol[sort]
+            new = np.full(n, c + 1)
+            k = np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] > 0)) + 1
             if len(k):
-                low, high = order[k - 1] + 1, order[k] + 1
+                low, high = sort[k - 1] + 1, sort[k] + 1
                 down = np.argsort(-low, kind="stable")
                 pairs = np.stack([low[down], high[down]], 1).ravel()
-                next_lcp[n + k[down]] = 1 + np.minimum.reduceat(np.append(lcp, np.uint16(0)), pairs)[::2]
-            bwt, lcp = next_bwt, next_lcp
-            row[who] = n + fresh
-        twin = np.zeros(len(bwt) + 1, bool)
-        twin[:-1] = lcp >= window
-        twin[:-1] |= twin[1:]
-        # walk from the empty suffixes to ever longer ones
-        order = np.argsort(bwt, kind="stable")
-        none = int(np.searchsorted(bwt[order], 1))
-        up = np.zeros(len(bwt), np.int64)
-        up[order[none:]] = n + np.arange(len(order) - none)
-        out, row = [np.zeros(max(0, int(m) - window + 1), bool) for m in lengths], np.arange(n)
-        marks = np.zeros((longest + 1, n), bool)
-        for j in range(1, longest + 1):
-            live = lengths >= j
-            row[live] = up[row[live]]
-            marks[j, live] = twin[row[live]]
-        for i, o in enumerate(out):
-            o[:] = marks[lengths[i] - np.arange(len(o)), i]
-        return out
+                new[k[down]] = np.maximum.reduceat(np.append(since, 0), pairs)[::2]
+            order, since = order[sort], new
+            start = c + 1 - window
+            if start >= 0:
+                k = np.flatnonzero(since <= start)
+                k = k[k > 0]
+                marks[start, order[k]] = marks[start, order[k - 1]] = True
+        return [np.array(marks[f : f + max(0, m - window + 1), i]) for i, (f, m) in enumerate(zip(first.tolist(), lengths.tolist()))]
     finally:
-        columns.close()
+        done(), marked()
+
+
+def _array(shape: tuple[int, int], kind):
+    """A zero array and how to let go of it: in memory, or in a file of the task's own when large."""
+    size = int(np.prod(shape))
+    if size <= IN_MEMORY:
+        return np.zeros(shape, kind), lambda: None
+    fd, name = tempfile.mkstemp(prefix="columns-")
+    os.close(fd)
+    return np.memmap(name, kind, "w+", shape=shape), lambda: os.unlink(name)
 
 
 def _intervals(mask: np.ndarray) -> tuple[list[int], list[int]]:
@@ -220,19 +183,19 @@ def _intervals(mask: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """h (anchor), d (string), r (document), at (first window * 512 + number of windows) of every run."""
+    """h (anchor), d (string), r (document), at (first window, anchor's offset and number of windows, packed) of every run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                text, at, n, h, d = runs([(t or "").encode() for t in part.column(1).to_pylist()])
+                text, at, off, n, h, d = runs([(t or "").encode() for t in part.column(1).to_pylist()])
                 keys = part.column(0).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), d.view(np.int64), keys[text], at * 512 + n)], ["h", "d", "r", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), d.view(np.int64), keys[text], at * _FIRST + off * _OFFSET + n)], ["h", "d", "r", "at"])
 
     return docs.select("r", "text").mapInArrow(run, "h long, d long, r long, at long")
 
 
-STRINGS = "h long, d long, n long, bytes binary, crowded boolean"
+STRINGS = "h long, d long, n long, off int, bytes binary, crowded boolean"
 
 
 def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -245,9 +208,9 @@ def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 for text, picks in zip(*(c.to_pylist() for c in part.columns)):
                     data = text.encode()
                     for p in picks:
-                        start, n = p["at"] >> 9, p["at"] & 511
-                        out.append((p["h"], p["d"], p["n"], data[start : start + n + WINDOW - 1], p["crowded"]))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()))], ["h", "d", "n", "bytes", "crowded"])
+                        start, off, n = p["at"] // _FIRST, p["at"] // _OFFSET % _OFFSET, p["at"] % _OFFSET
+                        out.append((p["h"], p["d"], p["n"], off, data[start : start + n + WINDOW - 1], p["crowded"]))
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()))], ["h", "d", "n", "off", "bytes", "crowded"])
 
     listed = wanted.groupBy("r").agg(F.collect_set(F.struct("h", "d", "n", "at", "crowded")).alias("picks"))
     once = docs.select("r", "text").join(listed, "r").select("text", "picks")
@@ -262,30 +225,30 @@ def _found(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["h", "d", "low", "high"])
 
 
-def _by_suffix_order(strings: DataFrame) -> DataFrame:
+def _by_columns(strings: DataFrame) -> DataFrame:
     """Repeated windows of strings that meet under anchors with few of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, held, size, last = [], {}, 0, None
+        held, size, last = [], 0, None  # (h, d, offset, bytes)
 
         def settle() -> pa.RecordBatch:
-            marks = repeated_windows(list(held))
-            out = [(h, d, *_intervals(marks[i])) for i, ds in enumerate(held.values()) for h, d in ds if marks[i].any()]
+            marks = repeated_windows([x[3] for x in held], [x[2] for x in held])
+            out = [(x[0], x[1], *_intervals(m)) for x, m in zip(held, marks) if m.any()]
             held.clear()
             return _found(out)
 
         for batch in batches:
-            for h, d, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for h, d, off, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if size >= COLLECTION and h != last:  # anchors are never torn apart
                     yield settle()
                     size = 0
-                held.setdefault(data, set()).add((h, d))
+                held.append((h, d, off, data))
                 size, last = size + len(data), h
         if held:
             yield settle()
 
     n = max(1, int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return strings.select("h", "d", "bytes").repartition(n, "h").sortWithinPartitions("h", "d").mapInArrow(run, FOUND)
+    return strings.select("h", "d", "off", "bytes").repartition(n, "h").sortWithinPartitions("h", "d").mapInArrow(run, FOUND)
 
 
 def _by_counting(strings: DataFrame) -> DataFrame:
@@ -319,11 +282,11 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     kinds = strings.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
     ragged = strings.join(kinds, "h").select("h", "d", "n", "r", "at", (F.col("kinds") > CROWD).alias("crowded"))
     cut = _cut_out(docs, ragged)
-    whole = strings.where("n > 1").select("h", "d", F.array(F.lit(0)).alias("low"), F.array((F.col("at") % 512).cast("int")).alias("high"))
-    partly = _by_suffix_order(cut.where("NOT crowded")).unionByName(_by_counting(cut.where("crowded"))).join(whole, ["h", "d"], "left_anti")
+    whole = strings.where("n > 1").select("h", "d", F.array(F.lit(0)).alias("low"), F.array((F.col("at") % _OFFSET).cast("int")).alias("high"))
+    partly = _by_columns(cut.where("NOT crowded")).unionByName(_by_counting(cut.where("crowded"))).join(whole, ["h", "d"], "left_anti")
     found = save(whole.unionByName(partly), "found")
     hits = shared.join(found, ["h", "d"])
-    start = F.shiftright("at", 9)
+    start = F.shiftright("at", 18)
     spans = F.transform(F.arrays_zip("low", "high"), lambda x: F.struct((start + x["low"]).alias("low"), (start + x["high"]).alias("high")))
     return hits.select("r", F.explode(spans).alias("s")).groupBy("r").agg(F.collect_set("s").alias("spans"))
 
