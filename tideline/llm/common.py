@@ -23,7 +23,13 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application."""
+    """Send this package to the executors once per application, and bound what a Python worker gets at once.
+
+    A batch of rows is held several times (by the JVM, Arrow and Python), so
+    batches of long texts are kept to a few MB.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

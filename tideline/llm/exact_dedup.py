@@ -122,7 +122,7 @@ def build_index(docs: DataFrame, slim: DataFrame, capacity: int = CAPACITY, max_
                         e[3] += 1
                         if _better(points, doc, e[1], e[2]):
                             e[1:3] = points, doc
-                if size > 64 << 20:
+                if size > 16 << 20:
                     yield from flush()
                     size = 0
         yield from flush()
