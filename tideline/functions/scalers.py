@@ -75,13 +75,19 @@ def normal_quantile(p: Column) -> Column:
     t = F.sqrt(-2 * F.log(q))
     z = t - (t * (t * 0.010328 + 0.802853) + 2.515517) / (t * (t * (t * 0.001308 + 0.189269) + 1.432788) + 1)
     z = F.when(p < 0.5, -z).otherwise(z)
+    # as a lambda over the start, each step's expression holds its argument once
+    step = lambda z: z - (normal_cdf(z) - p) / (F.exp(-z * z / 2) / math.sqrt(2 * math.pi))
     for _ in range(2):
-        z = z - (normal_cdf(z) - p) / (F.exp(-z * z / 2) / math.sqrt(2 * math.pi))
+        z = F.get(F.transform(F.array(z), step), F.lit(0))
     return z
 
 
 def normal_cdf(z: Column) -> Column:
     """Hart's double-precision form: a rational term near the middle, a continued fraction in the tails."""
+    return F.get(F.transform(F.array(z), _cdf), F.lit(0))
+
+
+def _cdf(z: Column) -> Column:
     x = F.abs(z)
     e = F.exp(-x * x / 2)
     num = den = F.lit(0.0)
@@ -108,7 +114,7 @@ class QuantileNormal:
         return QuantileNormal(self.columns, self.n, {x: [float(v) for v in row[f"q{i}"] or [0.0] * self.n] for i, x in enumerate(self.columns)})
 
     def _rank(self, x: Column, knots: list[float]) -> Column:
-        arr = F.array(*[F.lit(k) for k in knots])
+        arr = F.lit(knots)
         below, upto = F.size(F.filter(arr, lambda k: k < x)), F.size(F.filter(arr, lambda k: k <= x))
         lo, hi = F.get(arr, below - 1), F.get(arr, below)
         between = (below - 1 + F.try_divide(x - lo, hi - lo)) / (len(knots) - 1)
@@ -123,9 +129,13 @@ class QuantileNormal:
     def inverse(self, df: DataFrame) -> DataFrame:
         out = {}
         for x, k in self.knots.items():
-            arr, at = F.array(*[F.lit(v) for v in k]), normal_cdf(c(x)) * (len(k) - 1)
-            i = F.least(F.floor(at), F.lit(len(k) - 2)).cast("int")
-            out[x] = F.get(arr, i) + (at - i) * (F.get(arr, i + 1) - F.get(arr, i))
+            arr, n = F.lit(k), len(k) - 1
+
+            def value(at: Column) -> Column:
+                i = F.least(F.floor(at), F.lit(n - 1)).cast("int")
+                return F.get(arr, i) + (at - i) * (F.get(arr, i + 1) - F.get(arr, i))
+
+            out[x] = F.get(F.transform(F.array(normal_cdf(c(x)) * n), value), F.lit(0))
         return df.withColumns(out)
 
 

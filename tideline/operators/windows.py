@@ -164,8 +164,9 @@ def same_hour_lag(df: DataFrame, column: str, days: list[int], keys: list[str] =
 
 def hour_lag(df: DataFrame, column: str, hours: list[int], keys: list[str] = [], time: str = "ts") -> DataFrame:
     """Adds ``{column}_lag_{h}h``: the value h hours ago, by time, not by row."""
+    base = df
     for h in hours:
-        past = df.groupBy(*keys, (c(time) + F.make_dt_interval(F.lit(0), F.lit(h))).alias(time)).agg(F.avg(column).alias(f"{column}_lag_{h}h"))
+        past = base.groupBy(*keys, (c(time) + F.make_dt_interval(F.lit(0), F.lit(h))).alias(time)).agg(F.avg(column).alias(f"{column}_lag_{h}h"))
         df = df.join(past, [*keys, time], "left")
     return df
 

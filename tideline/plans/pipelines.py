@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from tideline.functions import features as ft
 from tideline.functions.scalers import LogShift
 from tideline.operators import windows as win
+from tideline.session import pin
 from tideline.specs import MARKET_TZ, PivotSpec, Step, WindowSpec, check_steps, resolve
 
 
@@ -67,14 +68,24 @@ OPS = {
 }
 
 
-def compile_steps(steps: list[Step], keys: list[str] = [], tz: str = MARKET_TZ):
-    """A function DataFrame -> DataFrame that applies the steps in order; nothing runs until an action."""
+#: Steps that join a table with what they make from it.
+JOINING = {"windows", "ewma", "same_hour_lag", "hour_lag", "pivot"}
+
+
+def compile_steps(steps: list[Step], keys: list[str] = [], tz: str = MARKET_TZ, cut=pin):
+    """A function DataFrame -> DataFrame that applies the steps in order.
+
+    Ahead of each joining step ``cut`` pins the table, so the plan grows with the
+    number of steps and not as a power of it.
+    """
     check_steps(steps)
     if unknown := [s.op for s in steps if s.op not in OPS]:
         raise ValueError(f"unknown operators {unknown}")
 
     def run(df: DataFrame) -> DataFrame:
-        for s in steps:
+        for i, s in enumerate(steps):
+            if i and s.op in JOINING:
+                df = cut(df)
             df = OPS[s.op](df, s.params, keys, s.params.get("tz", tz))
         return df
 

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.session import scratch  # noqa: F401  queries import it from here
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -75,3 +77,4 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k, date, price: daily mean order prices by priority."""
     o = table(spark, sf_dir, "orders")
     return o.groupBy(F.col("o_orderpriority").alias("k"), F.to_date("o_orderdate").alias("date")).agg(F.avg("o_totalprice").alias("price"))
+

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -17,3 +20,20 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str)
     for k, v in (defaults | conf).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or a temporary one where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="tideline-")
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Operators that join a table with something made from it double the plan; a
+    chain of them must be cut, and a written table also survives lost executors.
+    """
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

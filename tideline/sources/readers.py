@@ -71,7 +71,7 @@ SERIES_SCHEMA, INDEX_SCHEMA, PRICE_SCHEMA = "series ARRAY<ARRAY<DOUBLE>>", "time
 
 
 def decode_index(json: DataFrame) -> DataFrame:
-    return json.select(F.timestamp_millis(F.explode("timestamps")).alias("chunk_start"))
+    return json.select(F.explode("timestamps").alias("ms")).select(F.timestamp_millis("ms").alias("chunk_start"))
 
 
 def decode_prices(json: DataFrame) -> DataFrame:
