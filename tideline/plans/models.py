@@ -29,7 +29,8 @@ def linear(kind: str, alpha: float, n: int, sd: float, ratio: float = 0.5, label
         mixed = ratio + (1 - ratio) * sd
         return lr.setRegParam(alpha * mixed).setElasticNetParam(ratio / mixed)
     if kind == "huber":
-        return lr.setRegParam(alpha).set(lr.loss, "huber")
+        lr.set(lr.loss, "huber")
+        return lr.setRegParam(alpha)
     raise ValueError(kind)
 
 

@@ -399,11 +399,11 @@ def L03_overlay_job(spark, sf):
     return jobs.overlay_job(w.select("ts", "view"), of("view", "hour(ts) = 3"), snaps, of("error", "hour(ts) < 12"), ["view"])
 
 
-@query("k:s, ts:t, model:s, pred:d", f"WITH {PREDS}, e AS (SELECT model, avg(abs(pred - y)) AS mae FROM preds GROUP BY ALL), w AS (SELECT model, (1 / (mae + 1e-6)) / sum(1 / (mae + 1e-6)) OVER () AS weight FROM e), d AS (SELECT * FROM preds WHERE ts >= TIMESTAMP '2024-01-30') SELECT k, ts, model, round(pred, 1) AS pred FROM d UNION ALL SELECT k, ts, 'blend', round(sum(weight * pred), 1) FROM d JOIN w USING (model) GROUP BY k, ts HAVING count(*) = 3")
+@query("k:s, ts:t, model:s, pred:d", f"WITH {PREDS}, e AS (SELECT model, avg(abs(pred - y)) AS mae FROM preds GROUP BY ALL), w AS (SELECT model, (1 / (mae + 1e-6)) / sum(1 / (mae + 1e-6)) OVER () AS weight FROM e), d AS (SELECT * FROM preds WHERE ts >= TIMESTAMP '2024-01-30') SELECT k, ts, model, round(pred, 5) AS pred FROM d UNION ALL SELECT k, ts, 'blend', round(sum(weight * pred), 5) FROM d JOIN w USING (model) GROUP BY k, ts HAVING count(*) = 3")
 def L04_forecast_job(spark, sf):
     p = preds(spark, sf)
     w = blends.inverse_mae_weights(blends.errors_by_model(p))
-    return jobs.forecast_job(p.where("ts >= TIMESTAMP '2024-01-30'"), w, ["k"], decimals=1)
+    return jobs.forecast_job(p.where("ts >= TIMESTAMP '2024-01-30'"), w, ["k"], decimals=5)
 
 
 @query("k:s, as_of:D, history_rows:i, n:i, hidden:i", f"WITH {HOURLY}, d AS (SELECT event_type AS k, CAST(ts AS DATE) AS d, count(*) AS c FROM hourly GROUP BY ALL), h AS (SELECT a.k, a.d AS as_of, a.c AS n, sum(b.c) AS history_rows FROM d a JOIN d b ON a.k = b.k AND b.d < a.d WHERE a.d >= DATE '2024-01-20' GROUP BY ALL) SELECT k, as_of, history_rows, n, n AS hidden FROM h WHERE history_rows >= 480")
