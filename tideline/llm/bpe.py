@@ -38,7 +38,7 @@ FOREVER = 1 << 40
 class ByteBPE:
     """A vocabulary of byte strings with merge ranks; ranks are the ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 150_000):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern)
@@ -97,7 +97,7 @@ class ByteBPE:
         key = a << 32 | b
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) > 1_500_000:
+            if len(self._fits) > 400_000:
                 self._fits.clear()
             known = self._fits[key] = self._holds(a, b)
         return known
@@ -234,8 +234,11 @@ def load(raw: bytes, pattern: str) -> ByteBPE:
 SCHEMA = "doc_id long, n_tokens long, ids binary"
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every whole text."""
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every whole text; with ``decoded``, also the bytes these ids decode to.
+
+    Decoding in the same pass spares a second set of workers with a vocabulary each.
+    """
     ship(docs.sparkSession)
     with open(ranks_path, "rb") as f:
         raw = f.read()
@@ -245,9 +248,10 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
         for batch in batches:
             for part in slices(batch, 1):
                 ids = bpe.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
+                more = [pa.array(list(map(bpe.decode, ids)), pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), *more], ["doc_id", "n_tokens", "ids", "decoded"][: 3 + decoded])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA + ", decoded binary" * decoded)
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -268,5 +272,5 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and digests of ids and of the bytes decoded from them."""
-    rows = decode_documents(encode_documents(docs, ranks_path, pattern), ranks_path, pattern)
+    rows = encode_documents(docs, ranks_path, pattern, decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
