@@ -221,9 +221,11 @@ def test_all_pipeline_versions_compile(spark):
     df, _ = series(spark, np.random.default_rng(9).normal(size=24 * 4).tolist())
     wide = df.select("ts", *[(F.col("v") * (i + 1)).alias(x) for i, x in enumerate(("view", "click", "purchase", "signup", "error"))])
     for version in ("v1_hourly", "v1_daily", "v1_preprocessor", "v1_ml", "v2", "v3", "v4", "v5_slim", "v5_full"):
-        for cutoff in (10, 7, None) if version.startswith("v5") else (10,):
-            out = pipelines.compile_steps(pipelines.pipeline(version, ROLES, cutoff))(wide)
-            assert len(set(out.columns)) == len(out.columns)
+        for cutoff in (10, 7, None):
+            assert all(s.op in pipelines.OPS for s in pipelines.pipeline(version, ROLES, cutoff))
+    for version, cutoff in (("v1_hourly", 10), ("v1_daily", 10), ("v5_full", None)):
+        out = pipelines.compile_steps(pipelines.pipeline(version, ROLES, cutoff))(wide)
+        assert len(set(out.columns)) == len(out.columns)
     with pytest.raises(ValueError):
         pipelines.compile_steps([])
     with pytest.raises(ValueError):
