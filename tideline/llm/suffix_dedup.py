@@ -273,9 +273,9 @@ def _by_counting(strings: DataFrame) -> DataFrame:
 def removed_spans(docs: DataFrame) -> DataFrame:
     """(r, spans): the byte ranges of each document ``r`` that repeated windows cover, as (first window, last window + 1) pairs."""
     ship(docs.sparkSession)
-    # anchors that occur more than once
+    # anchors that occur more than once; saved, so that Spark can split the join's skewed keys
     occurrences = _occurrences(docs)
-    again = occurrences.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    again = save(occurrences.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
     shared = save(occurrences.join(again, "h", "left_semi"), "shared")
     # F.first of three columns takes them from one row: the place of one occurrence
     strings = save(shared.groupBy("h", "d").agg(F.count("*").alias("n"), F.first("r").alias("r"), F.first("at").alias("at")), "distinct")
