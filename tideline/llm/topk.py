@@ -15,8 +15,9 @@ where all sums stay below 2**53, in 64-bit integers otherwise.
 Defined results: vectors that are null, or hold a null or a component that is not
 finite, take no part; vectors of different length are not compared; a query is
 not compared with rows of its own id; repeated candidate rows count each, ties
-to the smaller id; queries with fewer candidates return all of them; an empty
-table gives an empty table; extra columns are ignored.
+to the smaller id; queries with fewer candidates return all of them; an error is
+raised where scores may not fit in 64 bits; an empty table gives an empty table;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -137,6 +138,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
     for dim, n, top in asked.groupBy("dim").agg(F.count("*"), F.max("top")).collect():  # a row per vector length
         same = rows.where(F.col("dim") == dim)
         bound = int(dim * top * (same.agg(F.max("top")).first()[0] or 0)) + 1
+        if bound >= 1 << 62:
+            raise ValueError("the scores may not fit in 64 bits")
         waves = -(-n // wave_size)
         for w in range(waves):
             part = asked.where((F.col("dim") == dim) & (F.col("part") % waves == w)).select("vec_id", "q").toPandas()  # about wave_size rows
