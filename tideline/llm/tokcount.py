@@ -37,7 +37,9 @@ BLOCK = 4 << 20
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
+    if uri.startswith("file:"):
+        uri = "/" + uri[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
 
 
 @functools.lru_cache(maxsize=2)
