@@ -206,7 +206,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def recognised_rows(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+def recognised_rows(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """The rows of ``docs`` in a language the model knows, with at least the score ``least``; all columns kept."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
