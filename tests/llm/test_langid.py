@@ -35,3 +35,13 @@ def test_awkward_tables(spark):
     empty = langid.fit(docs(spark, []))
     assert langid.predict(docs(spark, [(1, "text")]), empty).first().lang_pred == "und"
     assert langid.recognised_rows(docs(spark, AWKWARD), m).columns == docs(spark, []).columns
+
+
+def test_sample_follows_distinct_texts(spark):
+    """Copies do not thin the sample: a language of few texts, each many times over, is learned from all of them."""
+    few = ["le chat et le chien sont dans la maison", "il fait beau et nous allons au marché", "elle lit un livre près de la fenêtre"]
+    rows = [(3 * i, t, "fr", "s") for i, t in enumerate(few * 3000)]
+    rows += [(30_000 + i, f"the cat number {i} and the dog are in the house by the river", "en", "s") for i in range(600)]
+    m = langid.fit(docs(spark, rows))
+    assert (m.weights[m.languages.index("fr")] != 0).any()
+    assert [m.predict(t)[0] for t in few] == ["fr"] * 3

@@ -5,8 +5,9 @@ weighted 1 + ln(tf), times idf, scaled to length one. Document frequencies are
 counted over all learnable documents by Spark. The weights are fitted by
 follow-the-regularised-leader (proximal, per-coordinate rates) with L1 and L2
 penalties, which leaves most of them zero, on a bounded sample: about
-``per_language`` distinct texts of each language, chosen by hash. That sample,
-never the corpus, meets in one task. A fifth of it is kept from the fit to set a
+``per_language`` distinct texts of each language, or all if it has fewer, chosen
+by hash at a rate set by the number of distinct texts, however many copies each
+has. That sample, never the corpus, meets in one task. A fifth of it is kept from the fit to set a
 softmax temperature. Predictions read whole texts, in blocks.
 
 Documents with crc32(doc_id as text) mod 3 = 1 are held out; only text and
@@ -153,7 +154,9 @@ def fit(docs: DataFrame, per_language: int = 500, epochs: int = 3, alpha: float
     spark = docs.sparkSession
     ship(spark)
     learnable = docs.where(~held_out(F.col("doc_id"))).select("text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in learnable.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
+    hashed = learnable.withColumn("h", F.xxhash64("lang", "text"))
+    # distinct texts, as all copies of one are drawn or left together; a row per language
+    sizes = {r["lang"]: r["n"] for r in hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(1 << DIM_BITS), np.zeros((0, 1 << DIM_BITS)), np.zeros(0))
@@ -162,8 +165,7 @@ def fit(docs: DataFrame, per_language: int = 500, epochs: int = 3, alpha: float
     start = Model(languages, idf, np.zeros((len(languages), 1 << DIM_BITS)), np.zeros(len(languages)))
 
     rate = F.element_at(F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, per_language / v))]), F.col("lang"))
-    hashed = learnable.withColumn("h", F.xxhash64("lang", "text")).where(F.pmod("h", F.lit(1_000_003)) < rate * 1_000_003)
-    sample = hashed.groupBy("h", "lang").agg(F.first("text").alias("text"))
+    sample = hashed.where(F.shiftrightunsigned("h", 11) < rate * (1 << 53)).groupBy("h", "lang").agg(F.first("text").alias("text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,11 +177,14 @@ def fit(docs: DataFrame, per_language: int = 500, epochs: int = 3, alpha: float
         rows.sort(key=lambda r: r[0])
         bias = 1 << DIM_BITS
         rows = [(h, y, np.append(a, bias), np.append(x, 1.0)) for h, y, a, x in rows]
-        tune = [r for r in rows if r[0] % 5 == 0]
+        size = np.bincount([r[1] for r in rows], minlength=len(languages))
+        # no language of a few texts is left to the tuning alone
+        tuned = lambda h, y: h % 5 == 0 and size[y] >= 10
+        tune = [r for r in rows if tuned(r[0], r[1])]
         learner = Ftrl(len(languages), 1 << DIM_BITS, alpha, beta, l1, l2)
         for epoch in range(epochs):
             for h, y, a, x in rows if epoch % 2 == 0 else rows[::-1]:
-                if h % 5 or len(rows) < 50:
+                if len(rows) < 50 or not tuned(h, y):
                     learner.learn(a, x, y)
         w = learner.weights(slice(None))
         t = temperature(np.array([w[:, a] @ x for _, _, a, x in tune]), np.array([y for _, y, _, _ in tune]))
