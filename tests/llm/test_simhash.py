@@ -66,3 +66,37 @@ def test_rows_that_stay(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == d.columns and ids.count(7) == 1 and 2 not in ids and 1 in ids
     assert simhash.first_of_groups(docs(spark, [])).count() == 0
+
+
+def _words(seed):
+    rnd = random.Random(seed)
+    return [f"w{rnd.randrange(9999)}" for _ in range(150)]
+
+
+def _near_copy(words):
+    """Other words whose fingerprint is one or two bits away."""
+    fp = brute_fingerprint(" ".join(words))
+    for i in range(10_000):
+        text = " ".join([*words[:-1], f"x{i}"])
+        if 1 <= (brute_fingerprint(text) ^ fp).bit_count() <= 2:
+            return text
+
+
+def test_rows_without_an_id_are_grouped_by_text(spark):
+    """Unrelated rows without an id all stay; near copies among them are linked, and one stays."""
+    texts = [" ".join(_words(s)) for s in range(5)]
+    near = _near_copy(_words(0))
+    rows = [(None, t) for t in [*texts, near]]
+    kept = [r.text for r in simhash.first_of_groups(docs(spark, rows)).collect()]
+    assert len(kept) == 5 and set(texts[1:]) < set(kept) and len({texts[0], near} & set(kept)) == 1
+    kept = [(r.doc_id, r.text) for r in simhash.first_of_groups(docs(spark, [*rows, (4, near)])).collect()]
+    assert sorted(kept, key=str) == sorted([(4, near), *[(None, t) for t in texts[1:]]], key=str)
+
+
+def test_different_texts_of_one_id(spark):
+    """They are rows of their own groups: none is lost, none links the groups, and no near copy comes back with the other."""
+    a, b, near = " ".join(_words(1)), " ".join(_words(2)), _near_copy(_words(2))
+    kept = [(r.doc_id, r.text) for r in simhash.first_of_groups(docs(spark, [(7, a), (7, b), (7, b), (9, near)])).collect()]
+    assert sorted(kept) == sorted([(7, a), (7, b)])
+    kept = [(r.doc_id, r.text) for r in simhash.first_of_groups(docs(spark, [(7, a), (7, near), (3, b)])).collect()]
+    assert sorted(kept) == sorted([(7, a), (3, b)])

@@ -23,9 +23,12 @@ Components come from alternating large-star and small-star steps, each saved.
 
 Defined results: null, empty and blank texts have fingerprint zero and link like
 any other; fewer words than a shingle make one shingle of all; whole texts are
-read; repeated rows get the same component; a null doc_id is no smallest one
-unless all are null; an empty table gives an empty table; extra columns are
-ignored by ``near_groups`` and kept by ``first_of_groups``.
+read; repeated rows get the same component; the fingerprints are what is linked,
+so rows without a doc_id, or with the same, are grouped by their texts like any
+other; a component is called by its smallest doc_id, null only if all are null
+(where doc_ids repeat, components can share a name); an empty table gives an
+empty table; extra columns are ignored by ``near_groups`` and kept by
+``first_of_groups``.
 """
 
 from __future__ import annotations
@@ -64,17 +67,23 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every whole text."""
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) of every whole text; with ``hashed``, also text_hash."""
     ship(docs.sparkSession)
+    also = ["text_hash"] * hashed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 fp = np.array([fingerprint(t.as_py(), shingle, seed) for t in part.column(1)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp), *part.columns[2:]], ["doc_id", "fp", *also])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[text_hash(F.col("text")).alias(x) for x in also])
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", text_hash long" * hashed)
 
 
 def _signed(x: int) -> int:
@@ -151,20 +160,30 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def _members(own: DataFrame, best: Column, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, root, best) of each distinct fingerprint, and (root, best) of each component; ``best`` is an aggregate that min() carries on."""
+    fps = save(own.groupBy("fp").agg(best.alias("best")), "fps")
+    roots = components(links(fps.select(F.col("fp").alias("id"), "fp"), crowd)).select(F.col("id").alias("fp"), "root")
+    members = save(fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "best"), "members")
+    return members, members.groupBy("root").agg(F.min("best").alias("best"))
+
+
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, crowd: int = CROWD) -> DataFrame:
     """doc_id, fp, component_id of every row."""
     own = save(fingerprints(docs, shingle, seed), "own")
-    fps = save(own.groupBy("fp").agg(F.min("doc_id").alias("id")), "fps")
-    roots = components(links(fps.where("id IS NOT NULL"), crowd))
-    groups = fps.join(roots, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
+    members, best = _members(own, F.min("doc_id"), crowd)
+    groups = members.select("fp", "root").join(best, "root").select("fp", F.col("best").alias("component_id"))
     return own.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, crowd: int = CROWD) -> DataFrame:
-    """The rows of ``docs`` with each group's smallest doc_id; of rows that repeat it, one."""
-    stay = near_groups(docs, shingle, seed, crowd).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    stay = save(stay, "stay")
-    rows = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-    if not stay.where("__n > 1").isEmpty():
-        rows = rows.dropDuplicates(["__id"])
-    return rows.drop("__id", "__n")
+    """One row of ``docs`` of each group: that with the smallest doc_id (null last), then the smallest hash of its text."""
+    own = save(fingerprints(docs, shingle, seed, hashed=True), "own")
+    _, best = _members(own, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")), crowd)
+    stay = save(best.select(F.col("best.doc_id").alias("__id"), F.col("best.text_hash").alias("__hash")), "stay")
+    docs = docs.withColumn("__h", text_hash(F.col("text")))
+    rows = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash")))
+    found = own.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    if found.count() > stay.count():  # rows that repeat a doc_id and its text
+        rows = rows.dropDuplicates(["__id", "__h"])
+    return rows.drop("__id", "__hash", "__h")
