@@ -10,6 +10,13 @@ by hash at a rate set by the number of distinct texts, however many copies each
 has. That sample, never the corpus, meets in one task. A fifth of it is kept from the fit to set a
 softmax temperature. Predictions read whole texts, in blocks.
 
+Whether a text is in any learned language cannot be told by its score: a softmax
+is sure of foreign texts too. It is told by how usual its n-grams are, their mean
+idf, which is low in learned languages and about that of a random feature in
+others. Passages of many lengths are cut from the texts kept from the fit; the
+mean that all but ``REJECTED`` of a length's passages stay below, moved by
+``MARGIN`` of the way towards a random feature's, is that length's limit.
+
 Documents with crc32(doc_id as text) mod 3 = 1 are held out; only text and
 non-null lang of the others are learned from, and predictions depend on text
 alone.
@@ -37,6 +44,9 @@ from tideline.llm.common import save, ship, slices
 DIM_BITS = 15
 LETTER = regex.compile(r"\p{L}")
 BLOCK = 1 << 20
+#: Code points of the passages by which limits are set, the share of them beyond the limit, and the margin.
+LENGTHS = [8 << k for k in range(9)]
+REJECTED, MARGIN = 0.005, 0.25
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -66,6 +76,7 @@ class Model:
     weights: np.ndarray  # languages x features
     bias: np.ndarray
     temperature: float = 1.0
+    limits: tuple[float, ...] = ()  # of the mean idf, by LENGTHS
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         tf = counts(text)
@@ -73,6 +84,11 @@ class Model:
         x = (1 + np.log(tf[at])) * self.idf[at]
         return at, x / max(np.sqrt(x @ x), 1e-12)
 
+    def strangeness(self, text: str) -> float:
+        """The mean idf of the text's n-grams."""
+        tf = counts(text)
+        return float(tf @ self.idf / max(1, tf.sum()))
+
     def probabilities(self, text: str) -> np.ndarray:
         at, x = self.vector(text)
         return softmax((self.weights[:, at] @ x + self.bias) / self.temperature)
@@ -84,6 +100,28 @@ class Model:
         k = int(p.argmax())
         return self.languages[k], float(p[k])
 
+    def recognises(self, text: str | None) -> bool:
+        """Whether the text's n-grams are as usual as those of texts of its length in a learned language."""
+        return self.predict(text)[0] != "und" and self.strangeness(text) <= self.limits[length_class(len(text))]
+
+
+def length_class(n: int) -> int:
+    """The longest of LENGTHS that n code points reach, or the first."""
+    return max(0, min(len(LENGTHS), (n // LENGTHS[0]).bit_length()) - 1)
+
+
+def strangeness_limits(passages: list[list[float]], idf: np.ndarray) -> tuple[float, ...]:
+    """The largest mean idf per length, from that of known passages; no less for shorter texts, and none where too few are known."""
+    out, random = [], float(idf.mean())
+    for s in passages:
+        q = np.quantile(s, 1 - REJECTED) if len(s) >= 20 else None
+        out.append(None if q is None else float(q + MARGIN * max(0.0, random - q)))
+    known = [x for x in out if x is not None]
+    last = min(known) if known else math.inf
+    for k in reversed(range(len(out))):
+        last = out[k] = last if out[k] is None else max(last, out[k])
+    return tuple(out)
+
 
 def softmax(s: np.ndarray) -> np.ndarray:
     e = np.exp(s - s.max(-1, keepdims=True))
@@ -169,14 +207,22 @@ def fit(docs: DataFrame, per_language: int = 500, epochs: int = 3, alpha: float
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(h, languages.index(lang), *start.vector(text)) for h, lang, text in zip(*(c.to_pylist() for c in batch.columns))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2].astype("<i4").tobytes() for r in rows], pa.binary()), pa.array([r[3].astype("<f4").tobytes() for r in rows], pa.binary())], ["h", "label", "at", "x"])
+            rows = []
+            for h, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                rows.append((h, languages.index(lang), -1, *start.vector(text)))
+                for k, n in enumerate(LENGTHS):  # passages, at places that the hash sets
+                    if h % 5 == 0 and len(text) >= n:
+                        at = h % (len(text) - n + 1)
+                        if LETTER.search(passage := text[at : at + n]):
+                            rows.append((h, languages.index(lang), k, np.zeros(0), np.array([start.strangeness(passage)])))
+            cols = [[r[i] for r in rows] for i in range(3)] + [[r[3].astype("<i4").tobytes() for r in rows], [r[4].astype("<f4").tobytes() for r in rows]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["h", "label", "part", "at", "x"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(h, y, np.frombuffer(a, "<i4"), np.frombuffer(x, "<f4").astype(float)) for b in batches for h, y, a, x in zip(*(c.to_pylist() for c in b.columns))]
-        rows.sort(key=lambda r: r[0])
+        every = sorted((h, part, y, a, x) for b in batches for h, y, part, a, x in zip(*(c.to_pylist() for c in b.columns)))
         bias = 1 << DIM_BITS
-        rows = [(h, y, np.append(a, bias), np.append(x, 1.0)) for h, y, a, x in rows]
+        vector = lambda a, x: (np.append(np.frombuffer(a, "<i4"), bias), np.append(np.frombuffer(x, "<f4").astype(float), 1.0))
+        rows = [(h, y, *vector(a, x)) for h, part, y, a, x in every if part < 0]
         size = np.bincount([r[1] for r in rows], minlength=len(languages))
         # no language of a few texts is left to the tuning alone
         tuned = lambda h, y: h % 5 == 0 and size[y] >= 10
@@ -188,12 +234,17 @@ def fit(docs: DataFrame, per_language: int = 500, epochs: int = 3, alpha: float
                     learner.learn(a, x, y)
         w = learner.weights(slice(None))
         t = temperature(np.array([w[:, a] @ x for _, _, a, x in tune]), np.array([y for _, y, _, _ in tune]))
-        yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()], pa.binary()), pa.array([t])], ["w", "t"])
-
-    features = sample.select("h", "lang", "text").mapInArrow(vectors, "h long, label int, at binary, x binary")
-    row = features.repartition(1).mapInArrow(train, "w binary, t double").first()
+        passages: list[list[float]] = [[] for _ in LENGTHS]
+        for h, part, y, _, x in every:
+            if part >= 0 and tuned(h, y):
+                passages[part].append(float(np.frombuffer(x, "<f4")[0]))
+        limits = list(strangeness_limits(passages, idf))
+        yield pa.RecordBatch.from_arrays([pa.array([w.astype("<f4").tobytes()], pa.binary()), pa.array([t]), pa.array([limits], pa.list_(pa.float64()))], ["w", "t", "limits"])
+
+    features = sample.select("h", "lang", "text").mapInArrow(vectors, "h long, label int, part int, at binary, x binary")
+    row = features.repartition(1).mapInArrow(train, "w binary, t double, limits array<double>").first()
     w = np.frombuffer(row["w"], "<f4").reshape(len(languages), -1).astype(float)
-    return Model(languages, idf, np.ascontiguousarray(w[:, :-1]), w[:, -1].copy(), row["t"])
+    return Model(languages, idf, np.ascontiguousarray(w[:, :-1]), w[:, -1].copy(), row["t"], tuple(row["limits"]))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -211,8 +262,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def recognised_rows(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` in a language the model knows, with at least the score ``least``; all columns kept."""
+def recognised_rows(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` in a language the model knows; all columns kept."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -220,7 +271,6 @@ def recognised_rows(docs: DataFrame, model: Model, least: float = 0.3) -> DataFr
     def known(texts):
         import pandas as pd
 
-        m = sent.value
-        return pd.Series([lang != "und" and score >= least for lang, score in map(m.predict, texts)])
+        return pd.Series(list(map(sent.value.recognises, texts)), dtype=bool)
 
     return docs.where(known(F.col("text")))
