@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, bucket long, r string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, bucket long, r string, __id long, __hash string, __h long, __n int, Key string, rest struct<a: int, text: string>, none date"
 
 
 def docs(spark, rows):
     """Rows of (doc_id, text[, lang, source]); with extra columns whose names operators use inside."""
-    full = [(i, t, *(rest or ("en", "s")), 0, "x", 1, "y") for i, t, *rest in rows]
+    full = [(i, t, *(rest or ("en", "s")), 0, "x", 1, "y", 5, "h", 6, 7, "k", (1, "t"), None) for i, t, *rest in rows]
     return spark.createDataFrame(full, DOCS)
 
 

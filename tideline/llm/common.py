@@ -2,7 +2,8 @@
 
 Intermediate tables are written as Parquet below the folder named by
 ``spark.checkpoint.dir``, which the driver and all executors share. That cuts
-lineage durably: a lost executor costs a re-read, not a recomputation.
+lineage durably: a lost executor costs a re-read, not a recomputation. What no
+later step reads again is deleted with ``discard``.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -46,10 +47,13 @@ def work_dir(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder.
 
     The folder comes from the session's ``spark.checkpoint.dir``. Only where that
-    is unset (local tests) a temporary folder is used instead.
+    is unset in local mode, as in tests, a temporary folder is used instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tideline-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tideline-{uuid.uuid4().hex}"
@@ -60,7 +64,29 @@ def save(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*saved: DataFrame) -> None:
+    """Delete tables of ``save`` that nothing reads any more."""
+    for df in saved:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df._saved_at.rsplit("/", 1)[0])
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def fresh(taken: Iterable[str], *names: str) -> list[str]:
+    """Column names like ``names`` that clash with none of ``taken``; Spark ignores case."""
+    low = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in low:
+            name = "_" + name
+        low.add(name.lower())
+        out.append(name)
+    return out
 
 
 def slices(batch: pa.RecordBatch, column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
