@@ -3,24 +3,29 @@
 Fingerprints: a text's bit is 1 where over half of its shingles' hashes have it.
 Equal fingerprints are one from then on, so copies cost nothing further.
 
-Pivots are reference fingerprints; the table holds each fingerprint's Hamming
-distance to every pivot. By the triangle inequality, two fingerprints at most
-``radius`` apart have no coordinate that differs by more than ``radius``.
-The pivots are zero, one mask for each pair of neighbouring bits, and some
-random ones. With zero, a mask's coordinate tells the weight of its two bits,
-and ``radius`` flips touch at most ``radius`` of these 32. Dealt into five bands,
-three bands of coordinates are therefore equal in every close pair: these ten
-choices of three bands are the keys under which candidates meet. Candidates are
-discarded by their largest coordinate difference, survivors are verified.
-
-A key with many fingerprints (a dense cloud of near copies) would make all pairs
-of them. Fingerprints of such keys take an exact way without pairs instead: two
-fingerprints are at most 2 apart just when one of their one-bit neighbours, or
-themselves, coincide; so each is listed under itself and its 64 neighbours, and
-linked to the smallest in each list.
+Pivots are reference fingerprints: zero, the 64 fingerprints of one bit, and some
+random ones; the table holds each fingerprint's Hamming distance to every pivot.
+By the triangle inequality, two fingerprints at most ``radius`` apart have no
+coordinate that differs by more than ``radius``: pairs with a larger difference
+are discarded, survivors are verified by their exact distance.
+
+Which pairs meet is decided by coordinates too. The coordinate to a one-bit pivot
+and that to zero together tell the bit, so fingerprints agree in a band of such
+coordinates just when their bits under the band's mask are equal. The 64 are dealt
+into ``radius`` + 3 bands; at most ``radius`` flips touch at most ``radius`` of
+them, so every close pair agrees on all bands but some choice of ``radius``: for
+each choice, those that agree on the others form a cell. Cells of up to ``leaf``
+fingerprints are compared in a task, which reports no pairs but a spanning forest
+of the close ones. A larger cell (a dense cloud of near copies) is never compared
+whole; the bands left open are dealt into ``radius`` + 3 finer ones, and so on. Few
+open bits allow few fingerprints, so this ends, and however large a cloud is, a
+fingerprint meets a bounded number of others.
 
 Components come from alternating large-star and small-star steps, each saved.
 
+``first_of_groups`` keeps one row of each group of near copies. It checks what
+fingerprints propose by the texts' shingles, so unlike texts stay.
+
 Defined results: null, empty and blank texts have fingerprint zero and link like
 any other; fewer words than a shingle make one shingle of all; whole texts are
 read; repeated rows get the same component; the fingerprints are what is linked,
@@ -35,7 +40,9 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -43,24 +50,27 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import save, ship, slices
+from tideline.llm.common import discard, fresh, save, ship, slices
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
-BANDS = 5
-#: A key with more fingerprints takes the way without pairs.
-CROWD = 64
+#: A cell with more fingerprints than this times the choices of bands is split: about where comparing costs more than splitting.
+LEAF = 50
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Words are counted in blocks, so that memory does not grow with the number of shingles."""
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> int:
+    """Words are counted in blocks, so that memory does not grow with the number of shingles (but with that of different ones, if ``distinct``)."""
     w = (text or "").encode().lower().split()
     if not w:
         return 0
-    n, hash_of, join = max(1, len(w) - shingle + 1), xxhash.xxh64_intdigest, b" ".join
-    ones = np.zeros(64, np.int64)
+    hash_of, join = xxhash.xxh64_intdigest, b" ".join
+    starts = range(max(1, len(w) - shingle + 1))
+    if distinct:
+        w = list(set(w)) if shingle == 1 else list({join(w[i : i + shingle]) for i in starts})
+        starts, shingle = range(len(w)), 1
+    n, ones = len(starts), np.zeros(64, np.int64)
     for at in range(0, n, 1 << 16):
-        h = np.array([hash_of(join(w[i : i + shingle]), seed) for i in range(at, min(n, at + (1 << 16)))], np.uint64)
+        h = np.array([hash_of(join(w[i : i + shingle]), seed) for i in starts[at : at + (1 << 16)]], np.uint64)
         octets = h.astype(">u8").view(np.uint8).reshape(-1, 8)
         for k in range(8):
             ones[8 * k : 8 * k + 8] += np.bincount(octets[:, k], minlength=256) @ _BITS
@@ -71,7 +81,7 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False, hashed: bool = False) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) of every whole text; with ``hashed``, also text_hash."""
     ship(docs.sparkSession)
     also = ["text_hash"] * hashed
@@ -79,7 +89,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, hash
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                fp = np.array([fingerprint(t.as_py(), shingle, seed) for t in part.column(1)], np.uint64).view(np.int64)
+                fp = np.array([fingerprint(t.as_py(), shingle, seed, distinct) for t in part.column(1)], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp), *part.columns[2:]], ["doc_id", "fp", *also])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[text_hash(F.col("text")).alias(x) for x in also])
@@ -90,53 +100,95 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-#: Masks of two neighbouring bits; with zero they give the weight of each pair of bits.
-MASKS = [_signed(3 << (2 * i)) for i in range(32)]
-
-
 def random_pivots(n: int, seed: int = 1) -> list[int]:
     rnd = random.Random(seed)
-    return [_signed(rnd.getrandbits(64)) for _ in range(n)]
+    return [rnd.getrandbits(64) for _ in range(n)]
 
 
-def distance(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+PIVOTS = np.array([0, *(1 << i for i in range(64)), *random_pivots(8)], np.uint64)
 
 
-def pivot_table(fps: DataFrame, n_random: int = 8) -> DataFrame:
-    """Adds ``near``: distances to zero, to the masks and to random pivots."""
-    pivots = [0, *MASKS, *random_pivots(n_random)]
-    return fps.withColumn("near", F.array(*[distance(F.col("fp"), F.lit(p).cast("long")).cast("byte") for p in pivots]))
+def pivot_table(fp: np.ndarray) -> np.ndarray:
+    """Distances of fingerprints (rows) to the pivots (columns)."""
+    return np.bitwise_count(fp.view(np.uint64)[:, None] ^ PIVOTS).astype(np.int8)
 
 
-def _keys() -> Column:
-    """A key for every choice of BANDS - RADIUS bands: the hash of their coordinates, taken relative to zero's."""
-    zero = F.element_at("near", 1)
-    weight = [zero - F.element_at("near", i + 2) for i in range(len(MASKS))]
-    band = [F.xxhash64(F.lit(b), *weight[b::BANDS]) for b in range(BANDS)]
-    return F.array(*[F.xxhash64(F.lit(k), *[band[b] for b in chosen]) for k, chosen in enumerate(combinations(range(BANDS), BANDS - RADIUS))])
+def finer(open_bits: int, radius: int = RADIUS) -> list[int]:
+    """The masks that stay open when all but ``radius`` bands of the open bits must agree."""
+    bits = [i for i in range(64) if open_bits >> i & 1]
+    bands = [sum(1 << i for i in bits[b :: radius + 3]) for b in range(radius + 3)]
+    return [sum(chosen) for chosen in combinations(bands, radius)]
 
 
-def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """(a, b) edges over ids of distinct fingerprints (id, fp); each close pair is joined by a path of them, and only close ones are joined."""
-    table = save(pivot_table(fps).withColumn("keys", _keys()), "pivots")
-    keyed = table.select("id", "fp", "near", F.explode("keys").alias("key"))
-    counts = keyed.groupBy("key").count().where("count > 1")
-    met = save(keyed.join(counts, "key"), "met")
+def _join(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that join two parts; ``label`` (the smallest member of each row's part) is brought up to date."""
+    kept: list[tuple] = [(i[:0], j[:0])]
+    while len(i := i[apart := label[i] != label[j]]):
+        j = j[apart]
+        high, low = np.maximum(label[i], label[j]), np.minimum(label[i], label[j])
+        roots, first = np.unique(high, return_index=True)
+        label[roots] = low[first]
+        kept.append((i[first], j[first]))
+        while (label[label] != label).any():
+            label[:] = label[label]
+    return np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept])
 
-    few = met.where(F.col("count") <= crowd).select("key", "id", "fp", "near")
-    a, b = few.alias("a"), few.alias("b")
-    apart = F.array_max(F.zip_with("a.near", "b.near", lambda x, y: F.abs(x - y)))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")))
-    close = pairs.where(apart <= RADIUS).where(distance(F.col("a.fp"), F.col("b.fp")) <= RADIUS)
-    verified = close.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
-    crowded = met.where(F.col("count") > crowd).select("id", "fp").distinct()
-    around = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i)).cast("long")) for i in range(64)])
-    listed = crowded.select("id", F.explode(around).alias("spot"))
-    heads = listed.groupBy("spot").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
-    starred = listed.join(heads, "spot").where("id > head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    return verified.unionByName(starred)
+def _compare(radius: int):
+    """A spanning forest of the close pairs in each cell; cells come whole and in order."""
+
+    def forest(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        beside = np.append(key[1:] == key[:-1], False)
+        shared = beside | np.append(False, beside[:-1])  # most cells hold one fingerprint
+        key, fp = key[shared], fp[shared]
+        near, label, kept, step = pivot_table(fp), np.arange(len(fp)), [], 1
+        while step < len(fp) and len(i := np.flatnonzero(key[step:] == key[:-step])):
+            i = i[label[i] != label[i + step]]
+            i = i[np.abs(near[i + step] - near[i]).max(1, initial=0) <= radius]
+            i = i[np.bitwise_count((fp[i] ^ fp[i + step]).view(np.uint64)) <= radius]
+            kept.append(_join(label, i, i + step))
+            step += 1
+        a, b = (fp[np.concatenate([k[side] for k in kept])] if kept else fp[:0] for side in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 2
+        for batch in batches:
+            held = [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns)]
+            # the last cell may go on
+            n = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            if n:
+                yield forest(*(h[:n] for h in held))
+                held = [h[n:] for h in held]
+        yield forest(*held)
+
+    return run
+
+
+def links(fps: DataFrame, radius: int = RADIUS, leaf: int | None = None) -> DataFrame:
+    """(a, b), a < b, of distinct fingerprints (``fp``): pairs at most ``radius`` apart, enough of them to join all that such pairs join."""
+    spark, n_parts = fps.sparkSession, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ship(spark)
+    leaf = leaf or LEAF * comb(radius + 3, radius)
+    now, masks, found = fps.select("fp", F.lit(-1).cast("long").alias("open")), [(1 << 64) - 1], []
+    while masks:
+        split = spark.createDataFrame([(_signed(m), [_signed(x) for x in finer(m, radius)]) for m in masks], "open long, to array<long>")
+        # a row per mask: their number is fixed by the radius and the level
+        keyed = now.join(F.broadcast(split), "open").select("fp", F.explode("to").alias("open"))
+        if found:  # one finer mask may come of several
+            keyed = keyed.distinct()
+        keyed = keyed.withColumn("key", F.xxhash64("open", F.col("fp").bitwiseAND(F.bitwise_not("open"))))
+        crowded = save(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > leaf).select("key"), "crowded")
+        none = crowded.isEmpty()
+        few = keyed if none else keyed.join(crowded, "key", "left_anti")
+        found.append(save(few.select("key", "fp").repartition(n_parts, "key").sortWithinPartitions("key", "fp").mapInArrow(_compare(radius), "a long, b long"), "links"))
+        if none:
+            break
+        now = save(keyed.join(crowded, "key", "left_semi").select("fp", "open"), "crowd")
+        masks = [r["open"] % (1 << 64) for r in now.select("open").distinct().collect()]  # masks of one level
+        if any(m.bit_count() <= radius for m in masks):
+            raise ValueError("leaf is too small")
+    return reduce(DataFrame.unionByName, found)  # one table per level
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -147,12 +199,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # large star: every larger neighbour goes to the smallest neighbour
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         # small star: smaller neighbours, and oneself, go to the smallest
-        large = save(large, "large")
+        large = save(both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi > lo").union(low.select("hi", F.col("m").alias("lo")))
-        now = save(small.distinct(), "edges")
+        before, now = now, save(small.distinct(), "edges")
+        discard(before, large)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if seen == mark:
             return now.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("root"))
@@ -160,30 +212,86 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def _members(own: DataFrame, best: Column, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """(fp, root, best) of each distinct fingerprint, and (root, best) of each component; ``best`` is an aggregate that min() carries on."""
-    fps = save(own.groupBy("fp").agg(best.alias("best")), "fps")
-    roots = components(links(fps.select(F.col("fp").alias("id"), "fp"), crowd)).select(F.col("id").alias("fp"), "root")
-    members = save(fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "best"), "members")
-    return members, members.groupBy("root").agg(F.min("best").alias("best"))
-
-
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, crowd: int = CROWD) -> DataFrame:
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id of every row."""
     own = save(fingerprints(docs, shingle, seed), "own")
-    members, best = _members(own, F.min("doc_id"), crowd)
-    groups = members.select("fp", "root").join(best, "root").select("fp", F.col("best").alias("component_id"))
+    fps = save(own.groupBy("fp").agg(F.min("doc_id").alias("best")), "fps")
+    roots = components(links(fps.select("fp"), radius)).select(F.col("id").alias("fp"), "root")
+    members = save(fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "best"), "members")
+    best = members.groupBy("root").agg(F.min("best").alias("component_id"))
+    groups = members.select("fp", "root").join(best, "root").select("fp", "component_id")
     return own.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
-def first_of_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, crowd: int = CROWD) -> DataFrame:
-    """One row of ``docs`` of each group: that with the smallest doc_id (null last), then the smallest hash of its text."""
-    own = save(fingerprints(docs, shingle, seed, hashed=True), "own")
-    _, best = _members(own, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")), crowd)
-    stay = save(best.select(F.col("best.doc_id").alias("__id"), F.col("best.text_hash").alias("__hash")), "stay")
-    docs = docs.withColumn("__h", text_hash(F.col("text")))
-    rows = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash")))
-    found = own.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
-    if found.count() > stay.count():  # rows that repeat a doc_id and its text
-        rows = rows.dropDuplicates(["__id", "__h"])
-    return rows.drop("__id", "__hash", "__h")
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """Hashes of the different shingles of a whole text, in order."""
+    w = (text or "").encode().lower().split()
+    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), SEED) for i in range(max(1, len(w) - words + 1))], np.uint64)).view(np.int64)
+
+
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """doc_id, text_hash, fp, set: the shingles of the wanted texts (doc_id, text_hash, fp), saved."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 3, 1 << 20):
+                sets = [shingle_set(t.as_py(), words) for t in part.column(3)]
+                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], ["doc_id", "text_hash", "fp", "set"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("h"), "text")
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash"))
+    once = rows.join(wanted, same).select("doc_id", "text_hash", "fp", "text").mapInArrow(run, "doc_id long, text_hash long, fp long, set array<long>")
+    return save(once.groupBy("doc_id", "text_hash", "fp").agg(F.first("set").alias("set")), "sets")
+
+
+def _similar(a: str, b: str, least: float) -> Column:
+    """Whether two sets' Jaccard similarity is at least ``least``."""
+    both = F.size(F.array_intersect(a, b))
+    return both * (1 + least) >= least * (F.size(a) + F.size(b))
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 1, seed: int = SEED, radius: int = 6, distinct: bool = True, similarity: float = 0.8, words: int = 5) -> DataFrame:
+    """One row of ``docs`` of each group: that with the smallest doc_id (null last), then the smallest hash of its text.
+
+    Fingerprints only propose: of those at most ``radius`` apart, the first texts
+    are linked if their sets of ``words``-word shingles are as similar as
+    ``similarity``, and so is a text with the first one of its own fingerprint.
+    By default fingerprints are those of a text's different words: a changed word
+    alters one of these but several longer shingles, so near copies lie closer.
+    The rows that go are few and small beside the texts, so it is they that are
+    listed and left out; texts move only where even that list is too large to
+    broadcast.
+    """
+    own = save(fingerprints(docs, shingle, seed, distinct, hashed=True), "own")
+    each = save(own.groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("n")), "each")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    fps = save(each.groupBy("fp").agg(first.alias("first"), F.count("*").alias("n")), "fps")
+    proposed = save(links(fps.select("fp"), radius).distinct(), "proposed")
+
+    # texts to compare: the first ones of linked fingerprints, and all of a fingerprint with several
+    ends = proposed.select(F.col("a").alias("fp")).union(proposed.select(F.col("b").alias("fp"))).distinct()
+    wanted = fps.join(ends, "fp").select("first.doc_id", "first.text_hash", "fp").union(each.join(fps.where("n > 1").select("fp"), "fp").select("doc_id", "text_hash", "fp")).distinct()
+    sets = _shingle_sets(docs, wanted, words)
+    is_first = F.col("s.doc_id").eqNullSafe(F.col("f.first.doc_id")) & (F.col("s.text_hash") == F.col("f.first.text_hash"))
+    of_first = save(sets.alias("s").join(fps.alias("f"), "fp").where(is_first).select("fp", F.col("s.set").alias("of_first")), "of_first")
+    a, b = of_first.toDF("a", "set_a"), of_first.toDF("b", "set_b")
+    linked = proposed.join(a, "a").join(b, "b").where(_similar("set_a", "set_b", similarity)).select("a", "b")
+    roots = components(linked).select(F.col("id").alias("fp"), "root")
+    # a text unlike the first one of its fingerprint is in no group
+    unlike = sets.join(of_first, "fp").where(~_similar("set", "of_first", similarity)).select("fp", "doc_id", "text_hash", F.lit(True).alias("unlike"))
+
+    members = save(fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"), "members")
+    best = members.groupBy("root").agg(F.min("first").alias("best"))
+    chosen = members.select("fp", "root").join(best, "root").select("fp", "best")
+    known = each.alias("e").join(chosen, "fp").join(unlike.alias("u"), (F.col("e.fp") == F.col("u.fp")) & F.col("e.doc_id").eqNullSafe(F.col("u.doc_id")) & (F.col("e.text_hash") == F.col("u.text_hash")), "left")
+    stays = F.coalesce("u.unlike", F.lit(False)) | F.col("e.doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("e.text_hash") == F.col("best.text_hash"))
+    gone, h = fresh(docs.columns, "gone_id", "gone_hash")
+    listed = save(known.select(F.col("e.doc_id").alias(gone), F.col("e.text_hash").alias(h), "n", stays.alias("stays")), "listed")
+    discard(own, each, fps, proposed, sets, of_first, members)
+    left = docs.join(listed.where("NOT stays").select(gone, h), F.col("doc_id").cast("long").eqNullSafe(F.col(gone)) & (text_hash(F.col("text")) == F.col(h)), "left_anti")
+    if listed.where("stays AND n > 1").isEmpty():
+        return left
+    # rows that repeat a doc_id and its text: one of them stays
+    marked = left.select("*", F.col("doc_id").cast("long").alias(gone), text_hash(F.col("text")).alias(h))
+    return marked.dropDuplicates([gone, h]).drop(gone, h)
