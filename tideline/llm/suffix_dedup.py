@@ -4,22 +4,25 @@ All suffixes of a corpus cannot meet in one place, so they are first dealt out
 such that equal 200-byte windows always meet: a window's anchor is its leftmost
 k-gram of least hash, and the windows of one anchor occurrence make one string
 of up to 368 bytes, keyed by the anchor's hash. Anchors that occur once can
-hold no repeated window and go. Equal strings are one, with a count; a string
-that occurs twice is repeated throughout. What is left are different strings
-under one anchor, such as the ends of shared passages.
-
-Those are compared by column-wise construction over each task's strings: each
-round inserts one symbol of every string into the collection's positional
-Burrows-Wheeler transform and updates what neighbours have in common. Equal
-windows lie alike about their anchors, so the strings are aligned by these and a
-round costs no more than its column. A large collection's columns are a file of
-the task's own, read front to back. A window is repeated if, in the round that
-ends it, its string agrees with a neighbour over the last 200 columns.
-
-An anchor under which very many different strings meet (the ends of a passage
-that a large part of all documents share) would be more than a task should hold.
-Its windows are hashed and counted one by one instead, which needs no group in
-one place.
+hold no repeated window and go. Equal strings, by a 128-bit cryptographic digest,
+are one with a count.
+
+All strings that are left are compared by column-wise construction over each
+task's strings: each round inserts one symbol of every string into the
+collection's positional Burrows-Wheeler transform and updates what neighbours
+have in common. Equal windows lie alike about their anchors, so the strings are
+aligned by these and a round costs no more than its column. The columns are a
+file of the task's own, read front to back. A window is repeated if, in the round
+that ends it, its string agrees with a neighbour over the last 200 columns, or
+stands for several.
+
+An anchor may have very many different strings (the ends of a passage that a
+large part of all documents share). Such strings are cut by where their windows
+start, in blocks of starts, and dealt by the bytes that all windows of a block
+have in common; pieces that have become equal are one again. Blocks get smaller
+until no group is large; those of a single start cannot be, as its windows are
+then all the same. So every group is compared by the same rounds, none is large,
+and a string is in a bounded number of them.
 
 Defined results: null and empty texts and those below 200 bytes lose nothing;
 matches never cross documents and may overlap; strings are judged on the input;
@@ -29,7 +32,8 @@ an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
-import os
+import functools
+import hashlib
 import tempfile
 from collections.abc import Iterator
 
@@ -42,17 +46,17 @@ from tideline.llm.common import save, ship, slices
 
 WINDOW, GRAM = 200, 32
 BLOCK = 1 << 20
-#: Different strings under one anchor beyond which windows are counted one by one.
-CROWD = 50_000
-#: Bytes of strings that are put in order together, and symbols beyond which columns are a file.
-COLLECTION, IN_MEMORY = 4 << 20, 64 << 20
+#: Different strings of a group beyond which it is split, and the blocks of window starts by which it is, one after another.
+GROUP, STARTS = 1024, (32, 8, 2, 1)
+#: Bytes of strings that are put in order together.
+COLLECTION = 4 << 20
 #: Packing of a run's place: first window, the anchor's offset from it, number of windows.
 _OFFSET, _FIRST = 512, 512 * 512
 _U = np.uint64
 
 
 class Roll:
-    """Polynomial hashes modulo 2**64 of any substrings of a block, from prefix sums."""
+    """Polynomial hashes modulo 2**64 of any substrings of a block, from prefix sums; they choose anchors and decide nothing."""
 
     def __init__(self, base: int, size: int):
         inverse = pow(base, -1, 1 << 64)
@@ -72,13 +76,13 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return (h ^ (h >> _U(29))) * _U(0xA24BAED4963EE407)
 
 
-_ROLLS: list[Roll] = []
+@functools.lru_cache(maxsize=1)
+def rolling() -> Roll:
+    return Roll(0x9E3779B97F4A7C15, BLOCK + WINDOW)
 
 
-def rolls() -> list[Roll]:
-    if not _ROLLS:
-        _ROLLS.extend(Roll(b, BLOCK + WINDOW) for b in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
-    return _ROLLS
+def digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -93,17 +97,16 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text number, first window, anchor's offset from it, number of windows, anchor hash, hash of the string) of every run of windows with one anchor."""
+    """(text number, first window, anchor's offset from it, number of windows, anchor hash) of every run of windows with one anchor."""
     lengths = np.array([len(t) for t in texts], np.int64)
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     whole = np.frombuffer(b"".join(texts), np.uint8)
-    first, second = rolls()
+    roll = rolling()
     parts = []
     for at in range(0, len(whole) - window + 1, BLOCK):
         data = whole[at : at + BLOCK + window - 1]
-        p, q = first.sums(data), second.sums(data)
         begin = np.arange(len(data) - gram + 1)
-        grams = first.of(p, begin, begin + gram)
+        grams = roll.of(roll.sums(data), begin, begin + gram)
         places = _U((1 << 21) - 1)
         anchor = (sliding_min((grams & ~places) | begin.astype(_U), window - gram + 1) & places).astype(np.int64)
         n = len(anchor)
@@ -117,14 +120,14 @@ def runs(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np
         text = np.searchsorted(offsets, start + at, "right") - 1
         inside = start + at + window <= offsets[text + 1]
         start, stop, text = start[inside], stop[inside], text[inside]
-        parts.append((text, start + at - offsets[text], anchor[start] - start, stop - start, grams[anchor[start]], second.of(q, start, stop + window - 1) + (stop - start).astype(_U)))
+        parts.append((text, start + at - offsets[text], anchor[start] - start, stop - start, grams[anchor[start]]))
     if not parts:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, _U, _U))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, _U))
     return tuple(map(np.concatenate, zip(*parts)))
 
 
-def repeated_windows(strings: list[bytes], anchors: list[int], window: int = WINDOW) -> list[np.ndarray]:
-    """For each string, which of its windows another string has at the same place from its anchor.
+def repeated_windows(strings: list[bytes], anchors: list[int], counts: list[int], window: int = WINDOW) -> list[np.ndarray]:
+    """For each string, which of its windows another string has at the same place from its anchor, or it has more than once.
 
     The strings are laid under each other by their anchors. Round after round one
     more column comes in, a symbol of every string: ``order`` sorts the strings by
@@ -136,12 +139,15 @@ def repeated_windows(strings: list[bytes], anchors: list[int], window: int = WIN
     """
     n, anchors = len(strings), np.array(anchors, np.int64)
     lengths = np.array([len(s) for s in strings], np.int64)
-    first = int(anchors.max(initial=0)) - anchors  # the column of a string's first byte
+    first = (int(anchors.max()) if n else 0) - anchors  # the column of a string's first byte
     width = int((first + lengths).max(initial=0))
-    # one row per column; byte + 1 (255 is no byte of UTF-8), 0 where a string is not there
-    columns, done = _array((width, n), np.uint8)
-    marks, marked = _array((width, n), bool)  # by the column in which a window starts
-    try:
+    if not width:
+        return [np.zeros(0, bool)] * n
+    marks = np.zeros((width, n), bool)  # by the column in which a window starts
+    marks[:, np.array(counts) > 1] = True
+    with tempfile.TemporaryFile(prefix="columns-") as file:  # has no name, so it goes with the task
+        # one row per column; byte + 1 (255 is no byte of UTF-8), 0 where a string is not there
+        columns = np.memmap(file, np.uint8, "w+", shape=(width, n))
         for i, s in enumerate(strings):
             columns[first[i] : first[i] + len(s), i] = np.frombuffer(s, np.uint8) + 1
         order, since = np.arange(n), np.zeros(n, np.int64)
@@ -162,19 +168,8 @@ def repeated_windows(strings: list[bytes], anchors: list[int], window: int = WIN
                 k = np.flatnonzero(since <= start)
                 k = k[k > 0]
                 marks[start, order[k]] = marks[start, order[k - 1]] = True
-        return [np.array(marks[f : f + max(0, m - window + 1), i]) for i, (f, m) in enumerate(zip(first.tolist(), lengths.tolist()))]
-    finally:
-        done(), marked()
-
-
-def _array(shape: tuple[int, int], kind):
-    """A zero array and how to let go of it: in memory, or in a file of the task's own when large."""
-    size = int(np.prod(shape))
-    if size <= IN_MEMORY:
-        return np.zeros(shape, kind), lambda: None
-    fd, name = tempfile.mkstemp(prefix="columns-")
-    os.close(fd)
-    return np.memmap(name, kind, "w+", shape=shape), lambda: os.unlink(name)
+        del columns
+    return [np.array(marks[f : f + max(0, m - window + 1), i]) for i, (f, m) in enumerate(zip(first.tolist(), lengths.tolist()))]
 
 
 def _intervals(mask: np.ndarray) -> tuple[list[int], list[int]]:
@@ -182,118 +177,143 @@ def _intervals(mask: np.ndarray) -> tuple[list[int], list[int]]:
     return edge[::2].tolist(), edge[1::2].tolist()
 
 
+def _anchors(docs: DataFrame) -> DataFrame:
+    """h (anchor) of every run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                yield pa.RecordBatch.from_arrays([pa.array(runs([(t or "").encode() for t in part.column(0).to_pylist()])[4].view(np.int64))], ["h"])
+
+    return docs.select("text").mapInArrow(run, "h long")
+
+
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """h (anchor), d (string), r (document), at (first window, anchor's offset and number of windows, packed) of every run."""
+    """h (anchor), d (digest of the string), r (row), at (first window, anchor's offset and number of windows, packed) of every run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                text, at, off, n, h, d = runs([(t or "").encode() for t in part.column(1).to_pylist()])
-                keys = part.column(0).to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), d.view(np.int64), keys[text], at * _FIRST + off * _OFFSET + n)], ["h", "d", "r", "at"])
+                texts = [(t or "").encode() for t in part.column(1).to_pylist()]
+                text, at, off, n, h = runs(texts)
+                d = [digest(texts[t][a : a + m + WINDOW - 1]) for t, a, m in zip(text.tolist(), at.tolist(), n.tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d, pa.binary()), part.column(0).take(pa.array(text)), pa.array(at * _FIRST + off * _OFFSET + n)], ["h", "d", "r", "at"])
+
+    return docs.select("r", "text").mapInArrow(run, "h long, d binary, r binary, at long")
 
-    return docs.select("r", "text").mapInArrow(run, "h long, d long, r long, at long")
 
+def _batch(rows: list[tuple], names: str, *kinds: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names.split())
 
-STRINGS = "h long, d long, n long, off int, bytes binary, crowded boolean"
+
+STRINGS = "g long, d binary, n long, off int, bytes binary"
 
 
 def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of chosen strings, from the documents that hold them."""
+    """The bytes of chosen strings, from the rows that hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, 1 << 20):
                 out = []
                 for text, picks in zip(*(c.to_pylist() for c in part.columns)):
                     data = text.encode()
                     for p in picks:
                         start, off, n = p["at"] // _FIRST, p["at"] // _OFFSET % _OFFSET, p["at"] % _OFFSET
-                        out.append((p["h"], p["d"], p["n"], off, data[start : start + n + WINDOW - 1], p["crowded"]))
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()))], ["h", "d", "n", "off", "bytes", "crowded"])
+                        out.append((p["h"], p["d"], p["n"], off, data[start : start + n + WINDOW - 1]))
+                yield _batch(out, "g d n off bytes", pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary())
 
-    listed = wanted.groupBy("r").agg(F.collect_set(F.struct("h", "d", "n", "at", "crowded")).alias("picks"))
+    listed = wanted.groupBy("r").agg(F.collect_set(F.struct("h", "d", "n", "at")).alias("picks"))
     once = docs.select("r", "text").join(listed, "r").select("text", "picks")
     return save(once.mapInArrow(run, STRINGS), "strings")
 
 
-FOUND = "h long, d long, low array<int>, high array<int>"
-
-
-def _found(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["h", "d", "low", "high"])
-
-
 def _by_columns(strings: DataFrame) -> DataFrame:
-    """Repeated windows of strings that meet under anchors with few of them."""
+    """g, d, low, high: the repeated windows (from low to below high) of strings that meet in groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None  # (h, d, offset, bytes)
+        held, size, last = [], 0, None  # (g, d, count, offset, bytes)
 
         def settle() -> pa.RecordBatch:
-            marks = repeated_windows([x[3] for x in held], [x[2] for x in held])
+            marks = repeated_windows([x[4] for x in held], [x[3] for x in held], [x[2] for x in held])
             out = [(x[0], x[1], *_intervals(m)) for x, m in zip(held, marks) if m.any()]
             held.clear()
-            return _found(out)
+            return _batch(out, "g d low high", pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))
 
         for batch in batches:
-            for h, d, off, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if size >= COLLECTION and h != last:  # anchors are never torn apart
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[-1][:2] == row[:2]:  # equal rows have cut out the same
+                    continue
+                if size >= COLLECTION and row[0] != last:  # groups are never torn apart
                     yield settle()
                     size = 0
-                held.append((h, d, off, data))
-                size, last = size + len(data), h
+                held.append(row)
+                size, last = size + len(row[4]), row[0]
         if held:
             yield settle()
 
     n = max(1, int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return strings.select("h", "d", "off", "bytes").repartition(n, "h").sortWithinPartitions("h", "d").mapInArrow(run, FOUND)
+    return strings.select("g", "d", "n", "off", "bytes").repartition(n, "g").sortWithinPartitions("g", "d").mapInArrow(run, "g long, d binary, low array<int>, high array<int>")
 
 
-def _by_counting(strings: DataFrame) -> DataFrame:
-    """Repeated windows of strings under crowded anchors: each window is hashed and counted."""
+def _split(strings: DataFrame, starts: int) -> DataFrame:
+    """Pieces of strings by blocks of window starts: g, d, n, off, bytes of the piece, of_g, of_d and skip (windows before it) of its string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = rolls()
         for batch in batches:
-            for h, d, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                x = np.frombuffer(data, np.uint8)
-                start = np.arange(len(x) - WINDOW + 1)
-                a, b = (f.of(f.sums(x), start, start + WINDOW).view(np.int64) for f in (first, second))
-                m = len(start)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, h)), pa.array(np.full(m, d)), pa.array(np.full(m, n)), pa.array(start.astype(np.int32)), pa.array(a), pa.array(b)], ["h", "d", "n", "o", "a", "b"])
-
-    windows = save(strings.select("h", "d", "n", "bytes").mapInArrow(run, "h long, d long, n long, o int, a long, b long"), "windows")
-    often = windows.groupBy("a", "b").agg(F.sum("n").alias("times")).where("times > 1")
-    hit = windows.join(often, ["a", "b"]).groupBy("h", "d").agg(F.collect_set("o").alias("low"))
-    return hit.select("h", "d", "low", F.transform("low", lambda o: o + 1).alias("high"))
-
-
-def removed_spans(docs: DataFrame) -> DataFrame:
-    """(r, spans): the byte ranges of each document ``r`` that repeated windows cover, as (first window, last window + 1) pairs."""
+            for at in range(0, batch.num_rows, 500):
+                out = []
+                for g, d, n, off, data in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)):
+                    m = len(data) - WINDOW + 1
+                    for block in range(-off // starts, (m - 1 - off) // starts + 1):
+                        low, high = max(0, block * starts + off), min(m, (block + 1) * starts + off)
+                        # all windows that start in the block hold these bytes
+                        core = data[(block + 1) * starts - 1 + off : block * starts + off + WINDOW]
+                        name = int.from_bytes(digest(f"{g} {block} ".encode() + core)[:8], "little", signed=True)
+                        piece = data[low : high + WINDOW - 1]
+                        out.append((name, digest(b"%d " % (low - off) + piece), n, off - low, piece, g, d, low))
+                yield _batch(out, "g d n off bytes of_g of_d skip", pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.int32())
+
+    pieces = strings.select("g", "d", "n", "off", "bytes").mapInArrow(run, STRINGS + ", of_g long, of_d binary, skip int")
+    return save(pieces, "pieces")
+
+
+def _repeats(strings: DataFrame, group: int, starts: tuple[int, ...]) -> DataFrame:
+    """g, d, low, high of all strings (g, d, n, off, bytes): groups of up to ``group`` by columns, larger ones after a split."""
+    kinds = strings.groupBy("g").agg(F.count("*").alias("kinds"))
+    large = save(kinds.where(F.col("kinds") > group).select("g"), "large")
+    if not starts or large.isEmpty():
+        return _by_columns(strings)
+    pieces = _split(strings.join(large, "g", "left_semi"), starts[0])
+    merged = save(pieces.groupBy("g", "d").agg(F.sum("n").alias("n"), F.first("off").alias("off"), F.first("bytes").alias("bytes")), "merged")
+    inner = save(_repeats(merged, group, starts[1:]), "inner")
+    back = inner.join(pieces.select("g", "d", "of_g", "of_d", "skip"), ["g", "d"])
+    moved = back.select(F.col("of_g").alias("g"), F.col("of_d").alias("d"), *[F.transform(c, lambda x: x + F.col("skip")).alias(c) for c in ("low", "high")])
+    joined = moved.groupBy("g", "d").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("low", "high")])
+    return _by_columns(strings.join(large, "g", "left_anti")).unionByName(joined)
+
+
+def removed_spans(docs: DataFrame, group: int = GROUP, starts: tuple[int, ...] = STARTS) -> DataFrame:
+    """(r, spans): the byte ranges of each row ``r`` that repeated windows cover, as (first window, last window + 1) pairs."""
     ship(docs.sparkSession)
     # anchors that occur more than once; saved, so that Spark can split the join's skewed keys
-    occurrences = _occurrences(docs)
-    again = save(occurrences.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
-    shared = save(occurrences.join(again, "h", "left_semi"), "shared")
-    # F.first of three columns takes them from one row: the place of one occurrence
-    strings = save(shared.groupBy("h", "d").agg(F.count("*").alias("n"), F.first("r").alias("r"), F.first("at").alias("at")), "distinct")
-    kinds = strings.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    ragged = strings.join(kinds, "h").select("h", "d", "n", "r", "at", (F.col("kinds") > CROWD).alias("crowded"))
-    cut = _cut_out(docs, ragged)
-    whole = strings.where("n > 1").select("h", "d", F.array(F.lit(0)).alias("low"), F.array((F.col("at") % _OFFSET).cast("int")).alias("high"))
-    partly = _by_columns(cut.where("NOT crowded")).unionByName(_by_counting(cut.where("crowded"))).join(whole, ["h", "d"], "left_anti")
-    found = save(whole.unionByName(partly), "found")
-    hits = shared.join(found, ["h", "d"])
+    again = save(_anchors(docs).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
+    shared = save(_occurrences(docs).join(again, "h", "left_semi"), "shared")
+    # the place of one occurrence stands for all
+    strings = shared.groupBy("h", "d").agg(F.count("*").alias("n"), F.first(F.struct("r", "at")).alias("one"))
+    cut = _cut_out(docs, strings.select("h", "d", "n", "one.r", "one.at"))
+    found = save(_repeats(cut, group, starts), "found")
+    hits = shared.join(found.withColumnRenamed("g", "h"), ["h", "d"])
     start = F.shiftright("at", 18)
     spans = F.transform(F.arrays_zip("low", "high"), lambda x: F.struct((start + x["low"]).alias("low"), (start + x["high"]).alias("high")))
     return hits.select("r", F.explode(spans).alias("s")).groupBy("r").agg(F.collect_set("s").alias("spans"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, group: int = GROUP, starts: tuple[int, ...] = STARTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every row."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("r", F.xxhash64("doc_id", "text"))
+    # a row is known by half of a SHA-256 of its id and text; equal rows have equal results
+    whole = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.unhex(F.substring(F.sha2(whole, 256), 1, 32)).alias("r"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -311,5 +331,5 @@ def dedup(docs: DataFrame) -> DataFrame:
                     rows.append((len(data), len(data) - len(kept), len(a), kept))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary())))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    rows = keyed.join(removed_spans(keyed), "r", "left").select("doc_id", "text", "spans.low", "spans.high")
+    rows = keyed.join(removed_spans(keyed, group, starts), "r", "left").select("doc_id", "text", "spans.low", "spans.high")
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
