@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, docs
 from tideline.llm import chat, quality, tokcount, topk
@@ -49,11 +50,12 @@ def test_counts_of_documents(spark):
 
 
 def brute_top(rows, k):
-    good = [(i, [int(np.floor(64 * float(x))) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    good = [(n, i, [int(np.floor(64 * float(x))) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q, a in {i: v for i, v in good if i % 3 == 0}.items():
-        s = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q and len(a) == len(b))[:k]
-        out += [(q, r + 1, i, -t) for r, (t, i) in enumerate(s)]
+    for m, q, a in good:
+        if q % 3 == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for n, i, b in good if n != m and len(a) == len(b))[:k]
+            out += [(q, r + 1, i, -t) for r, (t, i) in enumerate(best)]
     return sorted(out)
 
 
@@ -61,12 +63,13 @@ def brute_top(rows, k):
 def test_top_k(spark, scale):
     rng = np.random.default_rng(2)
     rows = [(i, (rng.normal(size=8) * scale).astype("f4").tolist()) for i in range(90)] + [(i, [0.5] * 8) for i in range(100, 160)]
-    rows += [(200, None), (201, [None] * 8), (202, [float("nan")] * 8), (203, [1.0, 2.0]), (204, [3.0, -1.0]), (205, [])]
-    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, rank string")
+    rows += [(200, None), (201, [None] * 8), (202, [float("nan")] * 8), (203, [1.0, 2.0]), (204, [3.0, -1.0]), (205, []), (None, [1.0] * 8)]
+    rows += [(3, (rng.normal(size=8) * scale).astype("f4").tolist()), (3, rows[3][1]), (4, rows[4][1])]  # ids again, with other and with the same vectors
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, no string")
     for wave in (8192, 7):
-        got = topk.top_k(df, df.where("vec_id % 3 = 0"), 5, wave_size=wave).collect()
+        got = topk.top_k(df, F.col("vec_id") % 3 == 0, 5, wave_size=wave).collect()
         assert sorted(map(tuple, got)) == brute_top(rows, 5)
-    assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    assert topk.top_k(df.limit(0), F.col("vec_id") % 3 == 0).count() == 0
 
 
 # ---- quality ----
@@ -94,12 +97,28 @@ def test_quality_of_awkward_tables(spark):
 # ---- chat ----
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.tuples(st.text(alphabet="ab:#<>/\\ \nturn", max_size=12), st.text(alphabet="ab:#<>/\\ \nturn", max_size=30)), max_size=5))
-def test_turns_come_back(turns):
-    text, spans = chat.format_turns(turns, turns[0][0] if turns else "")
-    assert chat.read_turns(text) == turns
-    assert [chat.unescape(text[a:b]) for a, b in spans] == [t for r, t in turns if r == turns[0][0]]
+MARKS = st.text(alphabet="ab:#<>/\\ \nturn$1", max_size=30)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(MARKS, MARKS), min_size=1, max_size=60))
+def test_turns_come_back(spark, turns):
+    piece, start, stop = chat.formatted_turn(F.col("role"), F.col("text"))
+    rows = spark.createDataFrame([(i, *t) for i, t in enumerate(turns)], "i long, role string, text string").select("i", piece.alias("p"), start.alias("a"), stop.alias("b")).orderBy("i").collect()
+    assert chat.read_turns("".join(r.p for r in rows)) == turns
+    assert [chat.unescape(r.p[r.a : r.b]) for r in rows] == [t for _, t in turns]
+
+
+def test_a_very_long_turn_takes_little_memory():
+    import tracemalloc
+
+    text = "a line with #marks and <tags> \\ and more of it; " * 420_000
+    piece = f"### user: {text.replace('\\', '\\\\').replace('#', '\\#').replace('<', '\\<')} </turn>\n"
+    tracemalloc.start()
+    (turn,) = chat.read_turns(piece)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert turn == ("user", text) and len(text) > 20_000_000 and most < 500 << 20
 
 
 def test_trees(spark):
@@ -112,7 +131,11 @@ def test_trees(spark):
 def test_long_and_awkward_conversations(spark):
     rows = [(1, i, "user" if i % 2 else "assistant", f"turn {i}") for i in range(137)] + [(2, 0, None, None), (None, 1, "assistant", "x"), (3, 5, "assistant", "same"), (3, 5, "assistant", "same"), (4, None, "assistant", "\\<")]
     df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, tree string")
-    got = {r.conv_id: r for r in chat.read_back(chat.format_trees(chat.linear_tree(df))).collect()}
+    rows += [(5, i, "assistant", "long # text <b> " * 100_000) for i in range(2)]
+    df = df.unionByName(spark.createDataFrame([(*r, "z") for r in rows[-2:]], df.schema))
+    turns = chat.format_trees(chat.linear_tree(df))
+    got = {r.conv_id: r for r in chat.read_back(turns).collect()}
+    whole = {r.conv_id: r for r in chat.conversations(turns).collect()}
     for conv in {r[0] for r in rows}:
         turns = [(r[2] or "", r[3] or "") for r in rows if r[0] == conv]
         loss = "".join(t for r, t in turns if r == "assistant")
@@ -120,4 +143,7 @@ def test_long_and_awkward_conversations(spark):
         assert g.n_turns == len(turns) and g.loss_chars == len(loss)
         assert g.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
         assert g.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+        w = whole[conv]
+        assert chat.read_turns(w.formatted) == turns and len(w.formatted) == g.formatted_chars
+        assert "".join(chat.unescape(w.formatted[a:b]) for a, b in w.loss) == loss
     assert chat.read_back(chat.format_trees(chat.linear_tree(df.limit(0)))).count() == 0

@@ -9,51 +9,55 @@ ids. Each task reports only bins, and ties, that can still matter: its own k
 best lie at or above them.
 
 Queries go in waves of bounded size, which are sent to the tasks; the vectors
-are read again for each. Scores are exact: matrix products in double precision
-where all sums stay below 2**53, in 64-bit integers otherwise.
+are read again for each, and all hits go to one folder. Scores are exact: matrix
+products in double precision where all sums stay below 2**53, in 64-bit integers
+otherwise. Rows are told apart by a number of their own, given when the integer
+vectors are saved, so ids may repeat.
 
 Defined results: vectors that are null, or hold a null or a component that is not
-finite, take no part; vectors of different length are not compared; a query is
-not compared with rows of its own id; repeated candidate rows count each, ties
-to the smaller id; queries with fewer candidates return all of them; an error is
-raised where scores may not fit in 64 bits; an empty table gives an empty table;
-extra columns are ignored.
+finite, take no part, nor do rows without an id; vectors of different length are
+not compared; a query is not compared with its own row, but with other rows of
+its id; queries that share an id have their results apart, each with ranks from 1;
+repeated candidate rows count each, ties to the smaller id; queries with fewer
+candidates return all of them; an error is raised where scores may not fit in 64
+bits; an empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import save, ship
+from tideline.llm.common import save, ship, work_dir
 
 #: Queries in a wave; at 1,000 components 64 MB.
 WAVE = 8192
 ROWS = 2048
+HITS = "no long, vec_id long, score long"
 BINS = 512
 
 
-def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """vec_id, dim, q (64-bit integers as bytes) and top (the largest absolute component) of the vectors that take part."""
+def integer_vectors(vectors: DataFrame, asks: Column, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64) -> DataFrame:
+    """no (the row's own number), vec_id, asks, dim, q (64-bit integers as bytes) and top (the largest absolute component) of the vectors that take part; saved."""
     ship(vectors.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, dims, out, top = [], [], [], []
-            for vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1)):
+            rows = []
+            for vec_id, asks, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 if vec_id is None or not v.is_valid or v.values.null_count:
                     continue
                 x = np.floor(v.values.to_numpy(zero_copy_only=False).astype(float) * scale)
                 if np.isfinite(x).all():
-                    ids.append(vec_id), dims.append(len(x)), out.append(x.astype("<i8").tobytes()), top.append(float(np.abs(x).max(initial=0)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(out, pa.binary()), pa.array(top, pa.float64())], ["vec_id", "dim", "q", "top"])
+                    rows.append((vec_id, asks, len(x), x.astype("<i8").tobytes(), float(np.abs(x).max(initial=0))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.float64()))], ["vec_id", "asks", "dim", "q", "top"])
 
-    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v")).mapInArrow(run, "vec_id long, dim int, q binary, top double")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.coalesce(asks, F.lit(False)).alias("asks"), F.col(vec_col).alias("v"))
+    return save(rows.mapInArrow(run, "vec_id long, asks boolean, dim int, q binary, top double").withColumn("no", F.monotonically_increasing_id()), "vectors")
 
 
 class Wave:
@@ -63,20 +67,20 @@ class Wave:
     above, belong to the k best.
     """
 
-    def __init__(self, ids: np.ndarray, matrix: np.ndarray, bound: int, k: int):
-        self.ids, self.matrix = ids, matrix.astype(float) if bound < 1 << 53 else matrix
-        self.low, self.width, self.left = np.full(len(ids), -bound), 2 * bound + 1, np.full(len(ids), k)
+    def __init__(self, rows: np.ndarray, matrix: np.ndarray, bound: int, k: int):
+        self.rows, self.matrix = rows, matrix.astype(float) if bound < 1 << 53 else matrix
+        self.low, self.width, self.left = np.full(len(rows), -bound), 2 * bound + 1, np.full(len(rows), k)
 
     def scores(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-        """(queries, vec_ids, scores, which are not a query's own), block by block."""
+        """(queries, vec_ids, scores, which are not a query's own row), block by block."""
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                ids = part.column(0).to_numpy()
-                v = np.frombuffer(b"".join(part.column(1).to_pylist()), "<i8").reshape(len(ids), -1).T.astype(self.matrix.dtype)
-                for q in range(0, len(self.ids), ROWS):
-                    at = slice(q, min(q + ROWS, len(self.ids)))
-                    yield at, ids, (self.matrix[at] @ v).astype(np.int64), self.ids[at, None] != ids[None, :]
+                rows, ids = part.column(0).to_numpy(), part.column(1).to_numpy()
+                v = np.frombuffer(b"".join(part.column(2).to_pylist()), "<i8").reshape(len(ids), -1).T.astype(self.matrix.dtype)
+                for q in range(0, len(self.rows), ROWS):
+                    at = slice(q, min(q + ROWS, len(self.rows)))
+                    yield at, ids, (self.matrix[at] @ v).astype(np.int64), self.rows[at, None] != rows[None, :]
 
 
 def _count(wave: Wave, step: int):
@@ -84,7 +88,7 @@ def _count(wave: Wave, step: int):
     n_bins = -(-wave.width // step)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hist = np.zeros((len(wave.ids), n_bins), np.int64)
+        hist = np.zeros((len(wave.rows), n_bins), np.int64)
         for at, _, s, other in wave.scores(batches):
             b = (s - wave.low[at, None]) // step
             ok = other & (b >= 0) & (b < n_bins)
@@ -119,35 +123,36 @@ def _filter(wave: Wave, k: int):
         for at, ids, s, other in wave.scores(batches):
             least = wave.low[at]
             rows, cols = np.nonzero((s > least[:, None]) & other)
-            yield pa.RecordBatch.from_arrays([pa.array(wave.ids[at][rows]), pa.array(ids[cols].astype(np.int64)), pa.array(s[rows, cols])], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(wave.rows[at][rows]), pa.array(ids[cols].astype(np.int64)), pa.array(s[rows, cols])], ["no", "vec_id", "score"])
             same = (s == least[:, None]) & other
             for r in np.flatnonzero(same.any(1)).tolist():
                 ties[at.start + r] = sorted(ties.get(at.start + r, []) + ids[same[r]].tolist())[:k]
-        flat = [(int(wave.ids[i]), v, int(wave.low[i])) for i, vs in ties.items() for v in vs]
-        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in flat], pa.int64()) for j in range(3)], ["query_id", "vec_id", "score"])
+        flat = [(int(wave.rows[i]), v, int(wave.low[i])) for i, vs in ties.items() for v in vs]
+        yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in flat], pa.int64()) for j in range(3)], ["no", "vec_id", "score"])
 
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64, wave_size: int = WAVE) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best of all ``vectors`` for each row of ``queries``."""
+def top_k(vectors: DataFrame, asks: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 64, wave_size: int = WAVE) -> DataFrame:
+    """query_id, rank, vec_id, score: the k best of all other ``vectors`` for each row of them that ``asks``."""
     spark = vectors.sparkSession
-    rows = save(integer_vectors(vectors, id_col, vec_col, scale), "vectors")
-    asked = save(integer_vectors(queries, id_col, vec_col, scale).dropDuplicates(["vec_id"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20))), "queries")
-    hits = []
+    rows = integer_vectors(vectors, asks, id_col, vec_col, scale)
+    asked = rows.where("asks").select("no", "vec_id", "dim", "q", "top", F.pmod(F.xxhash64("no"), F.lit(1 << 20)).alias("part"))
+    folder = f"{work_dir(spark)}/hits"
+    spark.createDataFrame([], HITS).write.parquet(folder)
     for dim, n, top in asked.groupBy("dim").agg(F.count("*"), F.max("top")).collect():  # a row per vector length
         same = rows.where(F.col("dim") == dim)
         bound = int(dim * top * (same.agg(F.max("top")).first()[0] or 0)) + 1
         if bound >= 1 << 62:
             raise ValueError("the scores may not fit in 64 bits")
-        waves = -(-n // wave_size)
+        scanned, waves = same.select("no", "vec_id", "q"), -(-n // wave_size)
         for w in range(waves):
-            part = asked.where((F.col("dim") == dim) & (F.col("part") % waves == w)).select("vec_id", "q").toPandas()  # about wave_size rows
+            part = asked.where((F.col("dim") == dim) & (F.col("part") % waves == w)).select("no", "q").toPandas()  # about wave_size rows
             if len(part):
-                wave = Wave(part["vec_id"].to_numpy(np.int64), np.frombuffer(b"".join(part["q"]), "<i8").reshape(len(part), -1), bound, k)
+                wave = Wave(part["no"].to_numpy(np.int64), np.frombuffer(b"".join(part["q"]), "<i8").reshape(len(part), -1), bound, k)
                 while wave.width > 1:
-                    refine(wave, same.select("vec_id", "q"))
-                hits.append(save(same.select("vec_id", "q").mapInArrow(_filter(wave, k), "query_id long, vec_id long, score long"), "hits"))
-    found = reduce(DataFrame.unionByName, hits) if hits else spark.createDataFrame([], "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                    refine(wave, scanned)
+                scanned.mapInArrow(_filter(wave, k), HITS).write.mode("append").parquet(folder)
+    best = Window.partitionBy("no").orderBy(F.desc("score"), "vec_id")
+    ranked = spark.read.schema(HITS).parquet(folder).withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= k)
+    return ranked.join(asked.select("no", F.col("vec_id").alias("query_id")), "no").select("query_id", "rank", "vec_id", "score")
