@@ -5,18 +5,22 @@ far each message points up (1, 2, 4, ... replies), which also adds up scores;
 then, from the longest jumps down, every leaf gathers the messages above it. So
 a tree of depth d takes about log2(d) rounds and each path is listed once. Per
 conversation the branches are ranked by total score and the best ones formatted,
-each as one conversation.
+each as one conversation: its formatted turns, in order, are its text.
 
 A turn is written ``### role: text </turn>`` and a line end. Inside roles and
 texts a backslash goes before every backslash, ``#`` and ``<`` (in roles also
 ``:``), so no text can hold a mark and taking the backslashes away gives the
 text back. The loss mask holds the spans, in code points, of assistant texts.
 
+Turns stay rows (``format_trees``), which no conversation is too long for; reading
+back streams them in order, as digests of a whole conversation need one reader.
+``conversations`` puts each into one cell, whose limit is 2 GB.
+
 Defined results: a null text or role is empty; a message whose parent is missing
 starts a branch; messages on a cycle are on no branch; rows that tie in order are
 ordered by role and text, and repeated rows are turns of their own; a null
 conv_id is one more conversation; an empty table gives an empty table; extra
-columns are ignored.
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -26,37 +30,32 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import save, ship
+from tideline.llm.common import save, ship, slices
 
 END = " </turn>\n"
 MARK = "### "
-_TEXT, _ROLE, _BACK = re.compile(r"([\\#<])"), re.compile(r"([\\#<:])"), re.compile(r"\\(.)", re.S)
+_BACK = re.compile(r"\\(.)", re.S)
+#: Runs of plain characters at a time: a pattern of single alternatives would keep a state for each.
+_TURN = re.compile(r"### ([^\\:]*(?:\\.[^\\:]*)*): ([^\\<]*(?:\\.[^\\<]*)*) </turn>\n", re.S)
 
 
 def unescape(s: str) -> str:
-    return _BACK.sub(r"\1", s)
-
+    return _BACK.sub(r"\1", s) if "\\" in s else s
 
-def format_turns(turns: list[tuple[str, str]], learned: str = "assistant") -> tuple[str, list[tuple[int, int]]]:
-    """The formatted conversation, and the spans of the texts to learn from."""
-    out, spans, at = [], [], 0
-    for role, text in turns:
-        head, body = f"{MARK}{_ROLE.sub(r'\\\1', role)}: ", _TEXT.sub(r"\\\1", text)
-        if role == learned:
-            spans.append((at + len(head), at + len(head) + len(body)))
-        out += head, body, END
-        at += len(head) + len(body) + len(END)
-    return "".join(out), spans
 
-
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.)*) </turn>\n", re.S)
+def formatted_turn(role: Column, text: Column) -> tuple[Column, Column, Column]:
+    """The formatted turn, and where in it the text begins and ends."""
+    head = F.concat(F.lit(MARK), F.regexp_replace(role, r"([\\#<:])", r"\\$1"), F.lit(": "))
+    body = F.regexp_replace(text, r"([\\#<])", r"\\$1")
+    start = F.char_length(head)
+    return F.concat(head, body, F.lit(END)), start, start + F.char_length(body)
 
 
 def read_turns(formatted: str) -> list[tuple[str, str]]:
-    """The roles and texts, read back."""
+    """The roles and texts of one or more formatted turns, read back."""
     out, at = [], 0
     while at < len(formatted):
         m = _TURN.match(formatted, at)
@@ -97,44 +96,68 @@ def branches(nodes: DataFrame, best: int = 1, max_rounds: int = 40) -> DataFrame
     return paths
 
 
-FORMATTED = "conv_id long, leaf long, rank int, formatted string, loss_from array<int>, loss_to array<int>"
-
-
 def format_trees(nodes: DataFrame, best: int = 1, learned: str = "assistant") -> DataFrame:
-    """conv_id, leaf, rank, formatted, loss_from, loss_to of each chosen branch of (conv_id, node, parent, role, text, score)."""
-    ship(nodes.sparkSession)
-    keyed = save(nodes.withColumn("tree", F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))), "nodes")
+    """The turns of each chosen branch of (conv_id, node, parent, role, text, score), saved.
+
+    tree, conv_id, leaf, rank, place (from 1), formatted, loss_from, loss_to (in
+    code points of ``formatted``; null where nothing is to be learned).
+    """
+    keyed = save(nodes.select("conv_id", "node", "parent", "score", *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]).withColumn("tree", F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))), "nodes")
     chosen = branches(keyed.select("tree", "node", "parent", "score"), best)
-    turns = chosen.join(keyed.select("tree", "conv_id", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")), ["tree", "node"])
-    listed = turns.groupBy("tree", "leaf", "rank").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns"))
+    turns = chosen.join(keyed.select("tree", "conv_id", "node", "role", "text"), ["tree", "node"])
+    formatted, start, stop = formatted_turn(F.col("role"), F.col("text"))
+    learn = lambda c: F.when(F.col("role") == learned, c)
+    return save(turns.select("tree", "conv_id", "leaf", F.col("rank").cast("int").alias("rank"), (-F.col("up")).alias("place"), formatted.alias("formatted"), learn(start).alias("loss_from"), learn(stop).alias("loss_to")), "turns")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                done = [format_turns(list(zip(roles, texts)), learned) for roles, texts in zip(part.column(3).to_pylist(), part.column(4).to_pylist())]
-                spans = [pa.array([[s[i] for s in d[1]] for d in done], pa.list_(pa.int32())) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([d[0] for d in done], pa.string()), *spans], ["conv_id", "leaf", "rank", "formatted", "loss_from", "loss_to"])
 
-    return listed.select("conv_id", "leaf", F.col("rank").cast("int").alias("rank"), "turns.role", "turns.text").mapInArrow(run, FORMATTED)
+def conversations(turns: DataFrame) -> DataFrame:
+    """conv_id, leaf, rank, formatted, loss (spans as from, to): each conversation in one cell."""
+    listed = turns.groupBy("tree", "leaf", "rank").agg(F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(F.struct("place", "formatted", "loss_from", "loss_to"))).alias("t"))
+    length = F.transform("t", lambda x: F.char_length(x["formatted"]))
+    at = F.transform("t", lambda x, i: F.aggregate(F.slice(length, F.lit(1), i), F.lit(0), lambda s, y: s + y))
+    spans = F.filter(F.zip_with("t", at, lambda x, n: F.struct((x["loss_from"] + n).alias("from"), (x["loss_to"] + n).alias("to"))), lambda x: x["from"].isNotNull())
+    return listed.select("conv_id", "leaf", "rank", F.concat_ws("", "t.formatted").alias("formatted"), spans.alias("loss"))
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, n_turns, digests of the turns and of the text under the loss mask, read from formatted rows."""
-    ship(formatted.sparkSession)
+def read_back(turns: DataFrame) -> DataFrame:
+    """conv_id, n_turns, digests of the turns and of the text under the loss mask, read from formatted turns."""
+    ship(turns.sparkSession)
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-
-    def digest(s: str) -> str:
-        return hashlib.sha256(s.encode()).hexdigest()
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own, out = None, [], []
+
+        def close() -> None:
+            if now is not None:
+                conv, n, whole, chars, loss, length = own
+                out.append((conv, n, whole.hexdigest(), chars, loss.hexdigest(), length))
+
+        def emit() -> pa.RecordBatch:
+            cols = [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in schema.split(", ")])
+
         for batch in batches:
-            rows = []
-            for conv, text, low, high in zip(*(c.to_pylist() for c in batch.columns)):
-                turns = read_turns(text)
-                loss = unescape("".join(text[a:b] for a, b in zip(low, high)))
-                rows.append((conv, len(turns), digest("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), digest(loss), len(text)))
-            types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], [x.split()[0] for x in schema.split(", ")])
-
-    return formatted.select("conv_id", "formatted", "loss_from", "loss_to").mapInArrow(run, schema)
+            for part in slices(batch, 3):
+                for tree, leaf, conv, piece, low, high in zip(*(c.to_pylist() for c in part.columns)):
+                    if now != (tree, leaf):
+                        close()
+                        now, own = (tree, leaf), [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    for role, text in read_turns(piece):
+                        own[1] += 1
+                        own[2].update(f"{role}\n{text}\n".encode())
+                    if low is not None:
+                        loss = unescape(piece[low:high])
+                        own[3] += len(loss)
+                        own[4].update(loss.encode())
+                    own[5] += len(piece)
+                if len(out) > 2000:
+                    yield emit()
+        close()
+        if out:
+            yield emit()
+
+    n = max(1, int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ordered = turns.repartition(n, "tree", "leaf").sortWithinPartitions("tree", "leaf", "place")
+    return ordered.select("tree", "leaf", "conv_id", "formatted", "loss_from", "loss_to").mapInArrow(run, schema)
