@@ -50,6 +50,26 @@ def test_edits_near_the_front_of_a_long_piece_stop_early(both):
     assert table.last == bpe.PrefixTable(own, b"abcdeQghij" + b"abcdefghij" * 499).last
 
 
+def test_a_piece_of_any_length(both):
+    own, other = both
+    for text in ("x" * 5000, "abcdefghij" * 2000, "ß" * 3000 + "\u00e9a" * 500, "z" * 1_000_000):
+        ids = np.frombuffer(own.encode([text])[0], "<u4").tolist()
+        assert own.decode(own.encode([text])[0]) == text.encode()
+        if len(text) < 100_000:
+            assert ids == other.encode_ordinary(text)
+    assert not any(len(p) > 64 for p in own._young)
+
+
+def test_generations_of_the_memo_change_nothing(both):
+    own, other = both
+    small = bpe.ByteBPE(own.ranks, own.pattern.pattern, memo=3000)
+    for i in range(60):
+        text = f"some words come again and number {i} does not, nor does w{i * i}x"
+        assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == other.encode_ordinary(text)
+        assert small._held <= 3000 and len(small._young) + len(small._old) < 45
+    assert " again" in small._young or " again" in small._old
+
+
 def test_awkward_tables(spark, both):
     _, other = both
     got = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digests(docs(spark, AWKWARD), *ranks_file()).collect()}

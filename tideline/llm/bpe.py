@@ -10,7 +10,7 @@ the table exactly, and after an edit only entries near the edit change.
 
 Spark partitions the documents; a task encodes one text at a time, each match
 of the split pattern separately, and remembers the ids of pieces it has met
-(a bounded memo, which changes nothing but speed).
+(a memo of two generations, bounded in bytes, which changes nothing but speed).
 
 Defined results: a null or empty text has no tokens, ids and decoded bytes are
 empty; very long texts are encoded whole; repeated rows give repeated results;
@@ -38,13 +38,17 @@ FOREVER = 1 << 40
 class ByteBPE:
     """A vocabulary of byte strings with merge ranks; ranks are the ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 24 << 20):
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern)
+        #: Bytes of pieces, ids and their objects that a generation of the memo holds.
         self.memo_size = memo
         self.longest = max(map(len, ranks), default=1)
-        self._memo: dict[str, bytes] = {}
+        # ids of pieces met since the last change of generations, and of those met before it
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._held = 0
         self._fits: dict[int, bool] = {}
         self._edges: dict[int, tuple[list, list]] = {}
         halves = {i: self._halves(b) for b, i in ranks.items()}
@@ -118,14 +122,14 @@ class ByteBPE:
             else:
                 j += 1
 
-    def extend(self, data: bytes, last: list[int], start: int) -> None:
-        """Work out the entries of the prefixes data[:i] for every i above ``start``.
+    def extend(self, data: bytes, last: list[int], start: int, stop: int | None = None) -> None:
+        """Work out the entries of the prefixes data[:i] for every i above ``start``, up to ``stop``.
 
         Entry i is the one token that ends the encoding of data[:i]: a token that
         is a suffix of it and fits behind the entry of what precedes.
         """
         tails, known = self.tails.get, self._fits.get
-        for i in range(start + 1, len(data) + 1):
+        for i in range(start + 1, (len(data) if stop is None else stop) + 1):
             for low in range(i - 1, -1, -1):
                 t = tails(data[low:i])
                 if t is None:
@@ -139,32 +143,43 @@ class ByteBPE:
                         last.append(t)
                         break
 
-    def encode_pieces(self, pieces: set[str]) -> None:
-        """Put the ids of new pieces into the memo.
+    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of different pieces.
 
         In sorted order a piece shares a prefix with the one before it, whose
         table entries up to there hold for it as well.
         """
-        table, memo = PrefixTable(self), self._memo
+        table, out = PrefixTable(self), {}
         for data, piece in sorted((p.encode(), p) for p in pieces):
             whole = self.ranks.get(data)
             if whole is None:
                 table.turn_into(data)
                 ids = table.ids()
-                memo[piece] = struct.pack(f"<{len(ids)}I", *ids)
+                out[piece] = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                memo[piece] = struct.pack("<I", whole)
+                out[piece] = struct.pack("<I", whole)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         split = [self.pattern.findall(t) for t in texts]
-        met: set[str] = set().union(*split)
-        new = met.difference(self._memo)
-        if len(self._memo) + len(new) > self.memo_size:
-            self._memo.clear()
-            new = met
-        self.encode_pieces(new)
-        ids = self._memo.__getitem__
+        known, new = {}, []
+        young, old = self._young.get, self._old.get
+        for piece in set().union(*split):
+            found = young(piece) or old(piece)
+            if found is None:
+                new.append(piece)
+            else:
+                known[piece] = found
+        known |= self.encode_pieces(new)
+        # pieces that come again go on to the next generation, the others leave with the one after
+        for piece, ids in known.items():
+            if len(piece) <= 64 and piece not in self._young:
+                self._young[piece] = ids
+                self._held += 150 + len(piece) + len(ids)
+                if self._held > self.memo_size:
+                    self._old, self._young, self._held = self._young, {}, 0
+        ids = known.__getitem__
         return [b"".join(map(ids, pieces)) for pieces in split]
 
     def decode(self, ids: bytes) -> bytes:
@@ -203,7 +218,7 @@ class PrefixTable:
         self.data = self.data[:start] + new + self.data[stop:]
         self.last, same = old[: start + 1], 0
         for i in range(start + 1, len(self.data) + 1):
-            self.bpe.extend(self.data[:i], self.last, i - 1)
+            self.bpe.extend(self.data, self.last, i - 1, i)
             t = self.last[i]
             if i > start + len(new):
                 same = same + 1 if old[i - shift] == t else 0
