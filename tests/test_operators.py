@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tideline.functions import scalers
 from tideline.operators import clean, days, gaps, merge, windows
 from tideline.plans import blends, leakage, pipelines, scoring
+from tideline.sources import readers
 from tideline.specs import AvailabilityRule, PivotSpec, Step, WindowSpec, matches, resolve
 
 
@@ -243,3 +244,34 @@ def test_pivot_day_offsets(spark):
     df, _ = series(spark, range(72), "2024-01-01")
     out = windows.daily_pivot(df, [PivotSpec("v", 0, "y"), PivotSpec("v", -1, "lag")], keys=["k"], tz="UTC").orderBy("local_date").collect()
     assert [r.y_5 for r in out] == [5, 29, 53] and [r.lag_5 for r in out] == [None, 5, 29]
+
+
+def test_reports_of_any_length_and_header(spark, tmp_path):
+    """Headers differ by file, cells are quoted, lines are many."""
+    (tmp_path / "a.csv").write_text("Market report,,\n Date , Primary Market,Unnamed\r\n2024-01-01,1.5,\r\n\n2024-01-02,,\n")
+    (tmp_path / "b.csv").write_text("Banner\nUnnamed,Secondary Market ,Date\n" + "".join(f'"x, {i}",{i},2024-02-{1 + i % 28:02}\n' for i in range(5000)))
+    got = readers.read_report_csv(spark, f"file://{tmp_path}", {"Primary Market": "primary", "Secondary Market": "secondary"})
+    assert got.count() == 5002
+    rows = {(str(r.date), r.primary, r.secondary) for r in got.collect()}
+    assert {("2024-01-01", 1.5, None), ("2024-01-02", None, None), ("2024-02-02", None, 1.0), ("2024-02-28", None, 4983.0)} <= rows
+
+
+def test_hill_climb_takes_many_models(spark):
+    """Of 14 models, with errors that cancel between the first two: these two are found."""
+    names = [f"m{i:02}" for i in range(14)]
+    rows = [(float(t), *[t + (3.0 if m == 0 else -3.0 if m == 1 else 4.0 + m + t % 3) for m in range(14)]) for t in range(60)]
+    path = blends.hill_climb(spark.createDataFrame(rows, ["y", *names]), names)
+    assert path[0][2] == 3.0 and path[-1][1] == "m00+m01" and path[-1][2] == 0.0
+
+
+def test_user_functions_and_fitted_steps(spark):
+    """A pipeline takes any function DataFrame -> DataFrame, also one that holds what it has learned."""
+    train = spark.createDataFrame([(1, 2.0), (2, 6.0)], "i int, x double")
+
+    def fit(df):
+        mean = df.agg(F.avg("x")).first()[0]
+        return lambda other: other.withColumn("centred", F.col("x") - mean)
+
+    steps = [Step("custom", {"fn": lambda df: df.withColumn("x", F.col("x") * 2), "label": "double"}), Step("custom", {"fn": fit(train), "label": "centre"})]
+    out = pipelines.compile_steps(steps)(spark.createDataFrame([(7, 5.0)], "i int, x double"))
+    assert out.select("x", "centred").collect() == [(10.0, 6.0)]

@@ -84,7 +84,7 @@ def greedy_selection(table: DataFrame, models: list[str]) -> list[tuple[int, str
 
 
 def subset_scores(table: DataFrame, models: list[str], keys: list[str] = [], alpha: float = 0.0) -> DataFrame:
-    """mask, n_models, mae, penalty, score of the plain mean of every subset (at most 12 models): the exact optimum of the search.
+    """mask, n_models, mae, penalty, score of the plain mean of every subset (at most 12 models; for more, see ``hill_climb``): the exact optimum.
 
     Subsets are expressions over each row, summed in one pass. The penalty is
     ``alpha`` times the mean pairwise correlation of the subset.
@@ -149,16 +149,43 @@ def trailing_weights(preds: DataFrame, days: int = 150, keys: list[str] = [], ti
 
 
 def incremental_blends(preds: DataFrame, keys: list[str] = [], time: str = "ts") -> DataFrame:
-    """n, mae, rmse of the inverse-MAE blend of the n best models, for every n."""
-    errors = errors_by_model(preds).withColumn("rank_", F.row_number().over(Window.orderBy("mae", "model")))
-    size = errors.agg(F.max("rank_").alias("all_"))
-    prefixes = errors.join(F.broadcast(size)).withColumn("n", F.explode(F.sequence("rank_", "all_")))
-    weights = inverse_mae_weights(prefixes, ["n"]).select("n", "model", "weight")
-    blended = preds.where(F.col("pred").isNotNull()).join(F.broadcast(weights), "model").groupBy("n", *keys, time).agg(F.max("y").alias("y"), F.sum(F.col("weight") * F.col("pred")).alias("pred"), F.count("*").alias("there_")).where("there_ = n")
+    """n, mae, rmse of the inverse-MAE blend of the n best models, for every n.
+
+    Models are ranked once; along the ranks of a time's rows, running sums of
+    weights and weighted predictions give each prefix's blend.
+    """
+    errors = errors_by_model(preds)
+    ranked = errors.select("model", (1 / (F.col("mae") + 1e-6)).alias("w_"), F.row_number().over(Window.orderBy("mae", "model")).alias("n"))  # a row per model
+    upto = Window.partitionBy(*keys, time).orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = preds.where(F.col("pred").isNotNull()).join(ranked, "model")
+    blended = rows.select("n", "y", (F.sum(F.col("w_") * F.col("pred")).over(upto) / F.sum("w_").over(upto)).alias("pred"), F.count("*").over(upto).alias("there_")).where("there_ = n")
     m = metric_columns()
     return blended.groupBy("n").agg(m["mae"].alias("mae"), m["rmse"].alias("rmse"))
 
 
+def hill_climb(table: DataFrame, models: list[str], start: list[str] | None = None, max_steps: int = 100) -> list[tuple[int, str, float]]:
+    """(step, models, MAE) while adding or removing one model betters the plain mean; for any number of models.
+
+    A step is one pass with an expression for each model that could come or go. It starts from the best single model.
+    """
+    mean = lambda ms: F.avg(F.abs(reduce(lambda a, b: a + b, map(c, ms)) / len(ms) - F.col("y")))
+
+    def best_of(sets: list[list[str]]) -> tuple[float, list[str]]:
+        row = table.agg(*[mean(s).alias(f"s{i}") for i, s in enumerate(sets)]).first()
+        return min((row[f"s{i}"], s) for i, s in enumerate(sets))
+
+    mae, now = best_of([start] if start else [[m] for m in models])
+    path = [(0, "+".join(now), mae)]
+    for step in range(1, max_steps):
+        around = [sorted({*now} ^ {m}) for m in models if {*now} != {m}]
+        better, other = best_of(around)
+        if not better < mae:
+            break
+        mae, now = better, other
+        path.append((step, "+".join(now), mae))
+    return path
+
+
 def comparison(tables: dict[str, DataFrame], leaky: set[str] = frozenset()) -> DataFrame:
     """method, mae, rmse, uses_test_data: metric rows of several methods."""
     m = metric_columns()

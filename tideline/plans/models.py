@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import random
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.plans.scoring import folds, metric_columns, with_folds
+from tideline.session import scratch
 from tideline.specs import c
 
 
@@ -61,18 +64,37 @@ def train_and_score(df: DataFrame, features: list[str], estimator, label: str =
 
 
 def per_slot(df: DataFrame, features: list[str], make, slots: int = 24, slot: str = "slot", threads: int = 4) -> DataFrame:
-    """One model per hour of the day, fitted concurrently; returns predictions of all."""
+    """One model per hour of the day, fitted concurrently; returns predictions of all, saved hour by hour."""
+    spark, path = df.sparkSession, scratch(df.sparkSession)
 
-    def one(h: int) -> DataFrame:
+    def one(h: int) -> None:
         part = df.where(c(slot) == h)
-        return predict(train(part.where("split = 'train'"), features, make()), part)
+        predict(train(part.where("split = 'train'"), features, make()), part).write.parquet(f"{path}/{h}")
 
     with ThreadPoolExecutor(threads) as pool:
-        parts = list(pool.map(one, range(slots)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        list(pool.map(one, range(slots)))
+    schema = spark.read.parquet(f"{path}/0").schema
+    return spark.read.schema(schema).parquet(*[f"{path}/{h}" for h in range(slots)])
+
+
+def random_search(df: DataFrame, features: list[str], draw, make, trials: int = 30, seed: int = 0, threads: int = 4) -> DataFrame:
+    """A row of test metrics per trial; ``draw`` makes a trial's parameters from a seeded generator, so trials can be told again."""
+    drawn = [draw(random.Random(f"{seed}/{i}")) for i in range(trials)]
+
+    def one(p: dict) -> tuple:
+        r = train_and_score(df, features, make(**p)).where("split = 'test'").first()
+        return (json.dumps(p), r["mae"], r["rmse"])
+
+    with ThreadPoolExecutor(threads) as pool:
+        rows = list(pool.map(one, drawn))
+    return df.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(rows)], "trial int, params string, mae double, rmse double")
+
+
+def retrain_best(df: DataFrame, features: list[str], runs: DataFrame, make) -> DataFrame:
+    """Fits again with the parameters (JSON) of the stored run of least MAE."""
+    best = runs.where("mae IS NOT NULL").orderBy("mae", "params").select("params").first()["params"]
+    r = train_and_score(df, features, make(**json.loads(best))).where("split = 'test'")
+    return r.select(F.lit(best).alias("params"), "mae", "rmse")
 
 
 def grid_search(df: DataFrame, features: list[str], grid: dict[str, list], make, threads: int = 4) -> DataFrame:

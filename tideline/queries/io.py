@@ -79,15 +79,11 @@ def A09_forecast_csv(spark, sf):
     return rd.read_forecast_csv(spark, [f"{path}.absent", path], "date STRING, view DOUBLE, click DOUBLE")
 
 
-@query("snapshot_date:D, n:i, view:d", f"WITH {WIDE} SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS n, sum(view) AS view FROM wide WHERE ts < TIMESTAMP '2024-01-04' GROUP BY 1")
+@query("snapshot_date:D, n:i, view:d", f"WITH {WIDE} SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS n, sum(view) AS view FROM wide GROUP BY 1")
 def A10_snapshots(spark, sf):
-    base, w = scratch(spark), wide(spark, sf)
-    for d in ("2024-01-01", "2024-01-02", "2024-01-03"):
-        # the date is in the folder's name here, which the file's path shows as well
-        w.where(F.to_date("ts") == F.lit(d).cast("date")).write.parquet(f"{base}/{d}.parquet")
-    found = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2}-\d{2})\.parquet", 1))
-    s = spark.read.option("recursiveFileLookup", True).parquet(base).withColumn("snapshot_date", found)
-    return s.groupBy("snapshot_date").agg(F.count("*").alias("n"), F.sum("view").alias("view"))
+    base = scratch(spark)
+    wide(spark, sf).withColumn("published", F.to_date("ts")).write.partitionBy("published").parquet(base)
+    return rd.read_snapshots(spark, base).groupBy("snapshot_date").agg(F.count("*").alias("n"), F.sum("view").alias("view"))
 
 
 @query("source:s, is_true_forecast:i, n:i", f"WITH {WIDE} SELECT 'backtest_a' AS source, 1 AS is_true_forecast, count(*) AS n FROM wide UNION ALL SELECT 'hindcast_b', 0, count(*) FROM wide WHERE date_part('hour', ts) < 6")
@@ -191,18 +187,43 @@ def C14_incremental_merge(spark, sf):
 # ---- streams ----
 
 
-def _landed(spark, sf) -> str:
-    """The events as files of a folder, oldest first, for a file source."""
-    path = f"{scratch(spark)}/landed"
-    table(spark, sf, "events").withColumn("part", F.dayofmonth("ts") % 3).repartitionByRange(3, "ts").drop("part").write.parquet(path)
-    return path
-
-
-@query("event_type:s, ts:t, value:d, n:i", f"WITH {HOURLY} SELECT event_type, ts, value, n FROM hourly")
+@query("event_type:s, ts:t, value:d, n:i", f"WITH {HOURLY} SELECT event_type, ts, value, n FROM hourly WHERE ts + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events)")
 def S01_stream_means(spark, sf):
-    path = _landed(spark, sf)
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    return st.run_available(st.hourly_means(stream, ["event_type"], late="40 days"), f"means_{abs(hash(path))}", "complete")
+    """Windows come out once the watermark has passed them; rows that arrive behind it change nothing."""
+    base, e = scratch(spark), table(spark, sf, "events")
+
+    def run():
+        stream = spark.readStream.schema(e.schema).parquet(f"{base}/in")
+        st.append_stream(st.hourly_means(stream, ["event_type"], late="2 hours"), f"{base}/out", f"{base}/ck").awaitTermination()
+
+    e.write.parquet(f"{base}/in")
+    run()
+    first = e.agg(F.min("ts").alias("first"))
+    e.join(F.broadcast(first)).where("ts < first + INTERVAL 3 DAYS").withColumn("value", F.col("value") * 100).drop("first").write.mode("append").parquet(f"{base}/in")
+    run()
+    return spark.read.schema("event_type STRING, ts TIMESTAMP, value DOUBLE, n LONG").parquet(f"{base}/out")
+
+
+@query("event_type:s, ts:t, n:i, value:d", """WITH w AS (SELECT event_type, value, ts, unnest([0, 1, 2]) AS i FROM events), b AS (SELECT event_type, value, time_bucket(INTERVAL 2 HOUR, ts, TIMESTAMP '2000-01-01') - i * INTERVAL 2 HOUR AS s, ts FROM w)
+ SELECT event_type, s AS ts, count(*) AS n, avg(value) AS value FROM b WHERE ts < s + INTERVAL 6 HOUR AND s + INTERVAL 8 HOUR <= (SELECT max(ts) FROM events) GROUP BY event_type, s""")
+def S01_sliding(spark, sf):
+    base, e = scratch(spark), table(spark, sf, "events")
+    e.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(e.schema).parquet(f"{base}/in")
+    w = stream.withWatermark("ts", "2 hours").groupBy("event_type", F.window("ts", "6 hours", "2 hours").alias("w")).agg(F.count("*").alias("n"), F.avg("value").alias("value"))
+    st.append_stream(w.select("event_type", F.col("w.start").alias("ts"), "n", "value"), f"{base}/out", f"{base}/ck").awaitTermination()
+    return spark.read.schema("event_type STRING, ts TIMESTAMP, n LONG, value DOUBLE").parquet(f"{base}/out")
+
+
+@query("user_id:i, ts:t, last:t, n:i", """WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 12 HOUR THEN 1 ELSE 0 END AS new FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS i FROM g)
+ SELECT user_id, min(ts) AS ts, max(ts) + INTERVAL 12 HOUR AS last, count(*) AS n FROM s GROUP BY user_id, i HAVING max(ts) + INTERVAL 14 HOUR <= (SELECT max(ts) FROM events)""")
+def S01_sessions(spark, sf):
+    base, e = scratch(spark), table(spark, sf, "events")
+    e.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(e.schema).parquet(f"{base}/in")
+    w = stream.withWatermark("ts", "2 hours").groupBy("user_id", F.session_window("ts", "12 hours").alias("w")).agg(F.count("*").alias("n"))
+    st.append_stream(w.select("user_id", F.col("w.start").alias("ts"), F.col("w.end").alias("last"), "n"), f"{base}/out", f"{base}/ck").awaitTermination()
+    return spark.read.schema("user_id LONG, ts TIMESTAMP, last TIMESTAMP, n LONG").parquet(f"{base}/out")
 
 
 @query("event_type:s, ts:t, value:d", f"WITH {HOURLY} SELECT event_type, ts, value * 2 AS value FROM hourly WHERE ts >= (SELECT max(ts) FROM hourly) - INTERVAL 14 DAY UNION ALL SELECT event_type, ts, value FROM hourly WHERE ts < (SELECT max(ts) FROM hourly) - INTERVAL 14 DAY")
@@ -210,9 +231,9 @@ def S02_stream_upsert(spark, sf):
     base = scratch(spark)
     h = hourly(spark, sf).select("event_type", "ts", "value")
     # corrections of everything come after the first load; only those of the last 14 days are taken
-    h.withColumn("version", F.lit(1)).coalesce(1).write.parquet(f"{base}/in/a")
+    h.withColumn("version", F.lit(1)).write.parquet(f"{base}/in/a")
     st.upsert_batch(spark.read.parquet(f"{base}/in/a").where("ts IS NOT NULL"), f"{base}/table", f"{base}/late", ["event_type", "ts"], late_days=60)
-    h.withColumns({"version": F.lit(2), "value": F.col("value") * 2}).coalesce(1).write.parquet(f"{base}/in/b")
+    h.withColumns({"version": F.lit(2), "value": F.col("value") * 2}).write.parquet(f"{base}/in/b")
     stream = spark.readStream.schema("event_type STRING, ts TIMESTAMP, value DOUBLE, version INT").parquet(f"{base}/in/b")
     st.upsert_stream(stream, f"{base}/table", f"{base}/late", f"{base}/ck", ["event_type", "ts"]).awaitTermination()
     return spark.read.parquet(f"{base}/table")

@@ -168,8 +168,18 @@ def J04_boosted(spark, sf):
 def J05_per_slot(spark, sf):
     df, xs = matrix(spark, sf)
     n, sd = models.moments(df)
-    part = df.where("slot < 4")
-    return scoring.metrics(models.per_slot(part, xs[:-1], lambda: models.linear("ridge", 1.0, n, sd), slots=4), ["split"])
+    return scoring.metrics(models.per_slot(df, xs[:-1], lambda: models.linear("ridge", 1.0, n, sd)), ["split"])
+
+
+def _drawn(rnd) -> dict:
+    return {"kind": rnd.choice(["ridge", "lasso", "elasticnet"]), "alpha": round(10 ** rnd.uniform(-3, 2), 6)}
+
+
+@query("trial:i, params:s, mae:d, rmse:d")
+def J06_random_search(spark, sf):
+    df, xs = matrix(spark, sf)
+    n, sd = models.moments(df)
+    return models.random_search(df, xs, _drawn, lambda kind, alpha: models.linear(kind, alpha, n, sd))
 
 
 @query("params:s, mae:d, rmse:d")
@@ -190,8 +200,9 @@ def J07_cv_search(spark, sf):
 def J08_retrain(spark, sf):
     df, xs = matrix(spark, sf)
     n, sd = models.moments(df)
-    stored = [("lasso", 0.5)]
-    return models.grid_search(df, xs, {"kind": [k for k, _ in stored], "alpha": [a for _, a in stored]}, lambda kind, alpha: models.linear(kind, alpha, n, sd))
+    make = lambda kind, alpha: models.linear(kind, alpha, n, sd)
+    runs = pin(models.random_search(df, xs, _drawn, make, trials=4, seed=8))
+    return models.retrain_best(df, xs, runs, make)
 
 
 @query("feature:s")
@@ -306,7 +317,18 @@ def _spread(spark, sf):
     return pin(blends.spread(preds(spark, sf), list(LAGS), ["k"]))
 
 
-@query("step:i, model:s, mae:d")
+def _greedy() -> str:
+    """All blends of three models, and the way from the best single one through the better pair."""
+    names = list(LAGS)
+    blend = lambda ms: f"avg(abs(({' + '.join(f'{m} * w_{m}' for m in ms)}) / ({' + '.join(f'w_{m}' for m in ms)}) - y))"
+    pairs = [(a, b) for a in names for b in names if a != b]
+    return f"""WITH {SPREAD}, e AS (SELECT {', '.join(f'avg(abs({m} - y)) AS e_{m}, 1 / (avg(abs({m} - y)) + 1e-6) AS w_{m}' for m in names)} FROM sp),
+ one AS (SELECT model, mae FROM ({' UNION ALL '.join(f"SELECT '{m}' AS model, e_{m} AS mae FROM e" for m in names)}) ORDER BY mae, model LIMIT 1),
+ two AS (SELECT p.model, p.mae FROM ({' UNION ALL '.join(f"SELECT '{a}' AS a, '{b}' AS model, {blend((a, b))} AS mae FROM sp, e" for a, b in pairs)}) p JOIN one ON one.model = p.a ORDER BY p.mae, p.model LIMIT 1)
+ SELECT 1 AS step, model, mae FROM one UNION ALL SELECT 2, model, mae FROM two UNION ALL SELECT 3, m, (SELECT {blend(names)} FROM sp, e) FROM (VALUES {', '.join(f"('{m}')" for m in names)}) t(m) WHERE m NOT IN (SELECT model FROM one UNION SELECT model FROM two)"""
+
+
+@query("step:i, model:s, mae:d", _greedy())
 def K09_greedy(spark, sf):
     return spark.createDataFrame(blends.greedy_selection(_spread(spark, sf), list(LAGS)), "step int, model string, mae double")
 
@@ -327,6 +349,11 @@ def K10_subsets(spark, sf):
     return blends.subset_scores(_spread(spark, sf), list(LAGS))
 
 
+@query("step:i, models:s, mae:d")
+def K10_hill_climb(spark, sf):
+    return spark.createDataFrame(blends.hill_climb(_spread(spark, sf), list(LAGS)), "step int, models string, mae double")
+
+
 @query("mask:i, n_models:i, mae:d, penalty:d, score:d", _subset(0.5))
 def K11_diversity(spark, sf):
     return blends.subset_scores(_spread(spark, sf), list(LAGS), alpha=0.5)
@@ -437,9 +464,54 @@ def L08_pipeline_v5_slim(spark, sf):
     return out.withColumnRenamed("view_d7_mean", "view_d7_d7_mean")
 
 
-@query("local_date:D, y_0:d, price_lag_5:d")
+LAGGED = lambda hours, name: f"(SELECT view FROM wide p WHERE p.ts = w.ts - to_hours({hours})) AS {name}"
+#: Local hours: the whole month is an hour ahead of UTC.
+SLOTS = f"{WIDE}, loc AS (SELECT CAST(ts + INTERVAL 1 HOUR AS DATE) AS local_date, date_part('hour', ts + INTERVAL 1 HOUR) AS slot, view, signup FROM wide), d AS (SELECT local_date, max(view) FILTER (slot = 0) AS y_0, max(view) FILTER (slot = 5) AS v5, max(signup) FILTER (slot = 3) AS signup_3 FROM loc GROUP BY 1)"
+PRICES = f"WITH {SLOTS} SELECT d.local_date, d.y_0, p.v5 AS price_lag_5 FROM d LEFT JOIN d p ON p.local_date = d.local_date - INTERVAL 1 DAY"
+
+
+def _version(spark, sf, name):
+    return pipelines.compile_steps(pipelines.pipeline(name, ROLES, 10))(wide(spark, sf))
+
+
+@query("ts:t, spread_click:d, ratio_click:d", f"WITH {WIDE} SELECT ts, view - click AS spread_click, view / nullif(click, 0) AS ratio_click FROM wide")
+def L08_pipeline_v1_hourly(spark, sf):
+    return _version(spark, sf, "v1_hourly")
+
+
+@query("local_date:D, signup_3:d", f"WITH {SLOTS} SELECT local_date, signup_3 FROM d")
+def L08_pipeline_v1_daily(spark, sf):
+    return _version(spark, sf, "v1_daily")
+
+
+@query("local_date:D, y_0:d, price_lag_5:d", PRICES)
+def L08_pipeline_v1_preprocessor(spark, sf):
+    return _version(spark, sf, "v1_preprocessor")
+
+
+@query("ts:t, view:d", f"WITH {WIDE} SELECT ts, view FROM wide")
+def L08_pipeline_v1_ml(spark, sf):
+    return _version(spark, sf, "v1_ml")
+
+
+@query("local_date:D, y_0:d, price_lag_5:d", PRICES)
+def L08_pipeline_v2(spark, sf):
+    return _version(spark, sf, "v2")
+
+
+@query("local_date:D, y_0:d, price_lag_5:d", PRICES)
 def L08_pipeline_v3(spark, sf):
-    return pipelines.compile_steps(pipelines.pipeline("v3", ROLES, 10))(wide(spark, sf))
+    return _version(spark, sf, "v3")
+
+
+@query("ts:t, y:d, view_lag_1d:d, view_lag_7d:d", f"WITH {WIDE} SELECT ts, view AS y, {LAGGED(24, 'view_lag_1d')}, {LAGGED(168, 'view_lag_7d')} FROM wide w")
+def L08_pipeline_v4(spark, sf):
+    return _version(spark, sf, "v4")
+
+
+@query("ts:t, y:d, view_lag_2d:d, view_lag_14d:d, view_lag_25h:d", f"WITH {WIDE} SELECT ts, view AS y, {LAGGED(48, 'view_lag_2d')}, {LAGGED(336, 'view_lag_14d')}, {LAGGED(25, 'view_lag_25h')} FROM wide w")
+def L08_pipeline_v5_full(spark, sf):
+    return _version(spark, sf, "v5_full")
 
 
 @query("feature:s, n:i, n_violations:i", f"WITH {PREDS} SELECT model AS feature, count(*) AS n, count(*) FILTER (ts - to_hours(CASE model WHEN 'lag1' THEN 24 WHEN 'lag2' THEN 48 ELSE 168 END) > date_trunc('day', ts) - INTERVAL 14 HOUR) AS n_violations FROM preds GROUP BY 1")

@@ -28,9 +28,9 @@ def B04_clean_name(spark, sf):
     return table(spark, sf, "part").select("p_partkey", ft.clean_name(F.concat(F.col("p_brand"), F.lit(" / "), F.col("p_name"), F.lit(": <"), F.col("p_type"), F.lit(">"))).alias("name"))
 
 
-@query("code:i, unique_name:s", "SELECT p_partkey AS code, CASE WHEN count(*) OVER (PARTITION BY p_name) > 1 THEN p_name || '_' || p_partkey ELSE p_name END AS unique_name FROM part WHERE p_size <= 3")
+@query("code:i, unique_name:s", "SELECT p_partkey AS code, CASE WHEN count(*) OVER (PARTITION BY p_name) > 1 THEN p_name || '_' || p_partkey ELSE p_name END AS unique_name FROM part")
 def B05_unique_names(spark, sf):
-    return reshape.name_columns(table(spark, sf, "part").where("p_size <= 3").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("column_name")))
+    return reshape.name_columns(table(spark, sf, "part").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("column_name")))
 
 
 @query("n_nationkey:i, n_name:s", "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name LIKE 'A%') AND n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal < 0)")

@@ -76,20 +76,16 @@ def D08_composite(spark, sf):
     return jobs.handle_missing(thin(spark, sf), rules, max_gap=5, not_interpolated=["net"])
 
 
-#: Hours across both clock changes of 2024, valued by their number.
-DST = """grid AS (SELECT TIMESTAMP '2024-03-30' + to_hours(CAST(h AS INT)) AS ts, CAST(h AS DOUBLE) AS v FROM range(72) r(h) UNION ALL SELECT TIMESTAMP '2024-10-26' + to_hours(CAST(h AS INT)), CAST(h AS DOUBLE) * 2 FROM range(72) r(h)),
- loc AS (SELECT ts + CASE WHEN ts >= TIMESTAMP '2024-03-31 01:00:00' AND ts < TIMESTAMP '2024-10-27 01:00:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS l, v, n_nationkey FROM grid, nation WHERE n_nationkey < 3)"""
+#: The hourly series moved over both clock changes of 2024.
+DST = f"""{HOURLY}, grid AS (SELECT event_type AS k, ts + to_days(d) AS ts, value AS v FROM hourly, (VALUES (65), (280)) m(d)),
+ loc AS (SELECT k, ts + CASE WHEN ts >= TIMESTAMP '2024-03-31 01:00:00' AND ts < TIMESTAMP '2024-10-27 01:00:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS l, v FROM grid)"""
 
 
-@query("k:i, local_date:D, slot:i, v:d", f"""WITH {DST}, g AS (SELECT n_nationkey AS k, CAST(l AS DATE) AS local_date, date_part('hour', l) AS slot, avg(v * (n_nationkey + 1)) AS v FROM loc GROUP BY ALL)
+@query("k:s, local_date:D, slot:i, v:d", f"""WITH {DST}, g AS (SELECT k, CAST(l AS DATE) AS local_date, date_part('hour', l) AS slot, avg(v) AS v FROM loc GROUP BY ALL)
  SELECT * FROM g UNION ALL SELECT k, DATE '2024-03-31', 2, avg(v) FROM g WHERE local_date = DATE '2024-03-31' AND slot IN (1, 3) GROUP BY k""")
 def D09_dst(spark, sf):
-    hours = spark.range(72)
-    at = lambda start, f: hours.select((F.lit(start).cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("ts"), (F.col("id") * float(f)).alias("v"))
-    grid = at("2024-03-30", 1).unionByName(at("2024-10-26", 2))
-    keys = table(spark, sf, "nation").where("n_nationkey < 3").select(F.col("n_nationkey").alias("k"))
-    rows = keys.withColumn("m_", F.explode(F.array(F.lit(1)))).join(F.broadcast(grid.withColumn("m_", F.lit(1))), "m_").drop("m_")
-    return normalize_dst(rows.withColumn("v", F.col("v") * (F.col("k") + 1)), ["v"], ["k"])
+    h = hourly(spark, sf).select(F.col("event_type").alias("k"), F.explode(F.array(F.lit(65), F.lit(280))).alias("d"), "ts", F.col("value").alias("v"))
+    return normalize_dst(h.withColumn("ts", F.col("ts") + F.make_dt_interval("d")).drop("d"), ["v"], ["k"])
 
 
 @query("ts:t, view:d, error:d", f"""WITH {CUT} SELECT ts, CASE WHEN ts <= (SELECT max(ts) FILTER (view IS NOT NULL) FROM cut) THEN last_value(view IGNORE NULLS) OVER w END AS view, CASE WHEN ts <= (SELECT max(ts) FILTER (error IS NOT NULL) FROM cut) THEN last_value(error IGNORE NULLS) OVER w END AS error
@@ -152,8 +148,8 @@ def E02_convert(spark, sf):
 
 @query("k:s, bias:d, corr:d, n:i", f"WITH {DAILY}, {FINE} SELECT k, coalesce(avg(price - value), 0) AS bias, corr(price, value) AS corr, count(*) AS n FROM daily JOIN fine USING (date) WHERE date >= DATE '1998-01-01' GROUP BY k")
 def E03_bias(spark, sf):
-    keys = daily(spark, sf).select("k").distinct()
-    f = keys.withColumn("m_", F.lit(1)).join(fine(spark, sf).withColumn("m_", F.lit(1)), "m_").drop("m_")
+    # the proxy stands for every key: a row of it for each
+    f = fine(spark, sf).withColumn("k", F.explode(F.array(*map(F.lit, ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")))))
     return dl.bias(daily(spark, sf).withColumnRenamed("price", "value"), f, ["k"], since="1998-01-01")
 
 

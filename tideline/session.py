@@ -23,8 +23,13 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str)
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="tideline-")
+    """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or a temporary one where that is unset in local mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tideline-")
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
 
 

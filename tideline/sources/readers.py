@@ -52,13 +52,21 @@ def read_daily_folder(spark: SparkSession, folder: str, wanted: dict[str, tuple[
 
 
 def read_report_csv(spark: SparkSession, path: str, columns: dict[str, str], date: str = "Date") -> DataFrame:
-    """An exchange report: one banner line, padded headers, unnamed columns; blanks are missing."""
-    lines = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", "\r", ""), "\n").alias("l"))
-    header = [x.strip() for x in lines.select(F.get("l", F.lit(1))).first()[0].split(",")]
-    body = lines.select(F.explode(F.slice("l", 3, 1_000_000)).alias("line")).where(F.length(F.trim("line")) > 0)
-    cells = F.split("line", ",")
-    number = lambda name: F.expr(f"try_cast(trim(get(split(line, ','), {header.index(name)})) AS DOUBLE)")
-    return body.select(F.to_date(F.trim(F.get(cells, F.lit(header.index(date))))).alias("date"), *[number(k).alias(v) for k, v in columns.items()])
+    """Exchange reports: a banner line, padded headers, unnamed columns; blanks are missing.
+
+    Files are read by lines and can be of any length. A file's header is its line
+    with a ``date`` cell; columns are found by each file's own header. Rows are the
+    lines with a date there; cells may be quoted. ``columns``: header -> name.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "\r", "").alias("line"))
+    names = F.transform(F.split("line", ","), lambda x: F.trim(x))
+    heads = lines.where(F.array_contains(names, date)).groupBy("file").agg(F.min(names).alias("names"))
+    width = heads.agg(F.max(F.size("names"))).first()[0] or 1
+    cells = F.from_csv("line", ", ".join(f"c{i} STRING" for i in range(width)), {"mode": "PERMISSIVE"})
+    rows = lines.join(heads, "file").withColumn("row", cells).withColumn("cells", F.array(*[F.trim(f"row.c{i}") for i in range(width)]))
+    cell = lambda name: F.get("cells", (F.array_position("names", F.lit(name)) - 1).cast("int"))  # noqa: E731  missing where the header lacks it
+    day = rows.withColumn("day", cell(date).try_cast("date")).where("day IS NOT NULL")
+    return day.select(F.col("day").alias("date"), *[cell(k).try_cast("double").alias(v) for k, v in columns.items()])
 
 
 def decode_series(json: DataFrame, constants: dict[str, str] = {}) -> DataFrame:
@@ -95,12 +103,13 @@ def read_forecast_csv(spark: SparkSession, paths: list[str], schema: str) -> Dat
 
 
 def file_date(pattern: str = r"(\d{4}-\d{2}-\d{2})") -> Column:
-    return F.to_date(F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
+    """The last date in a file's path: in its own name or its folder's."""
+    return F.to_date(F.element_at(F.regexp_extract_all(F.col("_metadata.file_path"), F.lit(pattern), F.lit(1)), -1))
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Snapshot files; the publication date comes from the file name."""
-    return spark.read.parquet(path).withColumn("snapshot_date", file_date())
+    """Snapshot files of any folder depth; the publication date comes from the path."""
+    return spark.read.option("recursiveFileLookup", True).parquet(path).withColumn("snapshot_date", file_date())
 
 
 def read_hindcasts(spark: SparkSession, files: list[str], required: list[str], skip: str = "per_tso_") -> DataFrame:

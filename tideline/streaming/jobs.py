@@ -52,6 +52,12 @@ def upsert_stream(stream: DataFrame, path: str, rejected: str, checkpoint: str,
     return stream.writeStream.foreachBatch(lambda b, _: upsert_batch(b, path, rejected, by, **options)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append what is finished to Parquet, a folder per micro-batch; a batch that is run again replaces its own folder."""
+    put = lambda b, i: b.write.mode("overwrite").parquet(f"{path}/batch={i}")
+    return df.writeStream.outputMode("append").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def run_available(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a streaming frame over what is there and return the memory sink's table; for tests and small results."""
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
