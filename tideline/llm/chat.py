@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -80,19 +81,23 @@ def branches(nodes: DataFrame, best: int = 1, max_rounds: int = 40) -> DataFrame
     present = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     near = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")).join(present, ["tree", "parent"], "left")
     jump = save(near.select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("to"), "score"), "jump")
-    jumps = []
-    while len(jumps) < max_rounds and not (up := jump.where("to IS NOT NULL")).isEmpty():
-        jumps.append(up.select("tree", "node", "to"))
-        beyond = jump.select("tree", F.col("node").alias("to"), F.col("to").alias("further"), F.col("score").alias("more"))
-        jump = save(jump.join(beyond, ["tree", "to"], "left").select("tree", "node", F.col("further").alias("to"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")), "jump")
+    jumps, done, active = [], [jump.where("to IS NULL")], jump.where("to IS NOT NULL")
+    while len(jumps) < max_rounds and not active.isEmpty():
+        # only messages whose jump has not passed the root go on, so the many short branches end early
+        jumps.append(active.select("tree", "node", "to"))
+        beyond = reduce(DataFrame.unionByName, done, active).select("tree", F.col("node").alias("to"), F.col("to").alias("further"), F.col("score").alias("more"))
+        # both sides grow with the messages: the same join at every size
+        jump = save(active.join(beyond.hint("merge"), ["tree", "to"]).select("tree", "node", F.col("further").alias("to"), (F.col("score") + F.col("more")).alias("score")), "jump")
+        done.append(jump.where("to IS NULL"))
+        active = jump.where("to IS NOT NULL")
     # where no jump is left, the score is that of the whole branch; on a cycle one always is
-    ends = jump.where("to IS NULL").join(near.where("there").select("tree", F.col("parent").alias("node")).distinct(), ["tree", "node"], "left_anti")
+    ends = reduce(DataFrame.unionByName, done).join(near.where("there").select("tree", F.col("parent").alias("node")).distinct(), ["tree", "node"], "left_anti")
     by_score = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
     leaves = ends.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= best)
     paths = leaves.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("up"))
     for k in reversed(range(len(jumps))):
         paths = save(paths, "paths")
-        paths = paths.unionByName(paths.join(jumps[k], ["tree", "node"]).select("tree", "leaf", "rank", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up")))
+        paths = paths.unionByName(paths.join(jumps[k].hint("merge"), ["tree", "node"]).select("tree", "leaf", "rank", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up")))
     return paths
 
 
