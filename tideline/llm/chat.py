@@ -86,8 +86,7 @@ def branches(nodes: DataFrame, best: int = 1, max_rounds: int = 40) -> DataFrame
         # only messages whose jump has not passed the root go on, so the many short branches end early
         jumps.append(active.select("tree", "node", "to"))
         beyond = reduce(DataFrame.unionByName, done, active).select("tree", F.col("node").alias("to"), F.col("to").alias("further"), F.col("score").alias("more"))
-        # both sides grow with the messages: the same join at every size
-        jump = save(active.join(beyond.hint("merge"), ["tree", "to"]).select("tree", "node", F.col("further").alias("to"), (F.col("score") + F.col("more")).alias("score")), "jump")
+        jump = save(active.join(beyond, ["tree", "to"]).select("tree", "node", F.col("further").alias("to"), (F.col("score") + F.col("more")).alias("score")), "jump")
         done.append(jump.where("to IS NULL"))
         active = jump.where("to IS NOT NULL")
     # where no jump is left, the score is that of the whole branch; on a cycle one always is
@@ -97,7 +96,7 @@ def branches(nodes: DataFrame, best: int = 1, max_rounds: int = 40) -> DataFrame
     paths = leaves.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("up"))
     for k in reversed(range(len(jumps))):
         paths = save(paths, "paths")
-        paths = paths.unionByName(paths.join(jumps[k].hint("merge"), ["tree", "node"]).select("tree", "leaf", "rank", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up")))
+        paths = paths.unionByName(paths.join(jumps[k], ["tree", "node"]).select("tree", "leaf", "rank", F.col("to").alias("node"), (F.col("up") + (1 << k)).alias("up")))
     return paths
 
 
