@@ -79,18 +79,19 @@ def branches(nodes: DataFrame, best: int = 1, max_rounds: int = 40) -> DataFrame
     ``nodes``: tree (not null), node, parent, score; a node id is unique in its tree.
     """
     present = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
-    near = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")).join(present, ["tree", "parent"], "left")
-    jump = save(near.select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("to"), "score"), "jump")
+    answered = nodes.where("parent IS NOT NULL").select("tree", F.col("parent").alias("node"), F.lit(False).alias("leaf")).distinct()
+    near = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")).join(present, ["tree", "parent"], "left").join(answered, ["tree", "node"], "left")
+    jump = save(near.select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("to"), "score", F.coalesce("leaf", F.lit(True)).alias("leaf")), "jump")
     jumps, done, active = [], [jump.where("to IS NULL")], jump.where("to IS NOT NULL")
     while len(jumps) < max_rounds and not active.isEmpty():
         # only messages whose jump has not passed the root go on, so the many short branches end early
         jumps.append(active.select("tree", "node", "to"))
         beyond = reduce(DataFrame.unionByName, done, active).select("tree", F.col("node").alias("to"), F.col("to").alias("further"), F.col("score").alias("more"))
-        jump = save(active.join(beyond, ["tree", "to"]).select("tree", "node", F.col("further").alias("to"), (F.col("score") + F.col("more")).alias("score")), "jump")
+        jump = save(active.join(beyond, ["tree", "to"]).select("tree", "node", F.col("further").alias("to"), (F.col("score") + F.col("more")).alias("score"), "leaf"), "jump")
         done.append(jump.where("to IS NULL"))
         active = jump.where("to IS NOT NULL")
     # where no jump is left, the score is that of the whole branch; on a cycle one always is
-    ends = reduce(DataFrame.unionByName, done).join(near.where("there").select("tree", F.col("parent").alias("node")).distinct(), ["tree", "node"], "left_anti")
+    ends = reduce(DataFrame.unionByName, done).where("leaf")
     by_score = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
     leaves = ends.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= best)
     paths = leaves.select("tree", F.col("node").alias("leaf"), "rank", "node", F.lit(0).cast("long").alias("up"))
