@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.plans.scoring import folds, metric_columns, with_folds
-from tideline.session import scratch
+from tideline.session import pin, scratch
 from tideline.specs import c
 
 
@@ -41,6 +41,14 @@ def boosted(loss: str = "squared", iterations: int = 20, step: float = 0.1, dept
     return GBTRegressor(featuresCol="features_", labelCol=label, lossType=loss, maxIter=iterations, stepSize=step, maxDepth=depth, subsamplingRate=sample, minInstancesPerNode=min_rows, seed=seed)
 
 
+#: Levels of regularisation for ``boosted``: smaller trees of more rows, on fewer rows each, in smaller steps.
+LEVELS = {
+    "moderate": {"step": 0.1, "depth": 5, "sample": 0.7, "min_rows": 50},
+    "strong": {"step": 0.05, "depth": 4, "sample": 0.5, "min_rows": 100},
+    "very strong": {"step": 0.025, "depth": 3, "sample": 0.5, "min_rows": 200},
+}
+
+
 def moments(df: DataFrame, label: str = "y") -> tuple[int, float]:
     r = df.agg(F.count(label).alias("n"), F.stddev_samp(label).alias("s")).first()
     return max(r["n"], 1), r["s"] or 1.0
@@ -123,6 +131,22 @@ def cv_score(df: DataFrame, features: list[str], estimator, n_splits: int = 3, t
     return out
 
 
+def cv_search(df: DataFrame, features: list[str], grid: dict[str, list], make, n_splits: int = 3, test: int | float = 0.1, keys: list[str] = [], threads: int = 4) -> DataFrame:
+    """params, cv_mae, chosen, mae, rmse: time-ordered folds within the training days choose; only the choice meets the test days."""
+    combos = [dict(zip(grid, v)) for v in product(*grid.values())]
+    inner = pin(df.where("split = 'train'").drop("split"))
+
+    def one(p: dict) -> float:
+        return cv_score(inner, features, make(**p), n_splits, test, keys).agg(F.avg("mae")).first()[0]
+
+    with ThreadPoolExecutor(threads) as pool:
+        scores = list(pool.map(one, combos))
+    best = min((i for i, x in enumerate(scores) if x is not None), key=scores.__getitem__, default=None)
+    held = train_and_score(df, features, make(**combos[best])).where("split = 'test'").first() if best is not None else None
+    rows = [("|".join(f"{k}={v}" for k, v in p.items()), scores[i], i == best, *((held["mae"], held["rmse"]) if held and i == best else (None, None))) for i, p in enumerate(combos)]
+    return df.sparkSession.createDataFrame(rows, "params string, cv_mae double, chosen boolean, mae double, rmse double")
+
+
 def correlation_filter(df: DataFrame, features: list[str], label: str = "y", low: float = 0.02, high: float = 0.9999) -> list[str]:
     """Features with |Spearman| of at least ``low`` with the target; of pairs with |Pearson| above ``high`` the weaker goes."""
     rows = VectorAssembler(inputCols=[*features, label], outputCol="v_", handleInvalid="skip").transform(df).select("v_")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tideline.specs import c
 
@@ -119,27 +121,52 @@ def holt_winters_rolling(df: DataFrame, column: str, keys: list[str], time: str
     """(keys, time, y, pred): additive Holt-Winters; each day is forecast whole, then absorbed.
 
     The level starts at the first season's mean, the seasons at its deviations, the
-    trend at 0. A series is folded in order (that is what the method is); series run
-    in parallel. Missing values are absorbed as their own forecast.
+    trend at 0. A series is folded in order (that is what the method is), as a stream
+    of sorted rows of which a task holds one season; series run in parallel. Missing
+    values are absorbed as their own forecast; a series of one season gives no rows.
     """
-    series = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(c(time).alias("t"), c(column).cast("double").alias("x")))).alias("all_"))
-    series = series.where(F.size("all_") >= m).withColumn("head_", F.slice("all_", 1, m)).withColumn("mean_", F.aggregate("head_", F.lit(0.0), lambda s, r: s + F.coalesce(r["x"], F.lit(0.0))) / F.greatest(F.size(F.filter("head_", lambda r: r["x"].isNotNull())), F.lit(1)))
-    start = F.struct(F.col("mean_").alias("l"), F.lit(0.0).alias("b"), F.transform("head_", lambda r: F.coalesce(r["x"] - F.col("mean_"), F.lit(0.0))).alias("s"), F.lit(0).alias("i"), F.col("mean_").alias("fl"), F.lit(0.0).alias("fb"), F.transform("head_", lambda r: F.coalesce(r["x"] - F.col("mean_"), F.lit(0.0))).alias("fs"), F.array().cast("array<double>").alias("out"))
-
-    def step(st: Column, r: Column) -> Column:
-        at = st["i"] % m
-        new_day = st["i"] % horizon == 0
-        fl, fb = F.when(new_day, st["l"]).otherwise(st["fl"]), F.when(new_day, st["b"]).otherwise(st["fb"])
-        fs = F.when(new_day, st["s"]).otherwise(st["fs"])
-        pred = fl + fb * (st["i"] % horizon + 1) + F.get(fs, at)
-        season = F.get(st["s"], at)
-        x = F.coalesce(r["x"], st["l"] + st["b"] + season)
-        level = (x - season) * alpha + (st["l"] + st["b"]) * (1 - alpha)
-        trend = (level - st["l"]) * beta + st["b"] * (1 - beta)
-        new = (x - level) * gamma + season * (1 - gamma)
-        seasons = F.transform(st["s"], lambda v, j: F.when(j == at, new).otherwise(v))
-        return F.struct(level.alias("l"), trend.alias("b"), seasons.alias("s"), (st["i"] + 1).alias("i"), fl.alias("fl"), fb.alias("fb"), fs.alias("fs"), F.array_append(st["out"], pred).alias("out"))
-
-    rest = F.slice("all_", m + 1, F.greatest(F.size("all_") - m, F.lit(1)))
-    done = series.where(F.size("all_") > m).select(*keys, rest.alias("rows_"), F.aggregate(rest, start, step, lambda st: st["out"]).alias("out_"))
-    return done.select(*keys, F.explode(F.arrays_zip(F.col("rows_").alias("r"), F.col("out_").alias("p"))).alias("z_")).select(*keys, F.col("z_.r.t").alias(time), F.col("z_.r.x").alias("y"), F.col("z_.p").alias("pred"))
+    rows = df.select(*keys, c(time), c(column).cast("double").alias("y"), F.to_json(F.struct(*map(c, keys))).alias("key_") if keys else F.lit("").alias("key_"))
+    ordered = rows.repartition(*map(c, keys or ["key_"])).sortWithinPartitions("key_", time, "y")
+    schema = StructType([*[f for f in ordered.schema if f.name != "key_"], StructField("pred", DoubleType())])
+
+    def fold(batches):
+        now, state = None, None
+        for batch in batches:
+            preds = []
+            for key, x in zip(batch.column("key_").to_pylist(), batch.column("y").to_pylist()):
+                if key != now:
+                    now, state = key, _Seasons(alpha, beta, gamma, m, horizon)
+                preds.append(state.step(x))
+            known = batch.drop_columns(["key_"]).append_column("pred", pa.array([p[1] for p in preds], pa.float64()))
+            yield known.filter(pa.array([p[0] for p in preds], pa.bool_()))
+
+    return ordered.mapInArrow(fold, schema)
+
+
+class _Seasons:
+    """The state of one series: level, trend, seasons, and those that the day's forecasts were made from."""
+
+    def __init__(self, alpha: float, beta: float, gamma: float, m: int, horizon: int):
+        self.rates, self.m, self.horizon, self.head, self.i = (alpha, beta, gamma), m, horizon, [], 0
+
+    def step(self, x: float | None) -> tuple[bool, float | None]:
+        """Whether the row is beyond the first season, and its forecast."""
+        if len(self.head) < self.m:
+            self.head.append(x)
+            if len(self.head) == self.m:
+                there = [v for v in self.head if v is not None]
+                self.level, self.trend = sum(there) / max(len(there), 1), 0.0
+                self.seasons = [0.0 if v is None else v - self.level for v in self.head]
+            return False, None
+        at, ahead = self.i % self.m, self.i % self.horizon
+        if ahead == 0:
+            self.made = self.level, self.trend, list(self.seasons)
+        forecast = self.made[0] + self.made[1] * (ahead + 1) + self.made[2][at]
+        (alpha, beta, gamma), season, before = self.rates, self.seasons[at], self.level
+        if x is None:
+            x = before + self.trend + season
+        self.level = alpha * (x - season) + (1 - alpha) * (before + self.trend)
+        self.trend = beta * (self.level - before) + (1 - beta) * self.trend
+        self.seasons[at] = gamma * (x - self.level) + (1 - gamma) * season
+        self.i += 1
+        return True, forecast

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideline.functions.features import day_interactions, decay_weights
 from tideline.operators import days, merge, reshape, windows
 from tideline.plans import blends, jobs, leakage, models, pipelines, scoring
-from tideline.registry import DAILY, HOURLY, TYPES, WIDE, daily, hourly, query, table, wide
+from tideline.registry import DAILY, HOURLY, THIN, TYPES, WIDE, daily, hourly, query, table, wide
 from tideline.session import pin
 from tideline.specs import AvailabilityRule, Step, WindowSpec
 
@@ -98,7 +98,17 @@ def I11_stored_baseline(spark, sf):
     return spark.read.parquet(path).where("model = 'lag1'")
 
 
-@query("k:s, mae:d, rmse:d, n:i")
+#: A row a step: the fold's state, and the state of midnight that the day's forecasts are made from.
+HOLT_WINTERS = f"""WITH RECURSIVE {HOURLY}, o AS (SELECT event_type AS k, value AS x, row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS i FROM hourly),
+ head AS (SELECT k, avg(x) AS l, list(x ORDER BY i) AS xs FROM o WHERE i < 24 GROUP BY k HAVING count(*) = 24),
+ r AS (SELECT k, 23 AS i, l, CAST(0 AS DOUBLE) AS b, list_transform(xs, lambda v: v - l) AS s, l AS fl, CAST(0 AS DOUBLE) AS fb, list_transform(xs, lambda v: v - l) AS fs, CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS pred FROM head
+ UNION ALL SELECT k, i, level AS l, (level - l) * 0.01 + b * 0.99 AS b, list_transform(s, lambda v, n: CASE WHEN n = place THEN (x - level) * 0.2 + season * 0.8 ELSE v END) AS s, fl, fb, fs, x, fl + fb * place + fs[place] AS pred
+ FROM (SELECT k, i, l, b, s, x, place, season, (x - season) * 0.2 + (l + b) * 0.8 AS level, CASE WHEN place = 1 THEN l ELSE fl END AS fl, CASE WHEN place = 1 THEN b ELSE fb END AS fb, CASE WHEN place = 1 THEN s ELSE fs END AS fs
+ FROM (SELECT r.k, CAST(r.i + 1 AS INT) AS i, r.l, r.b, r.s, r.fl, r.fb, r.fs, o.x, (r.i + 1) % 24 + 1 AS place, r.s[(r.i + 1) % 24 + 1] AS season FROM r JOIN o ON o.k = r.k AND o.i = r.i + 1)))
+ SELECT k, avg(abs(pred - x)) AS mae, sqrt(avg((pred - x) * (pred - x))) AS rmse, count(*) AS n FROM r WHERE pred IS NOT NULL GROUP BY k"""
+
+
+@query("k:s, mae:d, rmse:d, n:i", HOLT_WINTERS)
 def I12_holt_winters(spark, sf):
     h = hourly(spark, sf).select(F.col("event_type").alias("k"), "ts", "value")
     return scoring.metrics(scoring.holt_winters_rolling(h, "value", ["k"]), ["k"])
@@ -161,7 +171,7 @@ def J03_linear_family(spark, sf):
 @query("params:s, mae:d, rmse:d")
 def J04_boosted(spark, sf):
     df, xs = matrix(spark, sf)
-    return models.grid_search(df, xs, {"loss": ["squared", "absolute"]}, lambda loss: models.boosted(loss, iterations=5))
+    return models.grid_search(df, xs, {"loss": ["squared", "absolute"], "level": list(models.LEVELS)}, lambda loss, level: models.boosted(loss, iterations=5, **models.LEVELS[level]))
 
 
 @query("split:s, mae:d, rmse:d")
@@ -189,11 +199,11 @@ def J06_grid_search(spark, sf):
     return models.grid_search(df, xs, {"kind": ["ridge", "lasso"], "alpha": [0.1, 10.0]}, lambda kind, alpha: models.linear(kind, alpha, n, sd))
 
 
-@query("model:s, fold:i, mae:d, rmse:d")
+@query("params:s, cv_mae:d, chosen:b, mae:d, rmse:d")
 def J07_cv_search(spark, sf):
     df, xs = matrix(spark, sf)
     n, sd = models.moments(df)
-    return models.cv_score(df, xs, models.linear("ridge", 1.0, n, sd), 3, 4, ["k"])
+    return models.cv_search(df, xs, {"kind": ["ridge", "lasso"], "alpha": [0.1, 10.0]}, lambda kind, alpha: models.linear(kind, alpha, n, sd), 3, 4, ["k"])
 
 
 @query("params:s, mae:d, rmse:d")
@@ -205,11 +215,26 @@ def J08_retrain(spark, sf):
     return models.retrain_best(df, xs, runs, make)
 
 
-@query("feature:s")
+FOUR = ("y_lag_1d", "y_lag_7d", "y_d7_d1_mean", "y_d7_d1_std")
+#: ``matrix`` in SQL.
+MATRIX = f"""{HOURLY}, loc AS (SELECT event_type AS k, ts, value AS y, CAST(ts + INTERVAL 1 HOUR AS DATE) AS d, hour(ts + INTERVAL 1 HOUR) AS slot FROM hourly),
+ st AS (SELECT a.k, a.d, avg(x.y) AS m, stddev_samp(x.y) AS s FROM (SELECT DISTINCT k, d FROM loc) a JOIN loc x ON x.k = a.k AND x.d BETWEEN a.d - 7 AND a.d - 1 GROUP BY ALL),
+ mx AS (SELECT a.k, a.ts, a.d, a.slot, a.y, coalesce(b.y, 0) AS y_lag_1d, coalesce(c.y, 0) AS y_lag_7d, coalesce(st.m, 0) AS y_d7_d1_mean, coalesce(st.s, 0) AS y_d7_d1_std FROM loc a
+ LEFT JOIN loc b ON b.k = a.k AND b.d = a.d - 1 AND b.slot = a.slot LEFT JOIN loc c ON c.k = a.k AND c.d = a.d - 7 AND c.slot = a.slot LEFT JOIN st ON st.k = a.k AND st.d = a.d)"""
+
+
+def _correlated() -> str:
+    """Rank correlations by means of ranks; of two features that are all but the same the one further from the target goes."""
+    ranks = ", ".join(f"rank() OVER (ORDER BY round({x}, 9)) + (count(*) OVER (PARTITION BY round({x}, 9)) - 1) / 2.0 AS r_{x}" for x in (*FOUR, "y"))
+    rho = " UNION ALL ".join(f"SELECT {i} AS i, '{x}' AS feature, abs(corr(r_{x}, r_y)) AS rho FROM rk" for i, x in enumerate(FOUR))
+    pairs = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, abs(corr({a}, {b})) AS p FROM rk" for i, a in enumerate(FOUR) for j, b in enumerate(FOUR) if i != j)
+    return f"WITH {MATRIX}, rk AS (SELECT *, {ranks} FROM mx), rho AS ({rho}), pairs AS ({pairs}) SELECT feature FROM rho a WHERE rho >= 0.02 AND NOT EXISTS (SELECT 1 FROM pairs p JOIN rho b ON b.i = p.j WHERE p.i = a.i AND p.p > 0.9999 AND (b.rho > a.rho OR (b.rho = a.rho AND b.i < a.i)))"
+
+
+@query("feature:s", _correlated())
 def J09_correlation_filter(spark, sf):
-    df, xs = matrix(spark, sf)
-    kept = models.correlation_filter(df.where("slot = 0"), xs[:-1])
-    return spark.createDataFrame([(x,) for x in kept], "feature string")
+    df, _ = matrix(spark, sf)
+    return spark.createDataFrame([(x,) for x in models.correlation_filter(df, list(FOUR))], "feature string")
 
 
 @query("n:i, mae:d, rmse:d")
@@ -349,7 +374,17 @@ def K10_subsets(spark, sf):
     return blends.subset_scores(_spread(spark, sf), list(LAGS))
 
 
-@query("step:i, models:s, mae:d")
+def _climb() -> str:
+    """From the best single model to the best neighbour, for as long as that betters the mean."""
+    names, cells = list(LAGS), []
+    for mask in range(1, 8):
+        ms = [m for i, m in enumerate(names) if mask >> i & 1]
+        cells.append(f"SELECT {mask} AS mask, {len(ms)} AS n, '{'+'.join(ms)}' AS models, avg(abs(({' + '.join(ms)}) / {len(ms)} - y)) AS mae FROM sp")
+    return f"""WITH RECURSIVE {SPREAD}, sets AS ({' UNION ALL '.join(cells)}), walk AS (SELECT 0 AS step, mask, models, mae FROM (SELECT * FROM sets WHERE n = 1 ORDER BY mae, models LIMIT 1)
+ UNION ALL SELECT * FROM (SELECT w.step + 1 AS step, s.mask, s.models, s.mae FROM walk w JOIN sets s ON bit_count(xor(w.mask, s.mask)) = 1 AND s.mae < w.mae ORDER BY s.mae, s.models LIMIT 1)) SELECT step, models, mae FROM walk"""
+
+
+@query("step:i, models:s, mae:d", _climb())
 def K10_hill_climb(spark, sf):
     return spark.createDataFrame(blends.hill_climb(_spread(spark, sf), list(LAGS)), "step int, models string, mae double")
 
@@ -402,13 +437,25 @@ def K17_comparison(spark, sf):
 # ---- jobs ----
 
 
-@query("local_date:D, slot:i, target_price:d, click:d, price:d, regime_before_split:i")
-def L01_merge_job(spark, sf):
+def _merged(spark, sf, max_gap):
     w = wide(spark, sf, thin=True)
     commodities = hourly(spark, sf).where("event_type = 'error'").groupBy(F.to_date("ts").alias("date")).agg(F.avg("value").alias("price"))
     fall = wide(spark, sf).select("ts", F.col("view").alias("value"))
     rules = [("copy", "click", "signup"), ("difference", "purchase", "view", "error")]
-    return jobs.merge_job(w, w, fall, commodities, "2024-01-15", "2024-01-20", ["view"], rules)
+    return jobs.merge_job(w, w, fall, commodities, "2024-01-15", "2024-01-20", ["view"], rules, max_gap=max_gap)
+
+
+@query("local_date:D, slot:i, target_price:d, click:d, price:d, regime_before_split:i")
+def L01_merge_job(spark, sf):
+    return _merged(spark, sf, 5)
+
+
+@query("local_date:D, slot:i, target_price:d, click:d, purchase:d, price:d, regime_before_split:i", f"""WITH {THIN}, {WIDE}, {HOURLY}, c AS (SELECT CAST(ts AS DATE) AS date, avg(value) AS price FROM hourly WHERE event_type = 'error' GROUP BY 1)
+ SELECT CAST(t.ts + INTERVAL 1 HOUR AS DATE) AS local_date, hour(t.ts + INTERVAL 1 HOUR) AS slot, coalesce(t.view, w.view) AS target_price, coalesce(t.click, t.signup) AS click, coalesce(t.purchase, t.view - t.error) AS purchase, c.price, CAST(t.ts < TIMESTAMP '2024-01-15' AS INT) AS regime_before_split
+ FROM thin t JOIN wide w ON w.ts = t.ts ASOF LEFT JOIN c ON CAST(t.ts AS DATE) >= c.date""")
+def L01_merge_job_rules(spark, sf):
+    """The job without its splines."""
+    return _merged(spark, sf, 0)
 
 
 @query("region:s, ts:t, view:d, click:d", f"WITH {WIDE} SELECT 'north' AS region, ts, view, click FROM wide WHERE coalesce(view, click) IS NOT NULL UNION ALL SELECT 'south', ts, view, click FROM wide WHERE date_part('hour', ts) < 12 AND coalesce(view, click) IS NOT NULL")
@@ -458,7 +505,9 @@ def L07_freshness(spark, sf):
 ROLES = pipelines.Roles(target="view", neighbours=("click",), actuals=("purchase",), morning=("purchase",), generation=("purchase", "signup"), renewable=("signup",), load="error", forecast_total="error", forecast_parts=("signup",), forecasts=("signup", "error"), commodities=("error",), flows=(("click", "purchase", "x"),))
 
 
-@query("ts:t, y:d, view_d7_d7_mean:d, view_d30_d1_max:d")
+@query("ts:t, y:d, view_d7_d7_mean:d, view_d30_d1_max:d", f"""WITH {WIDE}, loc AS (SELECT ts, CAST(ts + INTERVAL 1 HOUR AS DATE) AS d, view FROM wide), ds AS (SELECT DISTINCT d FROM loc),
+ st AS (SELECT ds.d, avg(x.view) FILTER (x.d = ds.d - 7) AS view_d7_d7_mean, max(x.view) AS view_d30_d1_max FROM ds LEFT JOIN loc x ON x.d BETWEEN ds.d - 30 AND ds.d - 1 GROUP BY 1)
+ SELECT ts, view AS y, view_d7_d7_mean, view_d30_d1_max FROM loc JOIN st USING (d)""")
 def L08_pipeline_v5_slim(spark, sf):
     out = pipelines.compile_steps(pipelines.pipeline("v5_slim", ROLES, 10))(wide(spark, sf))
     return out.withColumnRenamed("view_d7_mean", "view_d7_d7_mean")

@@ -70,10 +70,22 @@ def D07_spline(spark, sf):
     return gaps.interpolate_gaps(thin(spark, sf).select("ts", "view", "click"), ["view", "click"], 5)
 
 
+RULES = [("zero_after_last", ["purchase"]), ("zero_from", ["signup"], "2024-01-25"), ("zero_until", ["signup"], "2024-01-05"), ("zero_before_first", ["error"]), ("difference", "click", "view", "error"), ("copy", "view", "click"), ("total", "purchase", ["click", "error"], ["view", "signup"]), ("net", "net", ["view", "click"], ["signup", "error"])]
+
+
 @query(f"ts:t, {V5}, net:d")
 def D08_composite(spark, sf):
-    rules = [("zero_after_last", ["purchase"]), ("zero_from", ["signup"], "2024-01-25"), ("zero_until", ["signup"], "2024-01-05"), ("zero_before_first", ["error"]), ("difference", "click", "view", "error"), ("copy", "view", "click"), ("total", "purchase", ["click", "error"], ["view", "signup"]), ("net", "net", ["view", "click"], ["signup", "error"])]
-    return jobs.handle_missing(thin(spark, sf), rules, max_gap=5, not_interpolated=["net"])
+    return jobs.handle_missing(thin(spark, sf), RULES, max_gap=5, not_interpolated=["net"])
+
+
+@query(f"ts:t, {V5}, net:d", f"""WITH {THIN}, edge AS (SELECT max(ts) FILTER (purchase IS NOT NULL) AS last_p, min(ts) FILTER (error IS NOT NULL) AS first_e, max(ts) AS last_ts FROM thin),
+ a AS (SELECT ts, view, click, CASE WHEN purchase IS NULL AND ts > last_p THEN 0.0 ELSE purchase END AS purchase, CASE WHEN signup IS NULL AND (ts >= TIMESTAMP '2024-01-25' OR ts < TIMESTAMP '2024-01-05') THEN 0.0 ELSE signup END AS signup, CASE WHEN error IS NULL AND ts < first_e THEN 0.0 ELSE error END AS error, last_ts FROM thin, edge),
+ b AS (SELECT * REPLACE (coalesce(click, view - error) AS click) FROM a), c AS (SELECT * REPLACE (coalesce(view, click) AS view) FROM b),
+ d AS (SELECT * REPLACE (coalesce(purchase, click + error, CASE WHEN (ts >= last_ts - INTERVAL 30 DAY OR coalesce(click, error) IS NOT NULL) AND coalesce(view, signup) IS NOT NULL THEN coalesce(view, 0) + coalesce(signup, 0) END) AS purchase) FROM c)
+ SELECT ts, view, click, purchase, signup, error, CASE WHEN coalesce(view, click, signup, error) IS NOT NULL THEN coalesce(view, 0) + coalesce(click, 0) - coalesce(signup, 0) - coalesce(error, 0) END AS net FROM d""")
+def D08_rules(spark, sf):
+    """The composite without its splines."""
+    return jobs.handle_missing(thin(spark, sf), RULES, max_gap=0)
 
 
 #: The hourly series moved over both clock changes of 2024.
@@ -281,6 +293,13 @@ def F12_yeo_johnson(spark, sf):
     return scaled.join(m.inverse(scaled).select("ts", F.col("view").alias("back")), "ts")
 
 
+@query("ts:t, view:d, back:d", f"WITH {WIDE} SELECT ts, (CASE WHEN view >= 0 THEN (pow(view + 1, 0.5) - 1) / 0.5 ELSE (1 - pow(1 - view, 1.5)) / 1.5 END - 10) / 4 AS view, view AS back FROM wide")
+def F12_stored_parameters(spark, sf):
+    w = wide(spark, sf).select("ts", "view")
+    m = scalers.YeoJohnson(["view"], {"view": (0.5, 10.0, 4.0)})
+    return m.inverse(m.transform(w).withColumn("scaled", F.col("view"))).select("ts", F.col("scaled").alias("view"), F.col("view").alias("back"))
+
+
 @query("ts:t, view:d, back:d")
 def F13_quantile_normal(spark, sf):
     w = wide(spark, sf).select("ts", "view")

@@ -20,8 +20,16 @@ SQL: dict[str, str] = {}
 HOURLY = "hourly AS (SELECT event_type, date_trunc('hour', ts) AS ts, avg(value) AS value, count(*) AS n FROM events GROUP BY ALL)"
 TYPES = ("view", "click", "purchase", "signup", "error")
 WIDE = "wide AS (SELECT date_trunc('hour', ts) AS ts, " + ", ".join(f"avg(value) FILTER (event_type = '{t}') AS {t}" for t in TYPES) + " FROM events GROUP BY 1)"
-#: The hourly series without some observations, for the operators on missing values.
-THIN = "thin AS (SELECT date_trunc('hour', ts) AS ts, " + ", ".join(f"avg(value) FILTER (event_type = '{t}' AND event_id % 7 < 4) AS {t}" for t in TYPES) + " FROM events GROUP BY 1)"
+#: Hours in which a series is out, in words that both engines read: nightly, for days, alone and together.
+OUTAGES = {
+    "view": "hour(ts) BETWEEN 2 AND 4 OR day(ts) = 12 OR (day(ts) = 21 AND hour(ts) >= 17)",
+    "click": "hour(ts) = 9 OR day(ts) IN (7, 8) OR (day(ts) = 21 AND hour(ts) >= 12)",
+    "purchase": "hour(ts) BETWEEN 3 AND 8 OR day(ts) >= 29",
+    "signup": "hour(ts) >= 22 OR day(ts) IN (15, 21)",
+    "error": "hour(ts) BETWEEN 3 AND 4 OR hour(ts) = 18 OR day(ts) = 1",
+}
+#: The hourly series with outages, for the operators on missing values.
+THIN = "thin AS (SELECT date_trunc('hour', ts) AS ts, " + ", ".join(f"avg(value) FILTER (event_type = '{t}' AND NOT ({OUTAGES[t]})) AS {t}" for t in TYPES) + " FROM events GROUP BY 1)"
 DAILY = "daily AS (SELECT o_orderpriority AS k, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS price FROM orders GROUP BY ALL)"
 
 
@@ -67,10 +75,10 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide(spark: SparkSession, sf_dir: str, thin: bool = False) -> DataFrame:
-    """ts and one column per event type; with ``thin``, three of seven observations are left out."""
+    """ts and one column per event type; with ``thin``, without the values of their outages."""
     e = table(spark, sf_dir, "events")
-    value = F.when(F.col("event_id") % 7 < 4, F.col("value")) if thin else F.col("value")
-    return e.groupBy(F.date_trunc("hour", "ts").alias("ts")).agg(*[F.avg(F.when(F.col("event_type") == t, value)).alias(t) for t in TYPES])
+    seen = {t: (F.col("event_type") == t) & (~F.expr(OUTAGES[t]) if thin else F.lit(True)) for t in TYPES}
+    return e.groupBy(F.date_trunc("hour", "ts").alias("ts")).agg(*[F.avg(F.when(seen[t], F.col("value"))).alias(t) for t in TYPES])
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
