@@ -95,22 +95,26 @@ def C04_extend(spark, sf):
     return merge.extend_with(base, table(spark, sf, "events").where("event_type = 'view'"), "view")
 
 
-#: Daily prices of one priority without some days, for as-of joins.
-SPARSE = f"{DAILY}, sparse AS (SELECT date, price FROM daily WHERE k = '1-URGENT' AND date_part('day', date) % 3 <> 0)"
+#: Daily prices by priority, none on weekends, for as-of joins.
+SPARSE = f"{DAILY}, sparse AS (SELECT k, date, price FROM daily WHERE isodow(date) < 6)"
 
 
 def _sparse(spark, sf):
-    return daily(spark, sf).where("k = '1-URGENT' AND day(date) % 3 <> 0").select("date", "price")
+    return daily(spark, sf).where("weekday(date) < 5")
 
 
-@query("o_orderkey:i, price:d", f"WITH {SPARSE} SELECT o_orderkey, s.price FROM orders o ASOF LEFT JOIN sparse s ON CAST(o.o_orderdate AS DATE) >= s.date")
+def _asked(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("k"), F.col("o_orderdate").alias("ts"))
+
+
+@query("o_orderkey:i, price:d", f"WITH {SPARSE} SELECT o_orderkey, s.price FROM orders o ASOF LEFT JOIN sparse s ON s.k = o.o_orderpriority AND CAST(o.o_orderdate AS DATE) >= s.date")
 def C05_asof(spark, sf):
-    return merge.asof(table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("ts")), _sparse(spark, sf), ["price"])
+    return merge.asof(_asked(spark, sf), _sparse(spark, sf), ["price"], ["k"])
 
 
-@query("o_orderkey:i, price:d", f"WITH {SPARSE}, known AS (SELECT * FROM sparse WHERE date < DATE '2001-01-01') SELECT o_orderkey, s.price FROM orders o ASOF LEFT JOIN known s ON CAST(o.o_orderdate AS DATE) > s.date")
+@query("o_orderkey:i, price:d", f"WITH {SPARSE}, known AS (SELECT * FROM sparse WHERE date < DATE '2001-01-01') SELECT o_orderkey, s.price FROM orders o ASOF LEFT JOIN known s ON s.k = o.o_orderpriority AND CAST(o.o_orderdate AS DATE) > s.date")
 def C06_asof_before(spark, sf):
-    return merge.asof(table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("ts")), _sparse(spark, sf), ["price"], allow_exact=False, before="2001-01-01")
+    return merge.asof(_asked(spark, sf), _sparse(spark, sf), ["price"], ["k"], allow_exact=False, before="2001-01-01")
 
 
 @query("ts:t, view:d, click:d, purchase:d, forecast_source:i, is_true_forecast:i", f"""WITH {WIDE}, {THIN}, ext AS (SELECT ts, view, click FROM thin WHERE date_part('hour', ts) < 12)

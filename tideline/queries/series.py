@@ -158,11 +158,22 @@ def E02_convert(spark, sf):
     return dl.convert(fine(spark, sf), rates(spark, sf), factor=2.5)
 
 
+def _for_each(df):
+    """A series without a key stands for every key: a row of it for each."""
+    return df.withColumn("k", F.explode(F.array(*map(F.lit, ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")))))
+
+
+def _direct(spark, sf):
+    return daily(spark, sf).where("date >= DATE '1999-01-01'").withColumnRenamed("price", "value")
+
+
+DIRECT = "direct AS (SELECT k, date, price AS value FROM daily WHERE date >= DATE '1999-01-01')"
+KEYS = "ks AS (SELECT DISTINCT k FROM daily)"
+
+
 @query("k:s, bias:d, corr:d, n:i", f"WITH {DAILY}, {FINE} SELECT k, coalesce(avg(price - value), 0) AS bias, corr(price, value) AS corr, count(*) AS n FROM daily JOIN fine USING (date) WHERE date >= DATE '1998-01-01' GROUP BY k")
 def E03_bias(spark, sf):
-    # the proxy stands for every key: a row of it for each
-    f = fine(spark, sf).withColumn("k", F.explode(F.array(*map(F.lit, ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")))))
-    return dl.bias(daily(spark, sf).withColumnRenamed("price", "value"), f, ["k"], since="1998-01-01")
+    return dl.bias(daily(spark, sf).withColumnRenamed("price", "value"), _for_each(fine(spark, sf)), ["k"], since="1998-01-01")
 
 
 @query("k:s, date:D, price:d", f"WITH {DAILY} SELECT k, date, price - avg(price) OVER (PARTITION BY k, date_trunc('month', date)) AS price FROM daily")
@@ -170,57 +181,58 @@ def E04_centre_by_month(spark, sf):
     return dl.centre_by_month(daily(spark, sf), ["k"], value="price")
 
 
-VARIED = f"{MONTHLY}, {FINE}, base AS (SELECT date, value FROM days WHERE k = '1-URGENT'), var_ AS (SELECT date, value - avg(value) OVER (PARTITION BY date_trunc('month', date)) AS v FROM fine), dates AS (SELECT date FROM base UNION SELECT date FROM var_), summed AS (SELECT d.date, b.value + coalesce(v.v, 0) AS value FROM dates d ASOF LEFT JOIN base b ON d.date >= b.date LEFT JOIN var_ v ON d.date = v.date)"
+VARIED = f"{MONTHLY}, {FINE}, {KEYS}, var_ AS (SELECT date, value - avg(value) OVER (PARTITION BY date_trunc('month', date)) AS v FROM fine), dates AS (SELECT k, date FROM days UNION SELECT k, date FROM var_, ks), summed AS (SELECT d.k, d.date, b.value + coalesce(v.v, 0) AS value FROM dates d ASOF LEFT JOIN days b ON d.k = b.k AND d.date >= b.date LEFT JOIN var_ v ON d.date = v.date)"
 
 
-@query("date:D, value:d", f"WITH {VARIED} SELECT * FROM summed")
+@query("k:s, date:D, value:d", f"WITH {VARIED} SELECT * FROM summed")
 def E05_baseline_variation(spark, sf):
-    base = dl.monthly_to_daily(monthly(spark, sf).where("k = '1-URGENT'").select("date", "value"))
-    return dl.baseline_plus_variation(base, dl.centre_by_month(fine(spark, sf)))
+    base = dl.monthly_to_daily(monthly(spark, sf), ["k"])
+    return dl.baseline_plus_variation(base, _for_each(dl.centre_by_month(fine(spark, sf))), ["k"])
 
 
-@query("date:D, value:d", f"WITH {DAILY}, {FINE}, direct AS (SELECT date, price AS value FROM daily WHERE k = '1-URGENT' AND date >= DATE '1999-01-01') SELECT * FROM fine WHERE date < (SELECT min(date) FROM direct) UNION ALL SELECT * FROM direct")
+@query("k:s, date:D, value:d", f"WITH {DAILY}, {FINE}, {DIRECT}, firsts AS (SELECT k, min(date) AS first_ FROM direct GROUP BY k) SELECT k, date, value FROM fine, firsts WHERE date < first_ UNION ALL SELECT * FROM direct")
 def E06_splice(spark, sf):
-    direct = daily(spark, sf).where("k = '1-URGENT' AND date >= DATE '1999-01-01'").select("date", F.col("price").alias("value"))
-    return dl.splice(fine(spark, sf), direct)
+    return dl.splice(_for_each(fine(spark, sf)), _direct(spark, sf), ["k"])
 
 
-@query("date:D, value:d", f"""WITH {MONTHLY}, {FINE}, {RATES}, direct AS (SELECT date, price AS value FROM daily WHERE k = '5-LOW' AND date >= DATE '1999-01-01'),
- lev AS (SELECT d.date, d.value / nullif(r.rate, 0) AS value FROM (SELECT date, value FROM days WHERE k = '1-URGENT') d ASOF LEFT JOIN rates r ON d.date >= r.date),
- b AS (SELECT coalesce(avg(direct.value - lev.value), 0) AS bias FROM direct JOIN lev USING (date)), cor AS (SELECT date, value + bias AS value FROM lev, b),
+@query("k:s, date:D, value:d", f"""WITH {MONTHLY}, {FINE}, {RATES}, {DIRECT}, {KEYS},
+ lev AS (SELECT d.k, d.date, d.value / nullif(r.rate, 0) AS value FROM days d ASOF LEFT JOIN rates r ON d.date >= r.date),
+ b AS (SELECT k, coalesce(avg(direct.value - lev.value), 0) AS bias FROM direct JOIN lev USING (k, date) GROUP BY k), cor AS (SELECT k, date, value + coalesce(bias, 0) AS value FROM lev LEFT JOIN b USING (k)),
  fx AS (SELECT f.date, f.value / nullif(r.rate, 0) AS value FROM fine f ASOF LEFT JOIN rates r ON f.date >= r.date), va AS (SELECT date, value - avg(value) OVER (PARTITION BY date_trunc('month', date)) AS v FROM fx),
- ds AS (SELECT date FROM cor UNION SELECT date FROM va), rec AS (SELECT ds.date, c.value + coalesce(v.v, 0) AS value FROM ds ASOF LEFT JOIN cor c ON ds.date >= c.date LEFT JOIN va v ON v.date = ds.date)
- SELECT * FROM rec WHERE date < (SELECT min(date) FROM direct) UNION ALL SELECT * FROM direct""")
+ ds AS (SELECT k, date FROM cor UNION SELECT k, date FROM va, ks), rec AS (SELECT ds.k, ds.date, c.value + coalesce(v.v, 0) AS value FROM ds ASOF LEFT JOIN cor c ON ds.k = c.k AND ds.date >= c.date LEFT JOIN va v ON v.date = ds.date),
+ firsts AS (SELECT k, min(date) AS first_ FROM direct GROUP BY k) SELECT k, date, value FROM rec LEFT JOIN firsts USING (k) WHERE first_ IS NULL OR date < first_ UNION ALL SELECT * FROM direct""")
 def E07_reconstruct(spark, sf):
-    direct = daily(spark, sf).where("k = '5-LOW' AND date >= DATE '1999-01-01'").select("date", F.col("price").alias("value"))
-    return dl.reconstruct_gap(monthly(spark, sf).where("k = '1-URGENT'").select("date", "value"), fine(spark, sf), rates(spark, sf), direct)
+    return dl.reconstruct_gap(monthly(spark, sf), _for_each(fine(spark, sf)), _for_each(rates(spark, sf)), _direct(spark, sf), ["k"])
 
 
-PAIR = f"{DAILY}, {FINE}, pair AS (SELECT date, price AS a, value AS b FROM (SELECT date, price FROM daily WHERE k = '1-URGENT' AND date >= DATE '1997-01-01') FULL JOIN (SELECT date, value FROM fine WHERE date < DATE '2000-01-01') USING (date))"
+PAIR = f"{DAILY}, {FINE}, {KEYS}, pair AS (SELECT k, date, price AS a, value AS b FROM (SELECT k, date, price FROM daily WHERE date >= DATE '1997-01-01') FULL JOIN (SELECT k, date, value FROM fine, ks WHERE date < DATE '2000-01-01') USING (k, date))"
 
 
 def _pair(spark, sf):
-    a = daily(spark, sf).where("k = '1-URGENT' AND date >= DATE '1997-01-01'").select("date", F.col("price").alias("a"))
-    return merge.outer_join_daily([a, fine(spark, sf).where("date < DATE '2000-01-01'").select("date", F.col("value").alias("b"))], ["date"])
+    a = daily(spark, sf).where("date >= DATE '1997-01-01'").withColumnRenamed("price", "a")
+    return merge.outer_join_daily([a, _for_each(fine(spark, sf).where("date < DATE '2000-01-01'")).withColumnRenamed("value", "b")], ["k", "date"])
+
+
+UNIFIED = f"{PAIR}, un AS (SELECT k, date, coalesce(a, b + coalesce(avg(a - b) OVER (PARTITION BY k), 0)) AS u, b FROM pair)"
 
 
-@query("date:D, u:d", f"WITH {PAIR} SELECT date, coalesce(a, b + (SELECT coalesce(avg(a - b), 0) FROM pair)) AS u FROM pair")
+@query("k:s, date:D, u:d", f"WITH {UNIFIED} SELECT k, date, u FROM un")
 def E08_unify(spark, sf):
-    return dl.unify(_pair(spark, sf), "a", "b", "u")
+    return dl.unify(_pair(spark, sf), "a", "b", "u", ["k"])
 
 
-TABLE9 = f"{PAIR}, un AS (SELECT date, coalesce(a, b + (SELECT coalesce(avg(a - b), 0) FROM pair)) AS u, b FROM pair)"
+INSIDE = lambda x: f"CASE WHEN date <= max(date) FILTER ({x} IS NOT NULL) OVER (PARTITION BY k) THEN last_value({x} IGNORE NULLS) OVER (PARTITION BY k ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS {x}"
 
 
-@query("date:D, u:d, b:d, none:d", f"WITH {TABLE9} SELECT date, CASE WHEN date <= (SELECT max(date) FILTER (u IS NOT NULL) FROM un) THEN last_value(u IGNORE NULLS) OVER w END AS u, CASE WHEN date <= (SELECT max(date) FILTER (b IS NOT NULL) FROM un) THEN last_value(b IGNORE NULLS) OVER w END AS b, NULL AS none FROM un WINDOW w AS (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+@query("k:s, date:D, u:d, b:d, none:d", f"WITH {UNIFIED} SELECT k, date, {INSIDE('u')}, {INSIDE('b')}, NULL AS none FROM un")
 def E09_daily_table(spark, sf):
-    return dl.commodity_table({"p": _pair(spark, sf)}, ["u", "b", "none"], {"u": ("a", "b")})
+    return dl.commodity_table({"p": _pair(spark, sf)}, ["u", "b", "none"], {"u": ("a", "b")}, ["k"])
 
 
-@query("o_orderkey:i, u:d", f"WITH {TABLE9}, f AS (SELECT date, CASE WHEN date <= (SELECT max(date) FILTER (u IS NOT NULL) FROM un) THEN last_value(u IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS u FROM un WHERE date < DATE '2001-06-01') SELECT o_orderkey, f.u FROM orders o ASOF LEFT JOIN f ON CAST(o.o_orderdate AS DATE) >= f.date")
+@query("o_orderkey:i, u:d", f"WITH {UNIFIED}, f AS (SELECT * FROM (SELECT k, date, {INSIDE('u')} FROM un) WHERE date < DATE '2001-06-01') SELECT o_orderkey, f.u FROM orders o ASOF LEFT JOIN f ON f.k = o.o_orderpriority AND CAST(o.o_orderdate AS DATE) >= f.date")
 def E10_commodity_job(spark, sf):
-    t = dl.commodity_table({"p": _pair(spark, sf)}, ["u"], {"u": ("a", "b")})
-    return merge.asof(table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").alias("ts")), t, ["u"], before="2001-06-01")
+    t = dl.commodity_table({"p": _pair(spark, sf)}, ["u"], {"u": ("a", "b")}, ["k"])
+    return merge.asof(table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("k"), F.col("o_orderdate").alias("ts")), t, ["u"], ["k"], before="2001-06-01")
 
 
 # ---- features ----
