@@ -193,3 +193,14 @@ def daily_pivot(df: DataFrame, pivots: list[PivotSpec], rules: list[tuple[str, s
         slots = rows.groupBy(*keys, "local_date").agg(*[F.avg(F.when(F.col("slot") == h, c(p.column))).alias(f"{prefix}_{h}") for h in range(24)])
         days = days.join(slots.withColumn("local_date", F.date_sub("local_date", p.day_offset)), [*keys, "local_date"], "left")
     return days.drop("there_")
+
+
+#: Named aggregates over what is there; the deviation is the population's.
+AGGREGATES = {"mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max, "sum": F.sum}
+
+
+def aggregate(df: DataFrame, columns: list[str], names: list[str], by: list[str] = []) -> DataFrame:
+    """(by, ``{column}_{name}``) for each pair of a column and a name of ``AGGREGATES``."""
+    if unknown := [n for n in names if n not in AGGREGATES]:
+        raise ValueError(f"unknown aggregates {unknown}")
+    return df.groupBy(*map(c, by)).agg(*[AGGREGATES[n](c(x)).alias(f"{x}_{n}") for x in columns for n in names])

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.features import regime_flags
 from tideline.operators import clean, gaps, merge
 from tideline.operators.days import normalize_dst
-from tideline.plans.blends import apply_weights
+from tideline.plans.blends import apply_weights, needs_reselection
 from tideline.session import pin
 from tideline.specs import MARKET_TZ, c
 
@@ -104,12 +104,10 @@ def freshness(df: DataFrame, columns: list[str], as_of: str, ok_hours: float = 4
     return found.select("name", F.col("last").alias("last_valid"), hours.alias("hours_old"), status.alias("status"), F.when(F.col("last").isNull(), 2).when(hours > ok_hours, 1).otherwise(0).alias("level"))
 
 
-def retrain_history(history: DataFrame, new: DataFrame, keep: int = 52) -> DataFrame:
-    """Appends a retrain; the newest ``keep`` stay, each with its relative change and the reselection flag."""
-    from pyspark.sql import Window
-
-    from tideline.plans.blends import needs_reselection
-
+def retrain_history(history: DataFrame, new: DataFrame, keep: int = 52, keys: list[str] = []) -> DataFrame:
+    """Appends retrains; the newest ``keep`` of each key stay, with their relative change and the reselection flag."""
     both = history.unionByName(new)
     flagged = both.withColumn("degradation_pct", F.try_divide(F.col("new_blend_mae") - F.col("old_blend_mae"), F.col("old_blend_mae")) * 100).withColumn("needs_reselection", needs_reselection(F.col("old_blend_mae"), F.col("new_blend_mae")))
-    return flagged.withColumn("n_", F.row_number().over(Window.orderBy(F.desc("date")))).where(F.col("n_") <= keep).drop("n_")
+    if not keys:
+        return flagged.orderBy(F.desc("date")).limit(keep)
+    return flagged.withColumn("n_", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("date")))).where(F.col("n_") <= keep).drop("n_")

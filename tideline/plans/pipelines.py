@@ -65,6 +65,7 @@ OPS = {
     "interactions": lambda df, p, k, tz: ft.day_interactions(df, [x for x in p["columns"] if x in df.columns], tz),
     "log_shift": _scale,
     "custom": lambda df, p, k, tz: p["fn"](df),
+    "fitted": lambda df, p, k, tz: p["estimator"].fit(df).transform(df),
 }
 
 

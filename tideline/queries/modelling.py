@@ -6,9 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tideline.functions.features import day_interactions, decay_weights
+from tideline.functions.scalers import LogShift
 from tideline.operators import days, merge, reshape, windows
-from tideline.plans import blends, jobs, leakage, models, pipelines, scoring
-from tideline.registry import DAILY, HOURLY, THIN, TYPES, WIDE, daily, hourly, query, table, wide
+from tideline.plans import blends, jobs, leakage, models, pipelines, production, scoring
+from tideline.registry import DAILY, HOURLY, THIN, TYPES, WIDE, daily, hourly, query, scratch, table, wide
 from tideline.session import pin
 from tideline.specs import AvailabilityRule, Step, WindowSpec
 
@@ -322,12 +323,10 @@ def K06_refresh_weights(spark, sf):
     return blends.trailing_weights(preds(spark, sf), 10, ["k"])
 
 
-@query("date:D, degradation_pct:d, needs_reselection:b", f"WITH {DAILY}, h AS (SELECT date, price AS new_, lag(price) OVER (ORDER BY date) AS old_ FROM daily WHERE k = '1-URGENT') SELECT date, (new_ - old_) / nullif(old_, 0) * 100 AS degradation_pct, coalesce((new_ - old_) / nullif(old_, 0) > 0.2 + 1e-12, FALSE) AS needs_reselection FROM h QUALIFY row_number() OVER (ORDER BY date DESC) <= 52")
+@query("k:s, date:D, degradation_pct:d, needs_reselection:b", f"WITH {DAILY}, h AS (SELECT k, date, price AS new_, lag(price) OVER (PARTITION BY k ORDER BY date) AS old_ FROM daily) SELECT k, date, (new_ - old_) / nullif(old_, 0) * 100 AS degradation_pct, coalesce((new_ - old_) / nullif(old_, 0) > 0.2 + 1e-12, FALSE) AS needs_reselection FROM h QUALIFY row_number() OVER (PARTITION BY k ORDER BY date DESC) <= 52")
 def K07_retrain_history(spark, sf):
-    d = daily(spark, sf).where("k = '1-URGENT'")
-    # a lag over one short daily series
-    h = d.select("date", F.lag("price").over(Window.partitionBy("k").orderBy("date")).alias("old_blend_mae"), F.col("price").alias("new_blend_mae"))
-    return jobs.retrain_history(h.where("year(date) < 2001"), h.where("year(date) >= 2001"))
+    h = daily(spark, sf).select("k", "date", F.lag("price").over(Window.partitionBy("k").orderBy("date")).alias("old_blend_mae"), F.col("price").alias("new_blend_mae"))
+    return jobs.retrain_history(h.where("year(date) < 2001"), h.where("year(date) >= 2001"), keys=["k"])
 
 
 @query("k:s, ts:t, mean_pred:d, median_pred:d", f"WITH {PREDS} SELECT k, ts, avg(pred) AS mean_pred, median(pred) AS median_pred FROM preds GROUP BY ALL")
@@ -458,10 +457,10 @@ def L01_merge_job_rules(spark, sf):
     return _merged(spark, sf, 0)
 
 
-@query("region:s, ts:t, view:d, click:d", f"WITH {WIDE} SELECT 'north' AS region, ts, view, click FROM wide WHERE coalesce(view, click) IS NOT NULL UNION ALL SELECT 'south', ts, view, click FROM wide WHERE date_part('hour', ts) < 12 AND coalesce(view, click) IS NOT NULL")
+@query("region:s, ts:t, view:d, click:d, purchase:d, signup:d, error:d", f"WITH {WIDE} SELECT 'north' AS region, * FROM wide UNION ALL SELECT 'south', * FROM wide WHERE date_part('hour', ts) < 12")
 def L02_combine_job(spark, sf):
-    long = hourly(spark, sf).select("ts", F.col("event_type").alias("column_name"), "value").where("column_name IN ('view', 'click')")
-    return jobs.combine_job({"north": long, "south": long.where("hour(ts) < 12")}, ["view", "click"])
+    long = hourly(spark, sf).select("ts", F.col("event_type").alias("column_name"), "value")
+    return jobs.combine_job({"north": long, "south": long.where("hour(ts) < 12")}, list(TYPES))
 
 
 @query("ts:t, view:d, forecast_source:i", f"""WITH {WIDE}, x AS (SELECT ts, view, 0 AS p FROM wide WHERE date_part('hour', ts) = 3 UNION ALL SELECT ts, click, 1 FROM wide WHERE date_part('hour', ts) < 6 UNION ALL SELECT ts, error, 2 FROM wide WHERE date_part('hour', ts) < 12), c AS (SELECT ts, view FROM x QUALIFY row_number() OVER (PARTITION BY ts ORDER BY p) = 1)
@@ -563,6 +562,44 @@ def L08_pipeline_v5_full(spark, sf):
     return _version(spark, sf, "v5_full")
 
 
+NAIVE = {"day": "y_lag_1d", "week": "y_lag_7d", "mean": "y_d7_d1_mean"}
+_LONG = " UNION ALL ".join(f"SELECT k, ts, y, '{m}' AS model, {x} AS pred FROM mx" for m, x in NAIVE.items())
+
+
+@query("model:s, category:s, n_features:i, weight:d, mae:d, rmse:d", f"""WITH {MATRIX}, p AS ({_LONG}), e AS (SELECT model, avg(abs(pred - y)) AS mae, sqrt(avg((pred - y) * (pred - y))) AS rmse FROM p GROUP BY 1), w AS (SELECT *, (1 / (mae + 1e-6)) / sum(1 / (mae + 1e-6)) OVER () AS weight FROM e),
+ b AS (SELECT k, ts, max(y) AS y, sum(pred * weight) AS pred FROM p JOIN w USING (model) GROUP BY k, ts)
+ SELECT model, 'naive' AS category, 1 AS n_features, weight, mae, rmse FROM w UNION ALL SELECT 'blend', 'blend', 3, 1.0, avg(abs(pred - y)), sqrt(avg((pred - y) * (pred - y))) FROM b""")
+def L10_production(spark, sf):
+    """Models that are stored, loaded and scored, and their blend."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    df, _ = matrix(spark, sf)
+    fitted = {m: PipelineModel([SQLTransformer(statement=f"SELECT *, {x} AS prediction FROM __THIS__")]) for m, x in NAIVE.items()}
+    errors = blends.errors_by_model(df.select("k", "ts", "y", F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(x).alias("pred")) for m, x in NAIVE.items()]))))
+    inputs = F.create_map(*[e for m, x in NAIVE.items() for e in (F.lit(m), F.array(F.lit(x)))])
+    config = blends.inverse_mae_weights(errors).withColumns({"category": F.lit("naive"), "features": F.try_element_at(inputs, F.col("model"))})
+    store = production.Production(spark, f"{scratch(spark)}/production")
+    store.save(fitted, config)
+    scored = pin(store.score(df, ["k"]))
+    each = store.summary().join(scoring.metrics(scored, ["model"]).select("model", "rmse"), "model")
+    m = scoring.metric_columns()
+    blend = store.blend(scored, ["k"]).agg(m["mae"].alias("mae"), m["rmse"].alias("rmse")).select(F.lit("blend").alias("model"), F.lit("blend").alias("category"), F.lit(len(NAIVE)).alias("n_features"), F.lit(1.0).alias("weight"), "mae", "rmse")
+    return each.unionByName(blend)
+
+
+@query("ts:t, view:d, click:d, spread:d", f"WITH {WIDE}, s AS (SELECT abs(least(min(view), min(click))) + 1 AS shift FROM wide) SELECT ts, ln(view + shift) AS view, ln(click + shift) AS click, view - click AS spread FROM wide, s")
+def S04_user_steps(spark, sf):
+    """A user's function and a user's estimator as steps of a pipeline."""
+    steps = [Step("custom", {"fn": lambda df: df.withColumn("spread", F.col("view") - F.col("click")), "label": "spread"}), Step("fitted", {"estimator": LogShift(["view", "click"])})]
+    return pipelines.compile_steps(steps)(wide(spark, sf))
+
+
+@query(", ".join(["l_returnflag:s", *[f"{x}_{a}:d" for x in ("l_quantity", "l_extendedprice") for a in windows.AGGREGATES]]), "SELECT l_returnflag, " + ", ".join(f"{f}({x}) AS {x}_{a}" for x in ("l_quantity", "l_extendedprice") for a, f in (("mean", "avg"), ("std", "stddev_pop"), ("min", "min"), ("max", "max"), ("sum", "sum"))) + " FROM lineitem GROUP BY 1")
+def S05_named_aggregates(spark, sf):
+    return windows.aggregate(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"], list(windows.AGGREGATES), ["l_returnflag"])
+
+
 @query("feature:s, n:i, n_violations:i", f"WITH {PREDS} SELECT model AS feature, count(*) AS n, count(*) FILTER (ts - to_hours(CASE model WHEN 'lag1' THEN 24 WHEN 'lag2' THEN 48 ELSE 168 END) > date_trunc('day', ts) - INTERVAL 14 HOUR) AS n_violations FROM preds GROUP BY 1")
 def L09_leakage_audit(spark, sf):
     steps = [Step("windows", {"columns": ("view",), "windows": (WindowSpec(-7, -1),)}), Step("rename", {"old": "view", "new": "y"})]
