@@ -45,6 +45,9 @@ def test_counts_of_documents(spark):
     got = tokcount.document_tokens(docs(spark, AWKWARD), path, pattern, 50256, block=1000).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(repr((i, len(enc.encode_ordinary(t or "")))) for i, t, *_ in AWKWARD)
     assert tokcount.document_tokens(docs(spark, []), path, pattern, 50256).count() == 0
+    for end_id in (100, 70_000):
+        with pytest.raises(ValueError):
+            tokcount.document_tokens(docs(spark, AWKWARD), path, pattern, end_id)
 
 
 # ---- exact top-k ----

@@ -53,11 +53,15 @@ def write_flat(docs: DataFrame, folder: str, ranks_path: str, pattern: str, end_
     """Tokenise whole texts into flat files, one a task; returns (file, place, doc_id), saved.
 
     A file gets a name of its own for every attempt, and counts only if the
-    attempt's rows were committed, so lost executors leave no document twice.
+    attempt's rows were committed, so lost executors leave no document twice. A
+    separator that is a token, or identifiers beyond the width, are refused.
     """
     ship(docs.sparkSession)
     with open(ranks_path, "rb") as f:
         raw = f.read()
+    taken = read_ranks(raw).values()
+    if end_id in taken or max(end_id, *taken) >= 1 << 8 * width:
+        raise ValueError(f"the separator {end_id} is a token, or an identifier is wider than {width} bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = _tokenizer(raw, pattern), end_id.to_bytes(width, "little")
