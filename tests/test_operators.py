@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions import scalers
 from tideline.operators import clean, days, gaps, merge, windows
-from tideline.plans import blends, leakage, pipelines, scoring
+from tideline.plans import blends, jobs, leakage, pipelines, production, scoring
 from tideline.sources import readers
 from tideline.specs import AvailabilityRule, PivotSpec, Step, WindowSpec, matches, resolve
 
@@ -183,6 +183,49 @@ def test_holt_winters_follows_the_recurrence(spark):
     np.testing.assert_allclose([r.pred for r in got], want, atol=1e-9)
 
 
+def test_holt_winters_of_several_series_with_gaps(spark):
+    rng = np.random.default_rng(8)
+    y = [float(v) if v > -1.5 else None for v in rng.normal(size=72)]
+    a, _ = series(spark, y)
+    both = a.unionByName(a.withColumn("k", F.lit("other")).withColumn("v", F.col("v") * 2)).unionByName(a.orderBy("ts").limit(24).withColumn("k", F.lit("short")))
+    got = scoring.holt_winters_rolling(both, "v", ["k"]).orderBy("k", "ts").collect()
+    by = {k: [r.pred for r in got if r.k == k] for k in {r.k for r in got}}
+    alone = [r.pred for r in scoring.holt_winters_rolling(a, "v", ["k"]).orderBy("ts").collect()]
+    (first,) = set(by) - {"other"}
+    assert len(alone) == 48 and all(p is not None for p in alone)
+    np.testing.assert_allclose(by[first], alone, atol=1e-12)
+    np.testing.assert_allclose(by["other"], np.array(alone) * 2, atol=1e-9)
+    assert scoring.holt_winters_rolling(a.limit(0), "v", ["k"]).count() == 0
+
+
+def test_production_registry(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    store = production.Production(spark, f"file://{tmp_path}/p")
+    models = {m: PipelineModel([SQLTransformer(statement=f"SELECT *, {e} AS prediction FROM __THIS__")]) for m, e in (("a", "x"), ("b", "x * 2"))}
+    config = spark.createDataFrame([("a", "c", ["x"], 0.75, 1.0), ("b", "c", ["x"], 0.25, 3.0)], "model string, category string, features array<string>, weight double, mae double")
+    with pytest.raises(ValueError):
+        store.save({"a": models["a"]}, config)
+    store.save(models, config)
+    df = spark.createDataFrame([(1, 4.0, 5.0)], "ts int, x double, y double")
+    assert [(r.ts, r.y, r.pred) for r in store.blend(store.score(df)).collect()] == [(1, 5.0, 5.0)]
+    assert sorted((r.model, r.n_features, r.weight) for r in store.summary().collect()) == [("a", 1, 0.75), ("b", 1, 0.25)]
+    with pytest.raises(ValueError, match="x"):
+        store.score(df.drop("x"))
+
+
+def test_named_aggregates_and_retrains(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None)], "k string, v double")
+    got = {r.k: (r.v_mean, r.v_std, r.v_sum) for r in windows.aggregate(df, ["v"], ["mean", "std", "sum"], ["k"]).collect()}
+    assert got == {"a": (2.0, 1.0, 4.0), "b": (None, None, None)}
+    with pytest.raises(ValueError):
+        windows.aggregate(df, ["v"], ["mode"])
+    h = spark.createDataFrame([("a", 1, 10.0, 13.0), ("a", 2, 10.0, 11.0), ("b", 1, 0.0, 1.0)], "k string, date int, old_blend_mae double, new_blend_mae double")
+    assert sorted((r.k, r.date, r.needs_reselection) for r in jobs.retrain_history(h.limit(0), h, 1, ["k"]).collect()) == [("a", 2, False), ("b", 1, False)]
+    assert [r.date for r in jobs.retrain_history(h, h.limit(0), 1).collect()] == [2]
+
+
 def test_folds_and_splits():
     assert scoring.folds(30, 2, 5, gap=1) == [(0, 0, 24, 25, 30), (1, 0, 19, 20, 25)]
     with pytest.raises(ValueError):
