@@ -124,14 +124,14 @@ def A14_source_snapshot(spark, sf):
 DOC = f"{HOURLY}, s AS (SELECT event_type AS m, CAST(ts AS DATE) AS date, date_part('hour', ts) AS slot, value FROM hourly)"
 
 
-@query("date:D, n_prices:i, total:d, n_models:i", f"WITH {DOC} SELECT date, count(*) FILTER (m = 'view') AS n_prices, round(sum(value) FILTER (m = 'view'), 3) AS total, count(DISTINCT m) FILTER (m IN ('click', 'error')) AS n_models FROM s GROUP BY date")
+@query("date:D, n_prices:i, total:d, n_models:i", f"WITH {DOC} SELECT date, count(*) FILTER (m = 'view') AS n_prices, sum(value) FILTER (m = 'view') AS total, count(DISTINCT m) FILTER (m IN ('click', 'error')) AS n_models FROM s GROUP BY date")
 def A15_documents(spark, sf):
     name = F.when(F.col("event_type") == "view", "blend").otherwise(F.col("event_type"))
     p = hourly(spark, sf).where("event_type IN ('view', 'click', 'error')").select(F.to_date("ts").alias("date"), F.hour("ts").alias("slot"), name.alias("model"), F.col("value").alias("pred"))
     path = f"{scratch(spark)}/documents"
-    ds.forecast_documents(p, "2024-02-01 00:00:00", decimals=8).select(F.col("document").alias("value")).write.text(path)
+    ds.forecast_documents(p, "2024-02-01 00:00:00", decimals=12).select(F.col("document").alias("value")).write.text(path)
     d = spark.read.schema("date STRING, prices ARRAY<DOUBLE>, model_predictions MAP<STRING, ARRAY<DOUBLE>>").json(path)
-    return d.select(F.to_date("date").alias("date"), F.size("prices").alias("n_prices"), F.round(F.aggregate("prices", F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.size("model_predictions").alias("n_models"))
+    return d.select(F.to_date("date").alias("date"), F.size("prices").alias("n_prices"), F.aggregate("prices", F.lit(0.0), lambda a, x: a + x).alias("total"), F.size("model_predictions").alias("n_models"))
 
 
 def _datasets(spark, sf):

@@ -253,7 +253,7 @@ def H02_complete_days(spark, sf):
     return d.withColumn("total", F.aggregate("values", F.lit(0.0), lambda a, x: a + x))
 
 
-@query("day:D, column_name:s, status:i, last_hour:i", f"""WITH {THIN}, u AS (UNPIVOT (SELECT ts, {', '.join(f'coalesce({t}, -1) AS {t}' for t in TYPES)} FROM thin) ON {', '.join(TYPES)} INTO NAME column_name VALUE v)
+@query("day:D, column_name:s, status:i, last_hour:d", f"""WITH {THIN}, u AS (UNPIVOT (SELECT ts, {', '.join(f'coalesce({t}, -1) AS {t}' for t in TYPES)} FROM thin) ON {', '.join(TYPES)} INTO NAME column_name VALUE v)
  SELECT CAST(ts AS DATE) AS day, column_name, CASE WHEN count(*) FILTER (v >= 0) = 0 THEN 0 WHEN count(*) FILTER (v >= 0) < count(*) THEN 1 ELSE 2 END AS status, max(date_part('hour', ts)) FILTER (v >= 0) AS last_hour FROM u GROUP BY ALL""")
 def H03_missing_days(spark, sf):
     u = reshape.to_long(wide(spark, sf, thin=True), ["ts"], list(TYPES))
