@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, chat, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, tokcount, topk
+from tideline.llm import align, bpe, chat, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, tokcount, topk
 from tideline.llm.common import table
 
 try:  # vocabulary files of public tokenizers, where they are installed
@@ -18,6 +18,10 @@ def ranks_file() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def alignment_files() -> tuple[str, str]:
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *ranks_file())
 
@@ -71,6 +75,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = align.align_documents(table(spark, sf_dir, "documents"), *alignment_files())
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    scored = align.score_links(rows.withColumn("groups_sha256", digest).drop("groups"))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 OP6_SQL = """
 WITH n AS MATERIALIZED (SELECT row_number() OVER () AS no, vec_id, embedding FROM embeddings),
 v AS MATERIALIZED (
@@ -112,7 +123,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op5_suffix_dedup, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op5_suffix_dedup, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash, op13_align)}
 
 
 def oracle_sql() -> dict[str, str]:
