@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import align, bpe, chat, exact_dedup, langid, mixing, quality, simhash, suffix_dedup, tokcount, topk
+from tideline.llm import align, bpe, chat, exact_dedup, langid, mixing, quality, simhash, spelling, suffix_dedup, tokcount, topk
 from tideline.llm.common import table
 
 try:  # vocabulary files of public tokenizers, where they are installed
@@ -75,6 +75,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = align.align_documents(table(spark, sf_dir, "documents"), *alignment_files())
     digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
@@ -122,9 +126,42 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+OP12_SQL = r"""
+WITH RECURSIVE crc AS (  -- the checksum's table of 256 remainders
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+), runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL
+), bytes AS (
+  SELECT run, k, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END)) AS b FROM runs WHERE length(run) >= 5
+), summed AS (
+  SELECT run, k, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, x: xor(t[CAST((xor(c, x) & 255) + 1 AS INTEGER)], c >> 8)), 4294967295) AS h FROM bytes, crc
+), words AS MATERIALIZED (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, CAST(sum(k) AS BIGINT) AS n
+  FROM summed GROUP BY 1 HAVING length(word) >= 5 AND sum(k) >= 3
+), cut AS MATERIALIZED (
+  SELECT word, n, p, left(word, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)
+), near AS MATERIALIZED (
+  SELECT a.word, a.n, b.word AS v, b.n AS vn FROM cut a JOIN cut b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT c.word, c.n, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, w.n, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word
+), best AS (
+  SELECT word, v, vn, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY vn DESC, v) AS r FROM near
+), forms AS MATERIALIZED (
+  SELECT w.word, w.n, CASE WHEN b.vn >= 2 * w.n THEN b.v END AS form, CASE WHEN b.vn >= 2 * w.n THEN b.vn END AS form_n, coalesce(n_near, 0) AS n_near
+  FROM words w LEFT JOIN best b ON w.word = b.word AND b.r = 1
+), way AS (
+  SELECT word, word AS at FROM forms UNION ALL SELECT y.word, f.form FROM way y JOIN forms f ON y.at = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, y.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN way y ON f.word = y.word JOIN forms e ON y.at = e.word AND e.form IS NULL
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op5_suffix_dedup, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash, op13_align)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op5_suffix_dedup, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash, op12_spelling, op13_align)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_top_k": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_chat": OP9_SQL}
+    return {"op6_top_k": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_chat": OP9_SQL, "op12_spelling": OP12_SQL}
