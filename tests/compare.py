@@ -22,7 +22,8 @@ def rows(pdf) -> list[str]:
         if x is None or type(x).__name__ in ("NAType", "NaTType") or x != x:
             return None
         if isinstance(x, float) or type(x).__name__.startswith("float"):
-            return round(float(x), 5) + 0.0
+            x = round(float(x), 5) + 0.0
+            return int(x) if x.is_integer() else x  # pandas makes floats of long columns with nulls
         if type(x).__name__ in ("int64", "int32", "Int64", "int"):
             return int(x)
         return str(x)
