@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import align, bpe, chat, exact_dedup, langid, mixing, quality, simhash, spelling, suffix_dedup, tokcount, topk
+from tideline.llm import align, bpe, chat, exact_dedup, langid, minhash, mixing, quality, simhash, spelling, suffix_dedup, tokcount, topk
 from tideline.llm.common import table
 
 try:  # vocabulary files of public tokenizers, where they are installed
@@ -75,6 +75,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
 
@@ -126,6 +130,21 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 """
 
 
+OP11_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) AS x FROM w WHERE len(w) > 0
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (
+  SELECT a, b FROM (SELECT s.doc_id AS a, t.doc_id AS b, count(*) AS k FROM s JOIN s t ON s.x = t.x AND s.doc_id <> t.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 85 * (na.n + nb.n - k)
+), reach AS (SELECT doc_id AS a, doc_id AS at FROM documents UNION SELECT r.a, p.b FROM reach r JOIN p ON r.at = p.a),
+c AS (SELECT a, min(at) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
 OP12_SQL = r"""
 WITH RECURSIVE crc AS (  -- the checksum's table of 256 remainders
   SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
@@ -160,8 +179,8 @@ FROM forms f JOIN way y ON f.word = y.word JOIN forms e ON y.at = e.word AND e.f
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op5_suffix_dedup, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash, op12_spelling, op13_align)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_mix_sources, op3_language_id, op4_token_counts, op5_suffix_dedup, op6_top_k, op7_exact_dedup, op8_quality, op9_chat, op10_simhash, op11_minhash, op12_spelling, op13_align)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_top_k": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_chat": OP9_SQL, "op12_spelling": OP12_SQL}
+    return {"op6_top_k": OP6_SQL, "op7_exact_dedup": OP7_SQL, "op9_chat": OP9_SQL, "op11_minhash": OP11_SQL, "op12_spelling": OP12_SQL}

@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import discard, fresh, save, ship, slices
+from tideline.llm.common import components, discard, fresh, save, ship, slices
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: A cell with more fingerprints than this times the choices of bands is split: about where comparing costs more than splitting.
@@ -191,27 +191,6 @@ def links(fps: DataFrame, radius: int = RADIUS, leaf: int | None = None) -> Data
     return reduce(DataFrame.unionByName, found)  # one table per level
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(id, root): the smallest id that each linked id reaches."""
-    now = save(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi > lo").distinct(), "edges")
-    mark = None
-    for _ in range(max_rounds):
-        # large star: every larger neighbour goes to the smallest neighbour
-        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        # small star: smaller neighbours, and oneself, go to the smallest
-        large = save(both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
-        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi > lo").union(low.select("hi", F.col("m").alias("lo")))
-        before, now = now, save(small.distinct(), "edges")
-        discard(before, large)
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if seen == mark:
-            return now.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("root"))
-        mark = seen
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-
-
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radius: int = RADIUS) -> DataFrame:
     """doc_id, fp, component_id of every row."""
     own = save(fingerprints(docs, shingle, seed), "own")
