@@ -3,7 +3,7 @@ import pytest
 from tests.compare import connect, differences
 from tests.llm.helpers import AWKWARD, docs
 from tideline.llm import queries as q
-from tideline.llm.simhash import shingle_set
+from tideline.llm.minhash import shingles
 
 
 @pytest.mark.parametrize("name", sorted(q.oracle_sql()))
@@ -31,7 +31,7 @@ def test_pipeline(spark, sf_dir):
     for i in sorted(kept["language"], key=lambda i: (-len(raw[i]), i)):
         norm.setdefault("".join(raw[i].encode().decode().split(" ")).translate({c: None for c in range(9, 14)}), i)
     assert sorted(kept["exact"]) == sorted(norm.values())
-    sets = {i: set(shingle_set(raw[i], 5).tolist()) for i in kept["exact"]}
+    sets = {i: set(shingles(raw[i]).tolist()) for i in kept["exact"]}
     for i in set(kept["exact"]) - set(kept["near"]):  # what goes is like a text before it
         assert any(len(sets[i] & s) >= 0.8 * len(sets[i] | s) for j, s in sets.items() if j != i)
     assert set(kept["near"]) < set(kept["exact"])

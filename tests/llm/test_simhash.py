@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 from tests.llm.helpers import AWKWARD, docs, find_groups
-from tideline.llm import simhash
+from tideline.llm import minhash, simhash
 
 
 def brute_fingerprint(text):
@@ -142,7 +142,7 @@ def test_near_copies_go_and_others_stay(spark, sf_dir):
     d = save(d.unionByName(spark.createDataFrame([(10**6 + c[0], *c[1:]) for c in copies], d.schema)), "d")
     text = {r.doc_id: r.text for r in d.select("doc_id", "text").collect()}
     kept = {r.doc_id for r in simhash.first_of_groups(d).select("doc_id").collect()}
-    sets, by = {i: set(simhash.shingle_set(t, 5).tolist()) for i, t in text.items()}, {}
+    sets, by = {i: set(minhash.shingles(t).tolist()) for i, t in text.items()}, {}
     for i, s in sets.items():
         for x in s:
             by.setdefault(x, []).append(i)
@@ -202,3 +202,36 @@ def test_unlike_texts_of_one_fingerprint_stay(spark):
     rows = [(1, " ".join(w)), (2, " ".join(w[::-1])), (3, " ".join(sorted(w))), (4, " ".join(w) + " more")]
     assert {simhash.fingerprint(t, 1, distinct=True) for _, t in rows[:3]} == {simhash.fingerprint(rows[0][1], 1, distinct=True)}
     assert sorted(r.doc_id for r in simhash.first_of_groups(docs(spark, rows)).collect()) == [1, 2, 3]
+
+
+def kept_ids(spark, texts):
+    rows = [(i, t if isinstance(t, str) else " ".join(t)) for i, t in enumerate(texts, 1)]
+    return sorted(r.doc_id for r in simhash.first_of_groups(docs(spark, rows)).collect())
+
+
+def test_links_among_texts_of_one_fingerprint(spark):
+    """The first text of a fingerprint is unlike the others, which are like each other."""
+    w = [f"w{i}" for i in range(60)]
+    shuffled = random.Random(1).sample(w, 60)
+    assert kept_ids(spark, [shuffled, w, [*w, w[-1]], [*w, w[-1], w[-1]]]) == [1, 2]
+
+
+def test_links_behind_an_unlike_first_text(spark):
+    """Linked fingerprints, of which the first texts are unlike."""
+    w = [f"w{i}" for i in range(200)]
+    changed = next(c for i in range(9999) if 0 < (simhash.fingerprint(" ".join(c := [*w[:-1], f"x{i}"]), 1, distinct=True) ^ simhash.fingerprint(" ".join(w), 1, distinct=True)).bit_count() <= 6)
+    assert kept_ids(spark, [random.Random(1).sample(w, 200), w, changed]) == [1, 2]
+
+
+def test_short_texts(spark):
+    """One word more, in texts of 12 to 400: nine in ten pairs of similarity 0.8 at least are found, at every length."""
+    rnd, texts, at = random.Random(2), [], {}
+    for length in (12, 20, 30, 50, 90, 130, 400):
+        for _ in range(60):
+            w = [f"w{rnd.randrange(9999)}" for _ in range(length)]
+            p = rnd.choice([0, length, rnd.randrange(length)] if length > 24 else [0, length])
+            at.setdefault(length, []).append(len(texts) + 2)
+            texts += [w, [*w[:p], "more", *w[p:]]]
+    kept = set(kept_ids(spark, texts))
+    missed = {length: len(kept.intersection(ids)) for length, ids in at.items()}
+    assert len(kept) >= len(texts) / 2 and max(missed.values()) <= 6, missed

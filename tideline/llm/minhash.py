@@ -98,8 +98,11 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def sketches(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """doc_id, text_hash, n_words, n_shingles, digest of the set, and signature (both null for an empty set) of every whole text."""
+def sketches(docs: DataFrame, words: int = SHINGLE, fingerprint: Callable[[str | None], int] | None = None) -> DataFrame:
+    """doc_id, text_hash, n_words, n_shingles, digest of the set, and signature (both null for an empty set) of every whole text.
+
+    With ``fingerprint``, also fp: its 64 bits as a signed long.
+    """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,17 +115,20 @@ def sketches(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
                 digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 sigs = [next(rows).tobytes() if len(s) else None for s in sets]
                 n_words = [len(t.split()) if t else 0 for t in texts]
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(n_words, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())], ["doc_id", "text_hash", "n_words", "n_shingles", "digest", "sig"])
+                fp = [pa.array(np.array(list(map(fingerprint, texts)), np.uint64).view(np.int64))] if fingerprint else []
+                columns = [*part.columns[:2], pa.array(n_words, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), *fp]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_words", "n_shingles", "digest", "sig", "fp"][: len(columns)])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n_words long, n_shingles long, digest binary, sig binary")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_words long, n_shingles long, digest binary, sig binary" + ", fp long" * bool(fingerprint))
 
 
 def number_sets(own: DataFrame) -> DataFrame:
-    """A row per different set of ``sketches``, saved: no, digest, sig, n_words, first (of the row that stands for it: none, doc_id, text_hash)."""
+    """A row per different set of ``sketches``, saved: no, digest, sig, n_words, first (of the row that stands for it: none, doc_id, text_hash), fp if given."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    each = own.where("digest IS NOT NULL").groupBy("digest").agg(first, F.first("sig").alias("sig"), F.min("n_words").alias("n_words"))
-    return save(each.select(F.monotonically_increasing_id().alias("no"), "digest", "sig", "n_words", "first"), "nodes")
+    least = [F.min(c).alias(c) for c in ("n_words", "fp") if c in own.columns]
+    each = own.where("digest IS NOT NULL").groupBy("digest").agg(F.first("sig").alias("sig"), *least, first)
+    return save(each.select(F.monotonically_increasing_id().alias("no"), "*"), "nodes")
 
 
 def _dealt(rows: DataFrame, leaf: int) -> list[DataFrame]:

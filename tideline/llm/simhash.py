@@ -23,6 +23,9 @@ fingerprint meets a bounded number of others.
 
 Components come from alternating large-star and small-star steps, each saved.
 
+In the words of candidate search: bands of bits propose, the pivot table discards
+of what they propose (12 of 23 pairs at a scale of 0.1), exact distance verifies.
+
 ``first_of_groups`` keeps one row of each group of near copies. It checks what
 fingerprints propose by the texts' shingles, so unlike texts stay.
 
@@ -47,10 +50,12 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm import minhash
 from tideline.llm.common import components, discard, fresh, save, ship, slices
+from tideline.llm.minhash import text_hash
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: A cell with more fingerprints than this times the choices of bands is split: about where comparing costs more than splitting.
@@ -77,23 +82,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, dist
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-def text_hash(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False, hashed: bool = False) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every whole text; with ``hashed``, also text_hash."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, distinct: bool = False) -> DataFrame:
+    """doc_id, fp (the 64 bits as a signed long) of every whole text."""
     ship(docs.sparkSession)
-    also = ["text_hash"] * hashed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 fp = np.array([fingerprint(t.as_py(), shingle, seed, distinct) for t in part.column(1)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp), *part.columns[2:]], ["doc_id", "fp", *also])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["doc_id", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[text_hash(F.col("text")).alias(x) for x in also])
-    return rows.mapInArrow(run, "doc_id long, fp long" + ", text_hash long" * hashed)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -202,72 +201,45 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radiu
     return own.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
-def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Hashes of the different shingles of a whole text, in order."""
-    w = (text or "").encode().lower().split()
-    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), SEED) for i in range(max(1, len(w) - words + 1))], np.uint64)).view(np.int64)
-
-
-def _shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """doc_id, text_hash, fp, set: the shingles of the wanted texts (doc_id, text_hash, fp), saved."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 3, 1 << 20):
-                sets = [shingle_set(t.as_py(), words) for t in part.column(3)]
-                ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], ["doc_id", "text_hash", "fp", "set"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("h"), "text")
-    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash"))
-    once = rows.join(wanted, same).select("doc_id", "text_hash", "fp", "text").mapInArrow(run, "doc_id long, text_hash long, fp long, set array<long>")
-    return save(once.groupBy("doc_id", "text_hash", "fp").agg(F.first("set").alias("set")), "sets")
-
-
-def _similar(a: str, b: str, least: float) -> Column:
-    """Whether two sets' Jaccard similarity is at least ``least``."""
-    both = F.size(F.array_intersect(a, b))
-    return both * (1 + least) >= least * (F.size(a) + F.size(b))
-
-
-def first_of_groups(docs: DataFrame, shingle: int = 1, seed: int = SEED, radius: int = 6, distinct: bool = True, similarity: float = 0.8, words: int = 5) -> DataFrame:
+def first_of_groups(docs: DataFrame, shingle: int = 1, seed: int = SEED, radius: int = 6, distinct: bool = True, similarity: float = 0.8, words: int = 5, short: int = 128) -> DataFrame:
     """One row of ``docs`` of each group: that with the smallest doc_id (null last), then the smallest hash of its text.
 
-    Fingerprints only propose: of those at most ``radius`` apart, the first texts
-    are linked if their sets of ``words``-word shingles are as similar as
-    ``similarity``, and so is a text with the first one of its own fingerprint.
-    By default fingerprints are those of a text's different words: a changed word
-    alters one of these but several longer shingles, so near copies lie closer.
+    Texts with the same set of ``words``-word shingles are copies. Between others
+    fingerprints only propose: those that chains of fingerprints at most
+    ``radius`` apart join, and those that share one, are compared by their
+    shingles' signatures (see ``minhash.links``) and linked if their full sets
+    are as similar as ``similarity``. Of texts of fewer than ``short`` words, one
+    word alters the fingerprint by too many bits, so these are all compared with
+    one another by signatures. By default fingerprints are those of a text's
+    different words: a changed word alters one of these but several longer
+    shingles, so near copies lie closer.
     The rows that go are few and small beside the texts, so it is they that are
     listed and left out; texts move only where even that list is too large to
     broadcast.
     """
-    own = save(fingerprints(docs, shingle, seed, distinct, hashed=True), "own")
-    each = save(own.groupBy("fp", "doc_id", "text_hash").agg(F.count("*").alias("n")), "each")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    fps = save(each.groupBy("fp").agg(first.alias("first"), F.count("*").alias("n")), "fps")
-    proposed = save(links(fps.select("fp"), radius).distinct(), "proposed")
-
-    # texts to compare: the first ones of linked fingerprints, and all of a fingerprint with several
-    ends = proposed.select(F.col("a").alias("fp")).union(proposed.select(F.col("b").alias("fp"))).distinct()
-    wanted = fps.join(ends, "fp").select("first.doc_id", "first.text_hash", "fp").union(each.join(fps.where("n > 1").select("fp"), "fp").select("doc_id", "text_hash", "fp")).distinct()
-    sets = _shingle_sets(docs, wanted, words)
-    is_first = F.col("s.doc_id").eqNullSafe(F.col("f.first.doc_id")) & (F.col("s.text_hash") == F.col("f.first.text_hash"))
-    of_first = save(sets.alias("s").join(fps.alias("f"), "fp").where(is_first).select("fp", F.col("s.set").alias("of_first")), "of_first")
-    a, b = of_first.toDF("a", "set_a"), of_first.toDF("b", "set_b")
-    linked = proposed.join(a, "a").join(b, "b").where(_similar("set_a", "set_b", similarity)).select("a", "b")
-    roots = components(linked).select(F.col("id").alias("fp"), "root")
-    # a text unlike the first one of its fingerprint is in no group
-    unlike = sets.join(of_first, "fp").where(~_similar("set", "of_first", similarity)).select("fp", "doc_id", "text_hash", F.lit(True).alias("unlike"))
-
-    members = save(fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first"), "members")
+
+    def own_fingerprint(text: str | None) -> int:
+        return fingerprint(text, shingle, seed, distinct)
+
+    own = save(minhash.sketches(docs, words, own_fingerprint).withColumn("digest", F.coalesce("digest", F.lit(b""))), "own")
+    nodes = minhash.number_sets(own)
+    full = nodes.where("sig IS NOT NULL")
+    near = components(links(full.select("fp").distinct(), radius)).select(F.col("id").alias("fp"), "root")
+    scopes = full.join(near, "fp", "left").select("no", F.xxhash64(F.lit(1), F.coalesce("root", "fp")).alias("scope"))
+    several = scopes.groupBy("scope").agg(F.count("*").alias("n")).where("n > 1")
+    scopes = scopes.join(several, "scope", "left_semi").select("no", "scope")
+    small = full.where(F.col("n_words") < short).select("no", F.lit(0).cast("long").alias("scope"))
+    linked = minhash.links(full, docs, save(scopes.unionByName(small), "scopes"), round(100 * similarity), words)
+    roots = components(linked).select(F.col("id").alias("no"), "root")
+
+    members = save(nodes.join(roots, "no", "left").select("digest", F.coalesce("root", "no").alias("root"), "first"), "members")
     best = members.groupBy("root").agg(F.min("first").alias("best"))
-    chosen = members.select("fp", "root").join(best, "root").select("fp", "best")
-    known = each.alias("e").join(chosen, "fp").join(unlike.alias("u"), (F.col("e.fp") == F.col("u.fp")) & F.col("e.doc_id").eqNullSafe(F.col("u.doc_id")) & (F.col("e.text_hash") == F.col("u.text_hash")), "left")
-    stays = F.coalesce("u.unlike", F.lit(False)) | F.col("e.doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("e.text_hash") == F.col("best.text_hash"))
+    chosen = members.select("digest", "root").join(best, "root").select("digest", "best")
+    each = own.groupBy("digest", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
     gone, h = fresh(docs.columns, "gone_id", "gone_hash")
-    listed = save(known.select(F.col("e.doc_id").alias(gone), F.col("e.text_hash").alias(h), "n", stays.alias("stays")), "listed")
-    discard(own, each, fps, proposed, sets, of_first, members)
+    listed = save(each.join(chosen, "digest").select(F.col("doc_id").alias(gone), F.col("text_hash").alias(h), "n", stays.alias("stays")), "listed")
+    discard(own, nodes, members, linked)
     left = docs.join(listed.where("NOT stays").select(gone, h), F.col("doc_id").cast("long").eqNullSafe(F.col(gone)) & (text_hash(F.col("text")) == F.col(h)), "left_anti")
     if listed.where("stays AND n > 1").isEmpty():
         return left
