@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideline import registry
 from tideline.operators import windows
 from tideline.plans import scoring
-from tideline.queries import io, modelling, relational, series  # noqa: F401  they register themselves
+from tideline.queries import backfill, io, modelling, relational, series  # noqa: F401  they register themselves
 from tideline.specs import WindowSpec
 
 

@@ -106,22 +106,15 @@ HOLIDAYS: list[tuple[int | tuple[int, int], tuple[str, ...]]] = [
 ]
 
 
-def holiday_table(spark, first_year: int, last_year: int, populations: dict[str, float] = STATE_POPULATIONS) -> DataFrame:
-    """date, holiday_score: the share of people whose state has a holiday; one row per holiday, made from the rules."""
+def with_holidays(df: DataFrame, tz: str = MARKET_TZ, time: str = "ts", populations: dict[str, float] = STATE_POPULATIONS) -> DataFrame:
+    """Adds holiday_score: the share of people whose state has a holiday on the local day; 0 on other days, whatever the year."""
     total = sum(populations.values())
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"))
-    rules = []
+    day = df.withColumn("date_", F.to_date(local(time, tz))).withColumn("easter_", easter(F.year("date_")))
+    score = F.lit(0.0)
     for when, states in HOLIDAYS:
-        date = F.date_add(easter(F.col("y")), when) if isinstance(when, int) else F.make_date("y", F.lit(when[0]), F.lit(when[1]))
-        rules.append(F.struct(date.alias("date"), F.lit(sum(populations[s] for s in states) / total if states else 1.0).alias("score")))
-    return years.select(F.inline(F.array(*rules))).groupBy("date").agg(F.least(F.sum("score"), F.lit(1.0)).alias("holiday_score"))
-
-
-def with_holidays(df: DataFrame, tz: str = MARKET_TZ, time: str = "ts", years: tuple[int, int] = (1990, 2060)) -> DataFrame:
-    """Adds holiday_score, 0 on other days; the table has some 14 rows a year and is broadcast."""
-    table = holiday_table(df.sparkSession, *years)
-    day = df.withColumn("local_date_", F.to_date(local(time, tz)))
-    return day.join(F.broadcast(table), F.col("local_date_") == F.col("date"), "left").drop("date", "local_date_").withColumn("holiday_score", F.coalesce("holiday_score", F.lit(0.0)))
+        here = F.datediff("date_", "easter_") == when if isinstance(when, int) else (F.month("date_") == when[0]) & (F.dayofmonth("date_") == when[1])
+        score = score + F.when(here, sum(populations[s] for s in states) / total if states else 1.0).otherwise(0.0)
+    return day.withColumn("holiday_score", F.least(score, F.lit(1.0))).drop("date_", "easter_")
 
 
 def total_flows(df: DataFrame, exports: list[str], imports: list[str]) -> DataFrame:

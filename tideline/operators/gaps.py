@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.operators.reshape import to_long
+from tideline.session import pin, ship
 from tideline.specs import c
 
 #: Valid points on either side of a gap; farther ones do not change a cubic spline in double precision.
@@ -68,7 +69,9 @@ def cubic(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def interpolate_gaps_long(df: DataFrame, keys: list[str], max_gap: int = 5, time: str = "ts", value: str = "value", block: str = "month") -> DataFrame:
     """Interior gaps of at most ``max_gap`` rows in a row, each by a spline through the points around it."""
-    runs = gap_runs(df, value, keys, time, block)
+    ship(df.sparkSession)
+    df = pin(df)  # it and its runs are read several times
+    runs = pin(gap_runs(df.select(*keys, time, value), value, keys, time, block))
     total = runs.groupBy(*keys).agg(F.max("valid_before").alias("all_"))
     small = runs.where((F.col("run_length") > 0) & (F.col("run_length") <= max_gap) & (F.col("valid_before") > 0)).join(total, keys).where("valid_before < all_")
     hour = F.unix_timestamp(time) / 3600.0

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from functools import reduce
+from itertools import count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -120,6 +123,44 @@ def _simplex_solve(gram: np.ndarray, xy: np.ndarray, steps: int = 3000) -> np.nd
     return w
 
 
+def gram(table: DataFrame, models: list[str], weight: Column) -> tuple[np.ndarray, np.ndarray]:
+    """Mean products of the models with each other and with y."""
+    n = len(models)
+    row = table.agg(*[F.sum(weight * c(models[i]) * c(models[j])).alias(f"g{i}_{j}") for i in range(n) for j in range(i + 1)], *[F.sum(weight * c(m) * F.col("y")).alias(f"x{i}") for i, m in enumerate(models)], F.sum(weight).alias("n")).first()
+    g = np.array([[row[f"g{max(i, j)}_{min(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
+    return g / (row["n"] or 1.0), np.array([row[f"x{i}"] or 0.0 for i in range(n)]) / (row["n"] or 1.0)
+
+
+def nonnegative_solve(g: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The w >= 0 with the least w'gw - 2w'x, by active sets: weights come in one at a time, and leave where a solution would turn negative."""
+    w, there = np.zeros(len(x)), np.zeros(len(x), bool)
+    limit = 1e-12 * max(1.0, np.abs(x).max(initial=0.0))
+    while True:
+        slope = np.where(there, -np.inf, x - g @ w)
+        if slope.max(initial=-np.inf) <= limit:
+            return w
+        there[np.argmax(slope)] = True
+        while True:
+            at = np.zeros(len(x))
+            at[there] = np.linalg.lstsq(g[np.ix_(there, there)], x[there], rcond=None)[0]
+            below = there & (at <= 0)
+            if not below.any():
+                break
+            step = (w[below] / np.maximum(w[below] - at[below], 1e-300)).min()
+            w = np.where(there, w + step * (at - w), 0.0)
+            there &= w > 1e-15
+            w[~there] = 0.0
+        if np.allclose(at, w, rtol=0, atol=1e-15):
+            return at
+        w = at
+
+
+def nonnegative_weights(table: DataFrame, models: list[str], alpha: float = 0.0) -> dict[str, float]:
+    """A meta-learner whose coefficients are not negative (least squares, or ridge with ``alpha`` per row); the table is seen through sums of products."""
+    g, x = gram(table, models, F.lit(1.0))
+    return dict(zip(models, map(float, nonnegative_solve(g + alpha * np.eye(len(models)), x))))
+
+
 def simplex_weights(table: DataFrame, models: list[str], loss: str = "rmse", rounds: int = 8) -> dict[str, float]:
     """Weights that are not negative and sum to 1 with the least RMSE or MAE.
 
@@ -127,12 +168,7 @@ def simplex_weights(table: DataFrame, models: list[str], loss: str = "rmse", rou
     these are weighted anew by the last round's errors.
     """
 
-    def moments(weight: Column) -> tuple[np.ndarray, np.ndarray]:
-        n = len(models)
-        row = table.agg(*[F.sum(weight * c(models[i]) * c(models[j])).alias(f"g{i}_{j}") for i in range(n) for j in range(i + 1)], *[F.sum(weight * c(m) * F.col("y")).alias(f"x{i}") for i, m in enumerate(models)], F.sum(weight).alias("n")).first()
-        g = np.array([[row[f"g{max(i, j)}_{min(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
-        return g / (row["n"] or 1.0), np.array([row[f"x{i}"] or 0.0 for i in range(n)]) / (row["n"] or 1.0)
-
+    moments = lambda weight: gram(table, models, weight)
     w = _simplex_solve(*moments(F.lit(1.0)))
     if loss == "mae":
         for _ in range(rounds):
@@ -163,7 +199,7 @@ def incremental_blends(preds: DataFrame, keys: list[str] = [], time: str = "ts")
     return blended.groupBy("n").agg(m["mae"].alias("mae"), m["rmse"].alias("rmse"))
 
 
-def hill_climb(table: DataFrame, models: list[str], start: list[str] | None = None, max_steps: int = 100) -> list[tuple[int, str, float]]:
+def hill_climb(table: DataFrame, models: list[str], start: list[str] | None = None) -> list[tuple[int, str, float]]:
     """(step, models, MAE) while adding or removing one model betters the plain mean; for any number of models.
 
     A step is one pass with an expression for each model that could come or go. It starts from the best single model.
@@ -176,7 +212,7 @@ def hill_climb(table: DataFrame, models: list[str], start: list[str] | None = No
 
     mae, now = best_of([start] if start else [[m] for m in models])
     path = [(0, "+".join(now), mae)]
-    for step in range(1, max_steps):
+    for step in count(1):  # each step betters the mean, so no set comes twice
         around = [sorted({*now} ^ {m}) for m in models if {*now} != {m}]
         better, other = best_of(around)
         if not better < mae:
@@ -186,6 +222,43 @@ def hill_climb(table: DataFrame, models: list[str], start: list[str] | None = No
     return path
 
 
+def annealing(table: DataFrame, models: list[str], chains: int = 64, rounds: int = 60, start: float = 0.02, cooling: float = 0.92, seed: int = 42) -> tuple[list[str], float]:
+    """(models, MAE) of the best plain mean that simulated annealing meets.
+
+    All chains go on at once: a round is one pass with an expression for each set
+    that a chain proposes and that has not been scored yet. A proposal is one
+    model more or fewer; it is taken if better, or with the chance that its loss
+    leaves at the round's temperature, a share of the mean MAE. Draws are hashes
+    of seed, chain and round, so reruns agree. Then single moves go on from the
+    best set until none betters it.
+    """
+    mae: dict[int, float] = {}
+
+    def score(masks: set[int]) -> None:
+        new = sorted(m for m in masks if m not in mae)
+        if new:
+            sets = [[x for i, x in enumerate(models) if m >> i & 1] for m in new]
+            row = table.agg(*[F.avg(F.abs(reduce(lambda a, b: a + b, map(c, s)) / len(s) - F.col("y"))).alias(f"s{i}") for i, s in enumerate(sets)]).first()
+            mae.update((m, float("inf") if row[i] is None else row[i]) for i, m in enumerate(new))
+
+    def draw(*what: int) -> float:
+        return int.from_bytes(hashlib.blake2b(repr((seed, *what)).encode(), digest_size=8).digest()) / 2**64
+
+    now = [1 << ch % len(models) for ch in range(chains)]
+    score(set(now))
+    scale = sum(mae[m] for m in now) / chains
+    for r in range(rounds):
+        asked = [m ^ 1 << int(draw(ch, r, 0) * len(models)) for ch, m in enumerate(now)]
+        asked = [a or m for a, m in zip(asked, now)]
+        score(set(asked))
+        heat = start * scale * cooling**r
+        now = [a if mae[a] <= mae[m] or draw(ch, r, 1) < math.exp(-(mae[a] - mae[m]) / max(heat, 1e-300)) else m for ch, (a, m) in enumerate(zip(asked, now))]
+    best = min(mae, key=lambda m: (mae[m], m))
+    chosen = [x for i, x in enumerate(models) if best >> i & 1]
+    _, found, value = hill_climb(table, models, chosen)[-1]
+    return found.split("+"), value
+
+
 def comparison(tables: dict[str, DataFrame], leaky: set[str] = frozenset()) -> DataFrame:
     """method, mae, rmse, uses_test_data: metric rows of several methods."""
     m = metric_columns()

@@ -90,9 +90,9 @@ def as_of_rows(features: DataFrame, dates: DataFrame, target: str, date: str = "
     Features only look back (that is checked), so they are computed once.
     """
     counts = features.groupBy(*keys, date).agg(F.count("*").alias("n_"))
-    asked = dates.select(F.col("as_of")).distinct()
-    before = counts.join(F.broadcast(asked), c(date) < F.col("as_of")).groupBy(*keys, "as_of").agg(F.sum("n_").alias("history_rows"))
-    ready = before.where(F.col("history_rows") >= least_rows)
+    earlier = Window.partitionBy(*keys).orderBy(date).rowsBetween(Window.unboundedPreceding, -1)  # a row per day
+    before = counts.select(*keys, c(date).alias("as_of"), F.coalesce(F.sum("n_").over(earlier), F.lit(0)).alias("history_rows"))
+    ready = before.join(dates.select("as_of").distinct(), "as_of").where(F.col("history_rows") >= least_rows)
     return features.join(ready, [*[features[k] == ready[k] for k in keys], features[date] == ready["as_of"]]).drop(*[ready[k] for k in keys]).withColumn(target, F.lit(None).cast("double"))
 
 

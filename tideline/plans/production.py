@@ -8,8 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.plans.blends import apply_weights
+from tideline.plans.blends import apply_weights, errors_by_model, inverse_mae_weights
 from tideline.plans.models import predict
+from tideline.session import pin
 from tideline.specs import c
 
 
@@ -46,6 +47,20 @@ class Production:
         """(keys, time, y, pred): the weighted mean where every model has a prediction."""
         return apply_weights(scored, self.config().select("model", "weight"), keys, [], time)
 
+    def refresh(self, holdout: DataFrame, keys: list[str] = [], time: str = "ts", label: str = "y") -> None:
+        """New MAEs and weights from the stored models' predictions of a hold-out; the models stay as they are."""
+        errors = errors_by_model(self.score(holdout, keys, time, label))
+        fresh = pin(self.config().drop("weight", "mae").join(inverse_mae_weights(errors).select("model", "weight", "mae"), "model"))
+        if fresh.count() != self.config().count() or not fresh.where("mae IS NULL").isEmpty():
+            raise ValueError("a model has no prediction in the hold-out")
+        fresh.select("model", "category", "features", "weight", "mae").write.mode("overwrite").json(f"{self.base}/config")
+
+    def forecast(self, df: DataFrame, keys: list[str] = [], time: str = "ts", label: str = "y", decimals: int = 2) -> DataFrame:
+        """(keys, time, model, pred): rounded predictions of every stored model and of their blend."""
+        scored = pin(self.score(df if label in df.columns else df.withColumn(label, F.lit(None).cast("double")), keys, time, label))
+        both = scored.select(*keys, time, "model", "pred").unionByName(self.blend(scored, keys, time).select(*keys, time, F.lit("blend").alias("model"), "pred"))
+        return both.withColumn("pred", F.round("pred", decimals))
+
     def summary(self) -> DataFrame:
         """model, category, n_features, weight, mae."""
         return self.config().select("model", "category", F.size("features").alias("n_features"), "weight", "mae")

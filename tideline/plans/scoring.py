@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tideline.session import ship
 from tideline.specs import c
 
 
@@ -125,6 +126,7 @@ def holt_winters_rolling(df: DataFrame, column: str, keys: list[str], time: str
     of sorted rows of which a task holds one season; series run in parallel. Missing
     values are absorbed as their own forecast; a series of one season gives no rows.
     """
+    ship(df.sparkSession)
     rows = df.select(*keys, c(time), c(column).cast("double").alias("y"), F.to_json(F.struct(*map(c, keys))).alias("key_") if keys else F.lit("").alias("key_"))
     ordered = rows.repartition(*map(c, keys or ["key_"])).sortWithinPartitions("key_", time, "y")
     schema = StructType([*[f for f in ordered.schema if f.name != "key_"], StructField("pred", DoubleType())])

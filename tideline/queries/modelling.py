@@ -388,6 +388,21 @@ def K10_hill_climb(spark, sf):
     return spark.createDataFrame(blends.hill_climb(_spread(spark, sf), list(LAGS)), "step int, models string, mae double")
 
 
+def _best_mean() -> str:
+    cells = []
+    names = list(LAGS)
+    for mask in range(1, 8):
+        ms = [m for i, m in enumerate(names) if mask >> i & 1]
+        cells.append(f"SELECT '{'+'.join(ms)}' AS models, avg(abs(({' + '.join(ms)}) / {len(ms)} - y)) AS mae FROM sp")
+    return f"WITH {SPREAD} SELECT * FROM ({' UNION ALL '.join(cells)}) ORDER BY mae LIMIT 1"
+
+
+@query("models:s, mae:d", _best_mean())
+def K10_annealing(spark, sf):
+    found, mae = blends.annealing(_spread(spark, sf), list(LAGS), chains=6, rounds=20)
+    return spark.createDataFrame([("+".join(found), mae)], "models string, mae double")
+
+
 @query("mask:i, n_models:i, mae:d, penalty:d, score:d", _subset(0.5))
 def K11_diversity(spark, sf):
     return blends.subset_scores(_spread(spark, sf), list(LAGS), alpha=0.5)
@@ -411,6 +426,33 @@ def K14_incremental(spark, sf):
     return blends.incremental_blends(preds(spark, sf), ["k"])
 
 
+def _nonnegative() -> str:
+    """Of the solutions on every support, by Cramer's rule, the best one without a negative weight."""
+    names = list(LAGS)
+    g = lambda i, j: f"avg({names[i]} * {names[j]})"
+    sums = ", ".join([f"{g(i, j)} AS g{i}{j}" for i in range(3) for j in range(3)] + [f"avg({m} * y) AS x{i}" for i, m in enumerate(names)])
+
+    def det(rows):
+        if len(rows) == 1:
+            return rows[0][0]
+        return "(" + " + ".join(f"{'' if j % 2 == 0 else '-1 * '}{rows[0][j]} * {det([r[:j] + r[j + 1 :] for r in rows[1:]])}" for j in range(len(rows))) + ")"
+
+    cells = []
+    for mask in range(1, 8):
+        at = [i for i in range(3) if mask >> i & 1]
+        base = [[f"g{i}{j}" for j in at] for i in at]
+        w = {i: f"{det([[f'x{r}' if col == k else base[n][col] for col in range(len(at))] for n, r in enumerate(at)])} / {det(base)}" for k, i in enumerate(at)}
+        cells.append("SELECT " + ", ".join(f"{w.get(i, '0.0')} AS w{i}" for i in range(3)) + ", * FROM g")
+    loss = " + ".join(f"w{i} * w{j} * g{i}{j}" for i in range(3) for j in range(3)) + "".join(f" - 2 * w{i} * x{i}" for i in range(3))
+    best = f"WITH {SPREAD}, g AS (SELECT {sums} FROM sp), s AS ({' UNION ALL '.join(cells)}), b AS (SELECT * FROM s WHERE least(w0, w1, w2) >= 0 ORDER BY {loss} LIMIT 1) "
+    return best + " UNION ALL ".join(f"SELECT '{m}' AS model, w{i} AS weight FROM b" for i, m in enumerate(names))
+
+
+@query("model:s, weight:d", _nonnegative())
+def K15_nonnegative(spark, sf):
+    return spark.createDataFrame(list(blends.nonnegative_weights(_spread(spark, sf), list(LAGS)).items()), "model string, weight double")
+
+
 @query("params:s, mae:d, rmse:d")
 def K15_stacking(spark, sf):
     t = _spread(spark, sf).withColumn("local_date", F.to_date("ts"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,24 @@ def session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str)
     return builder.getOrCreate()
 
 
+#: Applications whose workers have the package.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: Python workers import it wherever they run."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    out = Path(tempfile.mkdtemp(prefix="tideline-")) / "tideline_package.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for p in top.rglob("*.py"):
+            z.write(p, p.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(out))
+    _SHIPPED.add(app)
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder that driver and executors share: below ``spark.checkpoint.dir``, or a temporary one where that is unset in local mode."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
