@@ -26,11 +26,12 @@ an empty table gives an empty table; extra columns are ignored.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,22 +57,18 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def refined(spans: list[tuple[int, int]], sizes: list[int], byte_at: list[int] | None) -> list[int]:
-    """Byte ends of tokens, from the characters they span and the sizes of their decoded bytes.
+def refined(spans: np.ndarray, sizes: np.ndarray, byte_at: np.ndarray) -> np.ndarray:
+    """Byte ends of tokens, from the characters they span (start, end) and the sizes of their decoded bytes.
 
     Where the next token begins with a new character, the span's end is a cut.
     Tokens before it that share its character end by their bytes, counted from
     the cut before.
     """
-    out, at = [], 0
-    after = [start for start, _ in spans[1:]] + [spans[-1][1] if spans else 0]
-    for (start, end), size, later in zip(spans, sizes, after):
-        if start < end <= later:
-            at = byte_at[end] if byte_at else end
-        else:
-            at += size
-        out.append(at)
-    return out
+    start, end = spans[:, 0], spans[:, 1]
+    cut = (start < end) & (end <= np.append(start[1:], len(byte_at) - 1))
+    by_bytes = np.cumsum(sizes)
+    last = np.maximum.accumulate(np.where(cut, np.arange(len(sizes)), -1))
+    return by_bytes + np.where(last >= 0, (byte_at[end] - by_bytes)[last], 0)
 
 
 class Aligner:
@@ -97,44 +94,74 @@ class Aligner:
         self.a_bytes = [bytes(map(byte.get, e)) if all(c in byte for c in e) else e.encode() for e in entry]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
+        self.a_bytes, self.b_bytes = (np.array([*x, None], object)[:-1] for x in (self.a_bytes, self.b_bytes))
         # may b join a character to what stands after it? (control pieces never come of text)
         joined = {p[k : k + 2] for i, p in enumerate(pieces) if not self.b.is_byte(i) and not self.b.is_control(i) and not self.b.is_unknown(i) for k in range(len(p) - 1)}
         spaced = any(x not in "▁" and not x.isspace() and y in "▁\t\n" for x, y in joined)
         byte_level = [x.get("use_regex", True) and not x.get("add_prefix_space") for x in [json.loads(a_json).get("pre_tokenizer") or {}] if x.get("type") == "ByteLevel"]
         self.cuts = bool(byte_level and byte_level[0] and plain and not spaced and self.a.normalizer is None)
         self.find = regex.compile(_CHUNK if any(x.isalnum() and y in TAIL for x, y in joined) else _TAILS + _CHUNK).findall
+        most = max(n, len(pieces))
+        self.before_comma, self.before_bar, self.before_end = (np.array([f"{i}{c}" for i in range(most)], object) for c in ",|;")
         self.memo_size, self._held = memo, 0
+        #: Hashes of segments met once; what comes again is remembered.
+        self._once: set[int] = set()
         self._young: dict[str, tuple | None] = {}
         self._old: dict[str, tuple | None] = {}
 
-    def _one(self, text: str, a, b) -> tuple | None:
-        """Sizes, groups and links of one segment; None where bytes differ."""
-        data, byte_at = text.encode(), None
-        if len(data) != len(text):
-            byte_at = [0, *accumulate(len(c.encode()) for c in text)]
-        a_ids, b_ids = a.ids, b["ids"]
-        a_raw, b_raw = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-        if b"".join(a_raw) != data or b"".join(b_raw) != data:
-            return None
-        a_ends, b_ends = refined(a.offsets, list(map(len, a_raw)), byte_at), refined(b["offsets"], list(map(len, b_raw)), byte_at)
-        both, groups, links, i, j = set(a_ends).intersection(b_ends), [], [], 0, 0
-        for end in sorted(both):
-            p, q = i, j
-            while a_ends[i] != end:
-                i += 1
-            while b_ends[j] != end:
-                j += 1
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a_ids[p:i])) + "|" + ",".join(map(str, b_ids[q:j])))
-            links.append(a_ids[i - 1] << 32 | b_ids[j - 1])
-        return len(a_ids), len(b_ids), len(groups), ";".join(groups), links
-
     def _encode(self, segments: list[str]) -> dict[str, tuple | None]:
+        """(tokens of a, of b, groups, groups as text, links) of each segment; None where bytes differ."""
+        plain, other = [], []
+        for s in segments:
+            (plain if s.isascii() else other).append(s)
+        return self._cut(plain, True) | self._cut(other, False)
+
+    def _cut(self, segments: list[str], plain: bool) -> dict[str, tuple | None]:
+        """Where all characters are ``plain`` bytes, decoded bytes are the spans, which are not asked for."""
         if not segments:
             return {}
-        a = self.a.encode_batch(segments, add_special_tokens=False)
-        b = self.b.encode(segments, return_type="offset_mapping", num_threads=1)
-        return {s: self._one(s, x, y) for s, x, y in zip(segments, a, b)}
+        if plain:
+            found = [([x.ids for x in self.a.encode_batch_fast(segments, add_special_tokens=False)], None), (self.b.encode(segments, num_threads=1), None)]
+        else:
+            a = self.a.encode_batch(segments, add_special_tokens=False)
+            b = self.b.encode(segments, return_type="offset_mapping", num_threads=1)
+            found = [([x.ids for x in a], [x.offsets for x in a]), ([y["ids"] for y in b], [y["offsets"] for y in b])]
+        points = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        byte_at = np.append(0, np.cumsum(1 + (points >= 1 << 7) + (points >= 1 << 11) + (points >= 1 << 16)))
+        begin = np.cumsum([0, *map(len, segments)])
+        data, ids, ends, counts = "".join(segments).encode(), [], [], []
+        for (of, spans), raw, size in zip(found, (self.a_bytes, self.b_bytes), (self.a_size, self.b_size)):
+            counts.append(np.fromiter(map(len, of), np.int64, len(of)))
+            ids.append(np.fromiter(chain.from_iterable(of), np.int64))
+            by_bytes = np.append(0, np.cumsum(size[ids[-1]]))
+            if (by_bytes[np.cumsum(counts[-1])] != byte_at[begin[1:]]).any() or b"".join(raw[ids[-1]].tolist()) != data:
+                # some segment is not what its tokens decode to: each for itself
+                if len(segments) == 1:
+                    return {segments[0]: None}
+                half = len(segments) // 2
+                return self._cut(segments[:half], plain) | self._cut(segments[half:], plain)
+            if plain:
+                ends.append(by_bytes[1:])
+            else:
+                local = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64).reshape(-1, 2)
+                ends.append(refined(local + np.repeat(begin[:-1], counts[-1])[:, None], size[ids[-1]], byte_at))
+        both = np.intersect1d(*ends, assume_unique=True)
+        group = [np.searchsorted(both, e) for e in ends]
+        last = [both[g] == e for g, e in zip(group, ends)]
+        links = (ids[0][last[0]] << 32 | ids[1][last[1]]).tolist()
+        words = np.empty(len(ids[0]) + len(ids[1]), object)
+        words[np.arange(len(ids[0])) + np.searchsorted(group[1], group[0])] = np.where(last[0], self.before_bar[ids[0]], self.before_comma[ids[0]])
+        words[np.arange(len(ids[1])) + np.searchsorted(group[0], group[1], "right")] = np.where(last[1], self.before_end[ids[1]], self.before_comma[ids[1]])
+        words = words.tolist()
+        to_word = np.cumsum(counts[0] + counts[1]).tolist()
+        to_group = (group[0][np.cumsum(counts[0]) - 1] + 1).tolist()
+        out: dict[str, tuple | None] = {}
+        at = g = 0
+        for s, x, y, to, h in zip(segments, counts[0].tolist(), counts[1].tolist(), to_word, to_group):
+            out[s] = (x, y, h - g, "".join(words[at:to])[:-1], links[g:h])
+            at, g = to, h
+        return out
 
     def align(self, texts: list[str | None]) -> list[tuple[int, int, int, str, dict[int, int]]]:
         """(tokens of a, tokens of b, groups, groups as text, times of each link) of each text."""
@@ -151,10 +178,15 @@ class Aligner:
         known |= self._encode(new)
         for s, found in known.items():
             if len(s) <= 64 and s not in self._young:
+                if (h := hash(s)) not in self._once and s not in self._old:
+                    self._once.add(h)
+                    continue
                 self._young[s] = found
                 self._held += 500 + len(s) + (len(found[3]) + 40 * found[2] if found else 0)
                 if self._held > self.memo_size:
                     self._old, self._young, self._held = self._young, {}, 0
+        if len(self._once) > 500_000:
+            self._once.clear()
         out = []
         for text, segments in zip(whole, split):
             parts = [known[s] for s in segments]
@@ -168,6 +200,8 @@ class Aligner:
 
 @functools.lru_cache(maxsize=2)
 def load(a_json: bytes, b_model: bytes) -> Aligner:
+    # the memo's many small objects make no cycles, and collections over them take a tenth of the time
+    gc.set_threshold(500_000, 50, 50)
     return Aligner(a_json, b_model)
 
 
