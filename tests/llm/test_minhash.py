@@ -101,3 +101,13 @@ def test_shingles_are_those_of_the_words():
     for text in ["a", "a b", "A  b\nc", "a b c d e", "a b c d e a b c d e f", "é É x\x0by \xa0"]:
         assert len(minhash.shingles(text)) == len(brute_set(text))
     assert minhash.shingles("A b c").tolist() == minhash.shingles(" a\tb  C").tolist() != minhash.shingles("a b").tolist()
+
+
+def test_least_hashes_rule_out_only_unlike_sets():
+    rng = np.random.default_rng(2)
+    for same, want in ((0.7, False), (0.9, True)):
+        pool = rng.integers(0, 1 << 64, 20_000, np.uint64)
+        n = int(10_000 * 2 * same / (1 + same))
+        sets = [np.unique(x).view(np.int64)[: minhash.SKETCH].tolist() for x in (pool[:10_000], pool[10_000 - n : 20_000 - n])]
+        assert minhash._as_similar(set(sets[0]), set(sets[1]), 0.85, False) == want
+    assert minhash._as_similar(set(range(100)), set(range(85)), 0.85, True) and not minhash._as_similar(set(range(100)), set(range(84)), 0.85, True)

@@ -17,7 +17,8 @@ often enough are proposed as a spanning forest. What is proposed is confirmed on
 the full sets, in three steps that each leave less to do: the first two trees'
 likeliest pairs; then those of all trees that join what is not yet joined; then
 every pair of a region that is still apart, as a pair that failed may have hidden
-another. No pair is dropped for number. A pair of similarity 0.85 shares a region
+another. These are compared in the region by their sets' ``SKETCH`` least hashes
+(all of them, for most texts) before full sets are moved. No pair is dropped for number. A pair of similarity 0.85 shares a region
 of three places in some tree but for 2 in 10 million; in a region that had to go
 deeper it is found less often (0.85 to the power of the depth, in each of 16 trees),
 but there is joined by more ways. README has figures.
@@ -51,6 +52,8 @@ SEED, SHINGLE, PERCENT = 42, 5, 85
 FUNCTIONS, TREES = 128, 16
 DEPTHS = (3, 4, 6, 8, 11, 15, 20, 27, 36, 50, 70, 98, FUNCTIONS)
 LEAF = 1000
+#: Least hashes of a set that a region's pairs are compared by before full sets are.
+SKETCH = 1024
 _RANDOM = np.random.default_rng(7).integers(0, 1 << 64, (2, FUNCTIONS), np.uint64)
 XOR, ODD = _RANDOM[0], _RANDOM[1] | np.uint64(1)
 _FOLD, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -191,48 +194,93 @@ def _agree(sig: np.ndarray, i: np.ndarray, step: int) -> np.ndarray:
     return out
 
 
-def _propose(likely: float, least: float, apart: bool):
-    """Pairs of each region with signatures that agree in ``least`` places.
+class _Regions:
+    """Whole regions out of batches of rows sorted by key and, in it, by their tree's order."""
 
-    A spanning forest, likely ones first; with ``apart``, all pairs with different
-    roots. Regions come whole, sorted by their tree's order.
-    """
-
-    def pairs(key: np.ndarray, tree: np.ndarray, no: np.ndarray, root: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
-        label, kept = np.arange(len(no)), []
-        for floor in [least] if apart else [likely, least]:
-            step = 1
-            while step < len(no) and len(i := np.flatnonzero(key[step:] == key[:-step])):
-                i = i[root[i] != root[i + step]] if apart else i[label[i] != label[i + step]]
-                i = i[_agree(sig, i, step) >= floor]
-                kept.append((i, i + step) if apart else _join(label, i, i + step))
-                step += 1
-        i, j = (np.concatenate([k[side] for k in kept]) if kept else np.zeros(0, np.int64) for side in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(tree[i]), pa.array(np.minimum(no[i], no[j])), pa.array(np.maximum(no[i], no[j])), pa.array((sig[i] == sig[j]).sum(1) >= likely)], ["tree", "a", "b", "likely"])
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        self.batches = batches
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, FUNCTIONS), np.uint16)]
-        for batch in batches:
+    def __iter__(self) -> Iterator[list]:
+        held = None
+        for batch in self.batches:
             new = [c.to_numpy() for c in batch.columns[:4]] + [np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(-1, FUNCTIONS)]
-            held = [np.concatenate(x) for x in zip(held, new)]
+            new += [np.array([*batch.column(5).to_pylist(), None], object)[:-1]] if batch.num_columns > 5 else []
+            held = [np.concatenate(x) for x in zip(held, new)] if held else new
             n = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last region may go on
             if n:
-                yield pairs(*(h[:n] for h in held))
+                yield [h[:n] for h in held]
                 held = [h[n:] for h in held]
-        yield pairs(*held)
+        if held:
+            yield held
+
+
+def _pairs_of(tree: np.ndarray, no: np.ndarray, i: np.ndarray, j: np.ndarray, likely: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(tree[i]), pa.array(np.minimum(no[i], no[j])), pa.array(np.maximum(no[i], no[j])), pa.array(likely)], ["tree", "a", "b", "likely"])
+
+
+def _propose(likely: float, least: float):
+    """A spanning forest of each region's pairs with signatures that agree in ``least`` places, likely ones first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, tree, no, _, sig in _Regions(batches):
+            label, kept = np.arange(len(no)), [(np.zeros(0, np.int64),) * 2]
+            for floor in (likely, least):
+                step = 1
+                while step < len(no) and len(i := np.flatnonzero(key[step:] == key[:-step])):
+                    i = i[label[i] != label[i + step]]
+                    i = i[_agree(sig, i, step) >= floor]
+                    kept.append(_join(label, i, i + step))
+                    step += 1
+            i, j = (np.concatenate([k[side] for k in kept]) for side in (0, 1))
+            yield _pairs_of(tree, no, i, j, (sig[i] == sig[j]).sum(1) >= likely)
 
     return run
 
 
-def _pairs(found: DataFrame, nodes: DataFrame, roots: DataFrame | None, likely: float, least: float) -> DataFrame:
+def _as_similar(a: set, b: set, share: float, whole: bool) -> bool:
+    """Of whole sets, whether their similarity is ``share``; of their least hashes, whether that is not ruled out."""
+    if whole:
+        both = len(a & b)
+        return both >= share * (len(a) + len(b) - both) - 1e-9
+    k = min(len(a), len(b))
+    union = sorted(a | b, key=lambda x: x % 2**64)[:k]  # hashes are unsigned
+    return len(a.intersection(union) & b) >= k * share - 4.5 * sqrt(k * share * (1 - share))
+
+
+def _complete(least: float, share: float):
+    """All of a region's pairs with different roots that may be similar, by their least hashes; one that surely is joins its roots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, tree, no, root, sig, least_hashes in _Regions(batches):
+            _, first, label = np.unique(np.stack([key, root]), axis=1, return_index=True, return_inverse=True)
+            label, sets, kept, step = first[label.ravel()], {}, [], 1
+            while step < len(no) and len(i := np.flatnonzero(key[step:] == key[:-step])):
+                i = i[label[i] != label[i + step]]
+                for x in i[_agree(sig, i, step) >= least].tolist():
+                    y = x + step
+                    if label[x] != label[y]:
+                        a, b = (sets.get(z) or sets.setdefault(z, set(least_hashes[z])) for z in (x, y))
+                        whole = max(len(a), len(b)) < SKETCH
+                        if _as_similar(a, b, share, whole):
+                            kept.append((x, y))
+                            if whole:
+                                label[label == max(label[x], label[y])] = min(label[x], label[y])
+                step += 1
+            i, j = np.array(kept, np.int64).reshape(-1, 2).T
+            yield _pairs_of(tree, no, i, j, np.ones(len(i), bool))
+
+    return run
+
+
+PAIRS = "tree int, a long, b long, likely boolean"
+
+
+def _regions_with(found: DataFrame, known: DataFrame, *more: str) -> DataFrame:
+    """The rows of regions, with what is known of their nodes (no, root, sig), dealt by region and in its tree's order."""
     n_parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if roots is None:
-        known = nodes.select("no", F.col("no").alias("root"), "sig")
-    else:
-        known = nodes.join(roots.withColumnRenamed("id", "no"), "no", "left").select("no", F.coalesce("root", "no").alias("root"), "sig")
     order = F.concat("sig", "sig").substr(F.col("tree") * (2 * FUNCTIONS // TREES) + 1, F.lit(2 * FUNCTIONS))
-    rows = found.join(known, "no").select("key", "tree", "no", "root", order.alias("sig"))
-    return rows.repartition(n_parts, "key").sortWithinPartitions("key", "sig").mapInArrow(_propose(likely, least, roots is not None), "tree int, a long, b long, likely boolean")
+    rows = found.join(known, "no").select("key", "tree", "no", "root", order.alias("sig"), *more)
+    return rows.repartition(n_parts, "key").sortWithinPartitions("key", "sig")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -266,7 +314,7 @@ def links(nodes: DataFrame, docs: DataFrame, scopes: DataFrame | None = None, pe
     likely, least = s * FUNCTIONS, s * FUNCTIONS - 4.5 * sqrt(s * (1 - s) * FUNCTIONS)
     scopes = nodes.select("no", F.lit(0).cast("long").alias("scope")) if scopes is None else scopes
     found = regions(nodes, scopes, leaf)
-    proposed = save(_pairs(found, nodes, None, likely, least), "proposed")
+    proposed = save(_regions_with(found, nodes.select("no", F.col("no").alias("root"), "sig")).mapInArrow(_propose(likely, least), PAIRS), "proposed")
     ends = save(proposed.select(F.explode(F.array("a", "b")).alias("no")).distinct(), "ends")
     sets = sets_of(docs, nodes.join(ends, "no"), words)
     first = save(proposed.where("tree < 2 AND likely").select("a", "b").distinct(), "first")
@@ -282,7 +330,8 @@ def links(nodes: DataFrame, docs: DataFrame, scopes: DataFrame | None = None, pe
     linked, tried = linked.unionByName(_confirm(second, sets, percent)), tried.unionByName(second)
     roots = components(linked)
     # nodes that were never proposed have no pair at all
-    rest = _pairs(found.join(ends, "no", "left_semi"), nodes.join(ends, "no", "left_semi"), roots, likely, least).select("a", "b").distinct()
+    known = nodes.join(sets.select("no", F.slice("set", 1, SKETCH).alias("least")), "no").join(roots.withColumnRenamed("id", "no"), "no", "left").select("no", F.coalesce("root", "no").alias("root"), "sig", "least")
+    rest = _regions_with(found, known, "least").mapInArrow(_complete(least, s), PAIRS).select("a", "b").distinct()
     third = save(rest.join(tried, ["a", "b"], "left_anti"), "third")
     linked = save(linked.unionByName(_confirm(third, sets, percent)), "linked")
     discard(sets, proposed, ends, first, second, third)
