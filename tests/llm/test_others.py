@@ -175,3 +175,20 @@ def test_long_and_awkward_conversations(spark):
         assert chat.read_turns(w.formatted) == turns and len(w.formatted) == g.formatted_chars
         assert "".join(chat.unescape(w.formatted[a:b]) for a, b in w.loss) == loss
     assert chat.read_back(chat.format_trees(chat.linear_tree(df.limit(0)))).count() == 0
+
+
+def test_one_id_for_all_rows_is_one_rated_row(spark):
+    """However many texts share an id, the training task gets one of them."""
+    rows = [(7, f"text {i} of the same id") for i in range(400)] + [(1, "a good text"), (2, "a bad text")]
+    ratings = spark.createDataFrame([(7, 1), (7, 2), (1, 2), (2, 0)], "doc_id long, grade int")
+    many, few = (quality.fit(docs(spark, r), ratings, 3) for r in (rows, rows[:1] + rows[-2:]))
+    assert many.thresholds.shape == few.thresholds.shape == (2,) and np.isfinite(many.weights).all()
+    assert np.count_nonzero(many.weights) < 60
+
+
+def test_too_many_languages_are_refused(spark):
+    from tideline.llm import langid
+
+    rows = [(i, f"some text of language {i}", f"l{i}", "s") for i in range(40)]
+    with pytest.raises(ValueError, match="most_languages"):
+        langid.fit(docs(spark, rows), most_languages=5)

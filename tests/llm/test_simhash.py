@@ -229,7 +229,7 @@ def test_short_texts(spark):
     for length in (12, 20, 30, 50, 90, 130, 400):
         for _ in range(60):
             w = [f"w{rnd.randrange(9999)}" for _ in range(length)]
-            p = rnd.choice([0, length, rnd.randrange(length)] if length > 24 else [0, length])
+            p = rnd.choice([0, length, rnd.randrange(length)] if length > 48 else [0, length])
             at.setdefault(length, []).append(len(texts) + 2)
             texts += [w, [*w[:p], "more", *w[p:]]]
     kept = set(kept_ids(spark, texts))

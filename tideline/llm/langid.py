@@ -187,14 +187,16 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     return out, n
 
 
-def fit(docs: DataFrame, per_language: int = 500, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01) -> Model:
+def fit(docs: DataFrame, per_language: int = 500, most_languages: int = 300, epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01) -> Model:
     """Learn from what is not held out. ``per_language`` bounds the sample: about so many distinct texts of a language."""
     spark = docs.sparkSession
     ship(spark)
     learnable = docs.where(~held_out(F.col("doc_id"))).select("text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     hashed = learnable.withColumn("h", F.xxhash64("lang", "text"))
     # distinct texts, as all copies of one are drawn or left together; a row per language
-    sizes = {r["lang"]: r["n"] for r in hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()}
+    if len(sizes) > most_languages:  # a model holds languages x 2 ** DIM_BITS numbers, and is broadcast
+        raise ValueError(f"more than {most_languages} values of lang: clean the column, or raise most_languages")
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(1 << DIM_BITS), np.zeros((0, 1 << DIM_BITS)), np.zeros(0))

@@ -12,7 +12,8 @@ hash: ``max_rows`` of them or so, the same whatever the corpus. A fifth of the
 documents, by the CRC of their id, is held out of it to judge the fit by. Scoring
 reads every whole text.
 
-Defined results: ratings of one document that differ count as the lowest; null
+Defined results: ratings of one document that differ count as the lowest; of
+several texts with one doc_id that with the least hash is learned from; null
 and empty texts have only the bias; with no rated rows all grades are equally
 likely; repeated rows give repeated results; an empty table gives an empty
 table; extra columns are ignored.
@@ -135,7 +136,7 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, max_rows: int = 6000
     ship(spark)
     graded = ratings.where("grade IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
     n = graded.count()
-    chosen = graded.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 1_000_003 * min(1.0, max_rows / max(1, n)))
+    chosen = graded.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 11) < int(2**53 * min(1.0, max_rows / max(1, n))))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Features()
@@ -147,9 +148,10 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, max_rows: int = 6000
         m = fit_rows([(y, np.frombuffer(a, np.int32)) for _, y, a in rows], n_grades)
         yield pa.RecordBatch.from_arrays([pa.array([m.weights.astype("<f4").tobytes()], pa.binary()), pa.array([m.thresholds.tolist()], pa.list_(pa.float64()))], ["w", "cut"])
 
-    # chosen is bounded by max_rows; rows that repeat an id and text are one before they meet in the training task
+    # chosen is bounded by max_rows, and of the texts of an id that with the least hash is learned from
     rated = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").withColumn("h", F.xxhash64("doc_id", "text"))
-    sample = rated.groupBy("h").agg(F.first("grade").alias("grade"), F.first("text").alias("text"))
+    least = rated.groupBy("doc_id").agg(F.min(F.struct("h", "grade", "text")).alias("x"))
+    sample = least.select("x.h", "x.grade", "x.text")
     row = sample.mapInArrow(vectors, "h long, grade int, at binary").repartition(1).mapInArrow(train, "w binary, cut array<double>").first()
     return Ordinal(np.frombuffer(row["w"], "<f4").astype(float), np.array(row["cut"]))
 
