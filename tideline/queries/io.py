@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tideline.operators import merge, reshape
 from tideline.plans import jobs  # noqa: F401
-from tideline.registry import DAILY, HOURLY, TYPES, WIDE, daily, hourly, query, scratch, table, wide
+from tideline.registry import DAILY, HOURLY, THIN, TYPES, WIDE, daily, hourly, query, scratch, table, wide
+from tideline.session import pin
 from tideline.sources import datasets as ds
 from tideline.sources import readers as rd
 from tideline.streaming import jobs as st
+from tideline.streaming import stateful
 
 
 @query("region:s, ts:t, value:d, measure:i", f"WITH {HOURLY} SELECT event_type AS region, ts, value, date_part('hour', ts) AS measure FROM hourly")
@@ -226,6 +228,29 @@ def S01_sessions(spark, sf):
     return spark.read.schema("user_id LONG, ts TIMESTAMP, last TIMESTAMP, n LONG").parquet(f"{base}/out")
 
 
+@query("k:s, kind:s, ts:t, until:t, value:d, n:i", f"""WITH RECURSIVE {THIN}, l AS ({' UNION ALL '.join(f"SELECT '{t}' AS k, ts, {t} AS value FROM thin" for t in TYPES)}),
+ v AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts) AS r, count(value) OVER (PARTITION BY k ORDER BY ts) AS g FROM l),
+ x AS (SELECT k, value, r, row_number() OVER (PARTITION BY k ORDER BY r) AS i, r - lag(r) OVER (PARTITION BY k ORDER BY r) AS step FROM v WHERE value IS NOT NULL),
+ e AS (SELECT k, i, r, value AS w FROM x WHERE i = 1 UNION ALL SELECT x.k, x.i, x.r, (pow(5 / 7, x.step) * e.w + 2 / 7 * x.value) / (pow(5 / 7, x.step) + 2 / 7) FROM e JOIN x ON x.k = e.k AND x.i = e.i + 1)
+ SELECT v.k, 'row' AS kind, v.ts, CAST(NULL AS TIMESTAMP) AS until, e.w AS value, 1 AS n FROM v ASOF LEFT JOIN e ON v.k = e.k AND v.r >= e.r
+ UNION ALL SELECT k, 'gap', min(ts) FILTER (value IS NULL), (SELECT min(n.ts) FROM v n WHERE n.k = v.k AND n.g = v.g + 1), NULL, count(*) FILTER (value IS NULL) FROM v GROUP BY k, g HAVING count(*) FILTER (value IS NULL) > 0 AND (SELECT count(*) FROM v n WHERE n.k = v.k AND n.g = v.g + 1) > 0
+ UNION ALL SELECT k, 'late', ts, NULL, value, 1 FROM l WHERE value IS NOT NULL AND ts < TIMESTAMP '2024-01-04'""")
+def S01_stateful(spark, sf):
+    """A running EWMA and the gaps of each series, stopped in mid-stream and started again; what comes late is told apart."""
+    base, schema = scratch(spark), "k string, ts timestamp, value double"
+    long = pin(reshape.to_long(wide(spark, sf, thin=True), ["ts"], list(TYPES)).select(F.col("column_name").alias("k"), "ts", "value"))
+
+    def run():
+        st.append_stream(stateful.ewma_and_gaps(spark.readStream.schema(schema).parquet(f"{base}/in"), 6), f"{base}/out", f"{base}/ck").awaitTermination()
+
+    long.where("ts < TIMESTAMP '2024-01-16'").write.parquet(f"{base}/in")
+    run()
+    again = long.where("value IS NOT NULL AND ts < TIMESTAMP '2024-01-04'")
+    long.where("ts >= TIMESTAMP '2024-01-16'").unionByName(again).write.mode("append").parquet(f"{base}/in")
+    run()
+    return spark.read.schema(stateful.OUT).parquet(f"{base}/out")
+
+
 @query("event_type:s, ts:t, value:d", f"WITH {HOURLY} SELECT event_type, ts, value * 2 AS value FROM hourly WHERE ts >= (SELECT max(ts) FROM hourly) - INTERVAL 14 DAY UNION ALL SELECT event_type, ts, value FROM hourly WHERE ts < (SELECT max(ts) FROM hourly) - INTERVAL 14 DAY")
 def S02_stream_upsert(spark, sf):
     base = scratch(spark)
