@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.features import regime_flags
@@ -104,6 +104,29 @@ def freshness(df: DataFrame, columns: list[str], as_of: str, ok_hours: float = 4
     return found.select("name", F.col("last").alias("last_valid"), hours.alias("hours_old"), status.alias("status"), F.when(F.col("last").isNull(), 2).when(hours > ok_hours, 1).otherwise(0).alias("level"))
 
 
+def freshness_report(spark: SparkSession, sources: dict[str, tuple[str, float]], as_of: str, time: str = "ts") -> DataFrame:
+    """name, status, hours_old, last_valid, level, message of stored tables (name -> path and hours), and a row ``overall`` with the worst level.
+
+    OK is level 0, STALE 1; MISSING (no table) and ERROR (no valid value, or a table that cannot be read) are 2.
+    """
+    rows = []
+    for name, (path, most) in sources.items():
+        try:
+            df = spark.read.parquet(path)
+            values = [x for x in df.columns if x != time]
+            last = F.max(F.when(F.coalesce(*[c(x).cast("string") for x in values]).isNotNull(), c(time)))
+            hours, at = df.agg(((F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp(last)) / 3600.0).alias("hours"), last.cast("string").alias("last")).first()
+        except Exception as e:  # a check reports what is wrong with a source and goes on to the next
+            gone = "PATH_NOT_FOUND" in str(e)
+            rows.append((name, "MISSING" if gone else "ERROR", None, None, 2, f"no table at {path}" if gone else f"cannot be read: {str(e)[:200]}"))
+            continue
+        status, level = ("ERROR", 2) if hours is None else ("STALE", 1) if hours > most else ("OK", 0)
+        rows.append((name, status, hours, at, level, "no valid value" if hours is None else f"{hours:.1f} hours old, {most:g} allowed"))
+    worst = max((r[4] for r in rows), default=0)
+    rows.append(("overall", ("OK", "WARNING", "CRITICAL")[worst], None, None, worst, f"{sum(r[4] > 0 for r in rows)} of {len(rows)} not as they should be"))
+    return spark.createDataFrame(rows, "name string, status string, hours_old double, last_valid string, level int, message string")
+
+
 def retrain_history(history: DataFrame, new: DataFrame, keep: int = 52, keys: list[str] = []) -> DataFrame:
     """Appends retrains; the newest ``keep`` of each key stay, with their relative change and the reselection flag."""
     both = history.unionByName(new)

@@ -172,12 +172,36 @@ def top_n_sweep(df: DataFrame, ranked: list[str], estimator, sizes: list[int]) -
     return df.sparkSession.createDataFrame(rows, "n int, mae double, rmse double")
 
 
-def eliminate(df: DataFrame, features: list[str], estimator: GBTRegressor, step: int = 3, least: int = 10, n_splits: int = 3) -> list[tuple[int, float]]:
-    """(number of features, mean CV RMSE) while the least important ones go, ``step`` at a time."""
-    left, path = list(features), []
-    while True:
-        rmse = cv_score(df, left, estimator, n_splits).agg(F.avg("rmse")).first()[0]
-        path.append((len(left), rmse))
-        if len(left) - step < least:
-            return path
-        left = [f for f, _ in importances(df, left, estimator)[: len(left) - step]]
+def eliminate(df: DataFrame, features: list[str], estimator: GBTRegressor, step: int = 3, least: int = 10, n_splits: int = 3, test: int | float = 0.1, keys: list[str] = [], threads: int = 3) -> tuple[list[tuple[int, float]], list[str]]:
+    """The path (number of features, mean test RMSE of the folds), and the features of its best number.
+
+    Each fold goes its own way: the model fitted on its training part ranks the
+    features, the least important go, ``step`` at a time; its test part only
+    scores. The features of the best number are those that most folds have kept
+    there, then those of the largest mean importance: no test row has a say.
+    """
+    n = df.select("local_date").distinct().count()
+    tagged = pin(with_folds(df, folds(n, n_splits, test), keys))
+    m = metric_columns()
+
+    def one(k: int) -> list[tuple[list[tuple[str, float]], float]]:
+        part, left, path = tagged.where(F.col("fold") == k), list(features), []
+        while True:
+            model = train(part.where("part = 'train'"), left, estimator)
+            ranked = sorted(zip(left, model.stages[-1].featureImportances.toArray().tolist()), key=lambda x: (-x[1], x[0]))
+            path.append((ranked, predict(model, part.where("part = 'test'")).agg(m["rmse"].alias("rmse")).first()["rmse"]))
+            if len(left) - step < least:
+                return path
+            left = [f for f, _ in ranked[: len(left) - step]]
+
+    with ThreadPoolExecutor(threads) as pool:
+        ways = list(pool.map(one, range(n_splits)))
+    path = [(len(at[0][0]), sum(r for _, r in at) / n_splits) for at in zip(*ways)]
+    best = min(range(len(path)), key=lambda i: (path[i][1], path[i][0]))
+    votes = {f: [0, 0.0] for f in features}
+    for way in ways:
+        for f, x in way[best][0]:
+            votes[f][0] += 1
+            votes[f][1] += x
+    chosen = sorted(features, key=lambda f: (-votes[f][0], -votes[f][1], f))[: path[best][0]]
+    return path, sorted(chosen)

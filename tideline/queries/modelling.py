@@ -249,7 +249,7 @@ def J10_importance_sweep(spark, sf):
 @query("n_features:i, rmse:d")
 def J11_elimination(spark, sf):
     df, xs = matrix(spark, sf)
-    path = models.eliminate(df, xs, models.boosted(iterations=2), step=2, least=3, n_splits=2)
+    path, _ = models.eliminate(df, xs, models.boosted(iterations=2), step=2, least=3, n_splits=2)
     return spark.createDataFrame(path, "n_features int, rmse double")
 
 
@@ -543,6 +543,18 @@ def L07_freshness(spark, sf):
     return jobs.freshness(wide(spark, sf), list(TYPES), "2024-01-31", 1.5)
 
 
+@query("name:s, status:s, hours_old:d, level:i", f"""WITH {WIDE}, a AS (SELECT 'fresh' AS name, max(ts) AS last, 24 AS most FROM wide UNION ALL SELECT 'old', max(ts) FILTER (ts < TIMESTAMP '2024-01-20'), 24 FROM wide WHERE click IS NOT NULL UNION ALL SELECT 'silent', NULL, 24 UNION ALL SELECT 'damaged', NULL, 24),
+ r AS (SELECT name, epoch(TIMESTAMP '2024-01-31' - last) / 3600.0 AS hours_old, CASE WHEN last IS NULL THEN 'ERROR' WHEN epoch(TIMESTAMP '2024-01-31' - last) / 3600.0 > most THEN 'STALE' ELSE 'OK' END AS status FROM a UNION ALL SELECT 'absent', NULL, 'MISSING')
+ SELECT name, status, hours_old, CASE status WHEN 'OK' THEN 0 WHEN 'STALE' THEN 1 ELSE 2 END AS level FROM r UNION ALL SELECT 'overall', 'CRITICAL', NULL, 2""")
+def L07_freshness_report(spark, sf):
+    base, w = scratch(spark), wide(spark, sf)
+    w.write.parquet(f"{base}/fresh")
+    w.where("ts < TIMESTAMP '2024-01-20' AND click IS NOT NULL").select("ts", "click").write.parquet(f"{base}/old")
+    w.select("ts", F.lit(None).cast("double").alias("view")).write.parquet(f"{base}/silent")
+    w.select(F.col("ts").cast("string").alias("value")).write.text(f"{base}/damaged")
+    return jobs.freshness_report(spark, {n: (f"{base}/{n}", 24) for n in ("fresh", "old", "silent", "damaged", "absent")}, "2024-01-31")
+
+
 ROLES = pipelines.Roles(target="view", neighbours=("click",), actuals=("purchase",), morning=("purchase",), generation=("purchase", "signup"), renewable=("signup",), load="error", forecast_total="error", forecast_parts=("signup",), forecasts=("signup", "error"), commodities=("error",), flows=(("click", "purchase", "x"),))
 
 

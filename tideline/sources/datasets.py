@@ -58,25 +58,42 @@ class Datasets:
 
     def _meta(self) -> DataFrame:
         try:
-            return self.spark.read.schema(META).json(f"{self.base}/meta")
+            return self.spark.read.schema(META).option("recursiveFileLookup", "true").json(f"{self.base}/meta")
         except Exception as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise
             return self.spark.createDataFrame([], META)
 
+    def _claim(self, name: str) -> int:
+        """The next free version, by a file that only one writer can create; whoever comes second tries the next number."""
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.base}/claims/{name}")
+        fs = folder.getFileSystem(conf)
+        fs.mkdirs(folder)
+        taken = [int(f.getPath().getName()) for f in fs.listStatus(folder)]
+        version = max([self._meta().where(F.col("name") == name).agg(F.max("version")).first()[0] or 0, *taken]) + 1
+        while not fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, str(version))):
+            version += 1
+        return version
+
     def save(self, df: DataFrame, name: str, created: str, spec: str = "", tags: dict[str, str] = {}, source: str | None = None, dropped: list[str] = (), time: str = "ts") -> int:
-        """Targets are the columns called y or y_0 ... y_23; there is one or 24 of them."""
+        """Targets are the columns called y or y_0 ... y_23; there is one or 24 of them.
+
+        A version is claimed first, then written, and seen once its metadata is
+        there: writers at once get versions of their own, a broken save is never
+        listed, and its number is not used again.
+        """
         targets = [x for x in df.columns if re.fullmatch(r"y(_\d+)?", x)]
         if len(targets) not in (1, 24):
             raise ValueError(f"{len(targets)} targets; 1 or 24 are needed")
         df = df.na.drop(subset=targets)
-        version = (self._meta().where(F.col("name") == name).agg(F.max("version")).first()[0] or 0) + 1
+        version = self._claim(name)
         df.write.parquet(f"{self.base}/data/name={name}/version={version}")
         features = [x for x in df.columns if x not in targets and x != time]
         ends = F.min(time) if time in df.columns else F.lit(None).cast("timestamp"), F.max(time) if time in df.columns else F.lit(None).cast("timestamp")
         row = df.agg(F.count("*").alias("n_rows"), ends[0].alias("first_ts"), ends[1].alias("last_ts"))
         arr = lambda xs: F.array(*map(F.lit, xs)).cast("array<string>")
-        row.select(F.lit(name).alias("name"), F.lit(version).alias("version"), F.lit(created).cast("timestamp").alias("created"), F.lit(source).cast("string").alias("source"), F.from_json(F.lit(json.dumps(tags)), "map<string,string>").alias("tags"), arr(features).alias("features"), arr(targets).alias("targets"), arr(dropped).alias("dropped"), F.lit(spec).alias("spec"), "n_rows", "first_ts", "last_ts").coalesce(1).write.mode("append").json(f"{self.base}/meta")
+        row.select(F.lit(name).alias("name"), F.lit(version).alias("version"), F.lit(created).cast("timestamp").alias("created"), F.lit(source).cast("string").alias("source"), F.from_json(F.lit(json.dumps(tags)), "map<string,string>").alias("tags"), arr(features).alias("features"), arr(targets).alias("targets"), arr(dropped).alias("dropped"), F.lit(spec).alias("spec"), "n_rows", "first_ts", "last_ts").coalesce(1).write.json(f"{self.base}/meta/{name}/{version}")
         return version
 
     def list(self, tags: dict[str, str] = {}) -> DataFrame:
