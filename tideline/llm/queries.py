@@ -139,8 +139,8 @@ WITH RECURSIVE w AS (
 p AS MATERIALIZED (
   SELECT a, b FROM (SELECT s.doc_id AS a, t.doc_id AS b, count(*) AS k FROM s JOIN s t ON s.x = t.x AND s.doc_id <> t.doc_id GROUP BY ALL)
   JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 85 * (na.n + nb.n - k)
-), reach AS (SELECT doc_id AS a, doc_id AS at FROM documents UNION SELECT r.a, p.b FROM reach r JOIN p ON r.at = p.a),
-c AS (SELECT a, min(at) AS component_id FROM reach GROUP BY a)
+), reach AS (SELECT doc_id AS a, doc_id AS node FROM documents UNION SELECT r.a, p.b FROM reach r JOIN p ON r.node = p.a),
+c AS (SELECT a, min(node) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
