@@ -31,6 +31,15 @@ def test_elimination_does_not_look_at_test_rows(planted):
     assert min(path, key=lambda p: p[1])[0] == len(chosen)
 
 
+def test_coarse_then_fine_sizes(planted):
+    """The best of the sizes tried; fine ones lie around the coarse grid's best and are tried once."""
+    df = planted.withColumn("split", F.when(F.dayofyear("local_date") > 30, "test").otherwise("train"))
+    n, sd = models.moments(df)
+    rows = models.top_n_search(df, ["real", "n1", "n2", "leak"], models.linear("ridge", 1.0, n, sd), coarse=(1, 4, 9), reach=1, step=1).collect()
+    assert [(r.n, r.stage) for r in rows][0] == (1, "coarse") and {r.n for r in rows} in ({1, 2, 4}, {1, 3, 4})
+    assert [r.n for r in rows if r.chosen] == [min(rows, key=lambda r: (r.mae, r.n)).n]
+
+
 def test_linear_fits_against_closed_forms(spark, planted):
     """Ridge by its normal equations with an intercept; lasso and elastic net by coordinate descent."""
     pdf = planted.toPandas()

@@ -172,6 +172,21 @@ def top_n_sweep(df: DataFrame, ranked: list[str], estimator, sizes: list[int]) -
     return df.sparkSession.createDataFrame(rows, "n int, mae double, rmse double")
 
 
+def top_n_search(df: DataFrame, ranked: list[str], estimator, coarse: tuple[int, ...] = (10, 20, 30, 50, 75, 100), reach: int = 10, step: int = 2) -> DataFrame:
+    """n, mae, rmse, stage, chosen: a coarse grid of sizes, then those within ``reach`` of its best one, ``step`` apart; the least MAE is chosen."""
+    seen: dict[int, tuple] = {}
+
+    def score(sizes, stage: str) -> int:
+        for n in sorted({min(n, len(ranked)) for n in sizes if n > 0} - set(seen)):
+            r = train_and_score(df, ranked[:n], estimator).where("split = 'test'").first()
+            seen[n] = (n, r["mae"], r["rmse"], stage)
+        return min(seen, key=lambda n: (seen[n][1], n))
+
+    best = score(coarse, "coarse")
+    best = score(range(best - reach, best + reach + 1, step), "fine")
+    return df.sparkSession.createDataFrame([(*r, n == best) for n, r in sorted(seen.items())], "n int, mae double, rmse double, stage string, chosen boolean")
+
+
 def eliminate(df: DataFrame, features: list[str], estimator: GBTRegressor, step: int = 3, least: int = 10, n_splits: int = 3, test: int | float = 0.1, keys: list[str] = [], threads: int = 3) -> tuple[list[tuple[int, float]], list[str]]:
     """The path (number of features, mean test RMSE of the folds), and the features of its best number.
 

@@ -246,6 +246,14 @@ def J10_importance_sweep(spark, sf):
     return models.top_n_sweep(df, ranked, gbt, [2, 4])
 
 
+@query("n:i, stage:s, mae:d, rmse:d, chosen:b")
+def J10_coarse_to_fine(spark, sf):
+    df, xs = matrix(spark, sf)
+    n, sd = models.moments(df)
+    ranked = [f for f, _ in models.importances(df.where("split = 'train'"), xs, models.boosted(iterations=2))]
+    return models.top_n_search(df, ranked, models.linear("ridge", 1.0, n, sd), coarse=(2, 4, 6), reach=1, step=1)
+
+
 @query("n_features:i, rmse:d")
 def J11_elimination(spark, sf):
     df, xs = matrix(spark, sf)
