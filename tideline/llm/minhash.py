@@ -63,7 +63,7 @@ class _WordHashes(dict):
     """Hashes of words met lately."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 60_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word, SEED)
         return h
@@ -121,6 +121,7 @@ def sketches(docs: DataFrame, words: int = SHINGLE, fingerprint: Callable[[str |
                 fp = [pa.array(np.array(list(map(fingerprint, texts)), np.uint64).view(np.int64))] if fingerprint else []
                 columns = [*part.columns[:2], pa.array(n_words, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), *fp]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_words", "n_shingles", "digest", "sig", "fp"][: len(columns)])
+            pa.default_memory_pool().release_unused()  # workers stay for the next stage
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), "text")
     return rows.mapInArrow(run, "doc_id long, text_hash long, n_words long, n_shingles long, digest binary, sig binary" + ", fp long" * bool(fingerprint))
