@@ -29,13 +29,13 @@ import functools
 import gc
 import json
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +47,7 @@ TAIL = '.,;:!?&#%*"'
 _CHUNK = r"\s*\S+(?:(?![ \t\n])\s+\S*)*|\s+"
 _TAILS = rf"\s*[^\W_]+(?=[{TAIL}]+(?:[ \t\n]|\Z))|(?<=[^\W_])[{TAIL}]+(?=[ \t\n]|\Z)|"
 #: White space to some pattern languages but not to all.
-_DOUBTFUL = regex.compile("[\x1c-\x1f\x85]")
+_DOUBTFUL = re.compile("[\x1c-\x1f\x85]")
 
 
 def _byte_of() -> dict[str, int]:
@@ -101,7 +101,7 @@ class Aligner:
         spaced = any(x not in "▁" and not x.isspace() and y in "▁\t\n" for x, y in joined)
         byte_level = [x.get("use_regex", True) and not x.get("add_prefix_space") for x in [json.loads(a_json).get("pre_tokenizer") or {}] if x.get("type") == "ByteLevel"]
         self.cuts = bool(byte_level and byte_level[0] and plain and not spaced and self.a.normalizer is None)
-        self.find = regex.compile(_CHUNK if any(x.isalnum() and y in TAIL for x, y in joined) else _TAILS + _CHUNK).findall
+        self.find = re.compile(_CHUNK if any(x.isalnum() and y in TAIL for x, y in joined) else _TAILS + _CHUNK).findall
         most = max(n, len(pieces))
         self.before_comma, self.before_bar, self.before_end = (np.array([f"{i}{c}" for i in range(most)], object) for c in ",|;")
         self.memo_size, self._held = memo, 0
@@ -167,25 +167,29 @@ class Aligner:
         """(tokens of a, tokens of b, groups, groups as text, times of each link) of each text."""
         whole = [" " + t if t else "" for t in texts]
         split = [self.find(t) if self.cuts and not _DOUBTFUL.search(t) else [t] * bool(t) for t in whole]
-        known, new = {}, []
+        known, again, new = {}, [], []
+        young, old = self._young, self._old
         for s in set().union(*split):
-            if s in self._young:
-                known[s] = self._young[s]
-            elif s in self._old:
-                known[s] = self._old[s]
+            if s in young:
+                known[s] = young[s]
+            elif s in old:
+                known[s] = old[s]
+                again.append(s)
             else:
                 new.append(s)
         known |= self._encode(new)
-        for s, found in known.items():
-            if len(s) <= 64 and s not in self._young:
-                if (h := hash(s)) not in self._once and s not in self._old:
+        for s in new:  # met once, it is only marked
+            if len(s) <= 64:
+                if (h := hash(s)) in self._once:
+                    again.append(s)
+                else:
                     self._once.add(h)
-                    continue
-                self._young[s] = found
-                self._held += 500 + len(s) + (len(found[3]) + 40 * found[2] if found else 0)
-                if self._held > self.memo_size:
-                    self._old, self._young, self._held = self._young, {}, 0
-        if len(self._once) > 500_000:
+        for s in again:
+            found = self._young[s] = known[s]
+            self._held += 500 + len(s) + (len(found[3]) + 40 * found[2] if found else 0)
+            if self._held > self.memo_size:
+                self._old, self._young, self._held = self._young, {}, 0
+        if len(self._once) > 1_000_000:
             self._once.clear()
         out = []
         for text, segments in zip(whole, split):
@@ -217,7 +221,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = load(a_json, b_model)
         for batch in batches:
-            for part in slices(batch, 1, 1 << 20):
+            for part in slices(batch, 1):
                 rows = aligner.align(part.column(1).to_pylist())
                 ends = pa.array(np.cumsum([0, *(len(r[4]) for r in rows)]), pa.int32())
                 sides = [pa.ListArray.from_arrays(ends, pa.array(np.fromiter(chain.from_iterable(side(r[4]) for r in rows), np.int64))) for side in (dict.keys, dict.values)]
