@@ -9,6 +9,7 @@ from tideline.functions.features import day_interactions, decay_weights
 from tideline.functions.scalers import LogShift
 from tideline.operators import days, merge, reshape, windows
 from tideline.plans import blends, jobs, leakage, models, pipelines, production, scoring
+from tideline.plans import runs as recorded
 from tideline.registry import DAILY, HOURLY, THIN, TYPES, WIDE, daily, hourly, query, scratch, table, wide
 from tideline.session import pin
 from tideline.specs import AvailabilityRule, Step, WindowSpec
@@ -162,6 +163,17 @@ def J02_train_and_score(spark, sf):
     return models.train_and_score(df, xs, models.linear("ridge", 1.0, n, sd, weight="weight"))
 
 
+@query("params:s, n_train:i, n_val:i, n_test:i, mae:d, rmse:d, val_mae:d, val_rmse:d")
+def J02_recorded_run(spark, sf):
+    """A log-shifted target, decayed weights, a validation part; the run as its table gives it back."""
+    df, xs = matrix(spark, sf)
+    df = decay_weights(scoring.chrono_split(df.drop("split"), {"train": 0.7, "val": 0.1, "test": 0.2}, ["k"]).transform(day_interactions, []), half_life=730)
+    n, sd = models.moments(df.where("split = 'train'"))
+    found = recorded.Runs(spark, scratch(spark))
+    recorded.train_and_record(df, xs, models.linear("ridge", 1.0, n, sd, weight="weight"), found, "ridge", "hourly", {"alpha": 1.0}, "log_shift")
+    return found.read("ridge").select("params", "n_train", "n_val", "n_test", "mae", "rmse", "val_mae", "val_rmse")
+
+
 @query("params:s, mae:d, rmse:d")
 def J03_linear_family(spark, sf):
     df, xs = matrix(spark, sf)
@@ -200,6 +212,18 @@ def J06_grid_search(spark, sf):
     return models.grid_search(df, xs, {"kind": ["ridge", "lasso"], "alpha": [0.1, 10.0]}, lambda kind, alpha: models.linear(kind, alpha, n, sd))
 
 
+@query("dataset:s, params:s, mae:d, rmse:d")
+def J06_resumed_search(spark, sf):
+    """Datasets x parameters; the second call fits what the first has left and reads the rest from the run table."""
+    df, xs = matrix(spark, sf)
+    n, sd = models.moments(df)
+    make = lambda kind, alpha: models.linear(kind, alpha, n, sd)
+    data, found = {"lags": (df, xs[:2]), "all": (df, xs)}, recorded.Runs(spark, scratch(spark))
+    trials = recorded.combinations({"kind": ["ridge"], "alpha": [0.1, 10.0]})
+    recorded.search(data, trials[:1], make, found, "ridge")
+    return recorded.search(data, trials, make, found, "ridge").select("dataset", "params", "mae", "rmse")
+
+
 @query("params:s, cv_mae:d, chosen:b, mae:d, rmse:d")
 def J07_cv_search(spark, sf):
     df, xs = matrix(spark, sf)
