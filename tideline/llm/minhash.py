@@ -42,6 +42,7 @@ from math import sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -122,6 +123,7 @@ def sketches(docs: DataFrame, words: int = SHINGLE, fingerprint: Callable[[str |
                 columns = [*part.columns[:2], pa.array(n_words, pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), *fp]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_words", "n_shingles", "digest", "sig", "fp"][: len(columns)])
             pa.default_memory_pool().release_unused()  # workers stay for the next stage
+        _HASHES.clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), "text")
     return rows.mapInArrow(run, "doc_id long, text_hash long, n_words long, n_shingles long, digest binary, sig binary" + ", fp long" * bool(fingerprint))
@@ -195,6 +197,14 @@ def _agree(sig: np.ndarray, i: np.ndarray, step: int) -> np.ndarray:
     return out
 
 
+def _lists(column: pa.ListArray) -> np.ndarray:
+    """An array of arrays: views of the column's values, which stay eight bytes each."""
+    out, ends = np.empty(len(column), object), np.cumsum(pc.list_value_length(column).to_numpy())
+    for i, values in enumerate(np.split(column.flatten().to_numpy(), ends)[: len(column)]):
+        out[i] = values
+    return out
+
+
 class _Regions:
     """Whole regions out of batches of rows sorted by key and, in it, by their tree's order."""
 
@@ -205,7 +215,7 @@ class _Regions:
         held = None
         for batch in self.batches:
             new = [c.to_numpy() for c in batch.columns[:4]] + [np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint16).reshape(-1, FUNCTIONS)]
-            new += [np.array([*batch.column(5).to_pylist(), None], object)[:-1]] if batch.num_columns > 5 else []
+            new += [_lists(batch.column(5))] if batch.num_columns > 5 else []
             held = [np.concatenate(x) for x in zip(held, new)] if held else new
             n = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last region may go on
             if n:
@@ -260,7 +270,7 @@ def _complete(least: float, share: float):
                 for x in i[_agree(sig, i, step) >= least].tolist():
                     y = x + step
                     if label[x] != label[y]:
-                        a, b = (sets.get(z) or sets.setdefault(z, set(least_hashes[z])) for z in (x, y))
+                        a, b = (sets.get(z) or sets.setdefault(z, set(least_hashes[z].tolist())) for z in (x, y))
                         whole = max(len(a), len(b)) < SKETCH
                         if _as_similar(a, b, share, whole):
                             kept.append((x, y))
