@@ -78,24 +78,32 @@ def discard(*saved: DataFrame) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Rows of an edge table that a file of it holds.
+EDGES = 100_000
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(id, root): the smallest id that each linked id reaches."""
+    """(id, root): the smallest id that each linked id reaches.
+
+    A round's tables have files by their rows, not by the number of shuffle
+    partitions, so many partitions do not make rounds over few edges slow.
+    """
+    cores = edges.sparkSession.sparkContext.defaultParallelism
     now = save(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi > lo").distinct(), "edges")
-    mark = None
+    seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
     for _ in range(max_rounds):
-        # large star: every larger neighbour goes to the smallest neighbour
-        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        files = max(cores, -(-seen["n"] // EDGES))
+        # large star: every larger neighbour goes to the smallest neighbour, or oneself
+        least = now.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("m"))
+        large = save(now.join(least, "lo", "left").select("hi", F.coalesce("m", "lo").alias("lo")).coalesce(files), "large")
         # small star: smaller neighbours, and oneself, go to the smallest
-        large = save(both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi > lo").union(low.select("hi", F.col("m").alias("lo")))
-        before, now = now, save(small.distinct(), "edges")
+        before, now = now, save(small.distinct().coalesce(files), "edges")
         discard(before, large)
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+        mark, seen = seen, now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if seen == mark:
             return now.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("root"))
-        mark = seen
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

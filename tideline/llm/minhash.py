@@ -338,8 +338,9 @@ def links(nodes: DataFrame, docs: DataFrame, scopes: DataFrame | None = None, pe
 
     roots = components(linked)
     second = save(still_apart(proposed.select("a", "b").distinct(), roots).join(tried, ["a", "b"], "left_anti"), "second")
-    linked, tried = linked.unionByName(_confirm(second, sets, percent)), tried.unionByName(second)
-    roots = components(linked)
+    more = _confirm(second, sets, percent)
+    linked, tried = linked.unionByName(more), tried.unionByName(second)
+    roots = components(roots.toDF("a", "b").unionByName(more))  # goes on from what is joined
     # nodes that were never proposed have no pair at all
     known = nodes.join(sets.select("no", F.slice("set", 1, SKETCH).alias("least")), "no").join(roots.withColumnRenamed("id", "no"), "no", "left").select("no", F.coalesce("root", "no").alias("root"), "sig", "least")
     rest = _regions_with(found, known, "least").mapInArrow(_complete(least, s), PAIRS).select("a", "b").distinct()
