@@ -91,3 +91,25 @@ def test_every_window_is_in_one_run():
         for s, m in zip(start[text == k], n[text == k]):
             cover[s : s + m] += 1
         assert (cover == 1).all()
+
+
+def test_anchors_of_one_pass_over_the_texts(spark, monkeypatch):
+    """Anchors are those of any block size, and texts are hashed once (twice before)."""
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("abé ") for _ in range(rnd.randrange(900))) for _ in range(40)] + [None, "", "a" * 5000]
+    data = [(t or "").encode() for t in texts]
+
+    def anchors(block):
+        monkeypatch.setattr(sd, "BLOCK", block)
+        sd.rolling.cache_clear()
+        out = [(t, a + k, a + off, h) for t, a, off, n, h in zip(*(x.tolist() for x in sd.runs(data))) for k in range(n)]
+        monkeypatch.undo()
+        sd.rolling.cache_clear()
+        return out
+
+    assert anchors(700) == anchors(1 << 20)
+    passes, kind = [], type(spark.range(1))
+    run = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, schema, *a, **b: passes.append(schema) or run(self, f, schema, *a, **b))
+    sd.removed_spans(docs(spark, list(enumerate(texts))).selectExpr("cast(cast(doc_id as string) as binary) r", "text"))
+    assert sum(str(x).startswith("h long") for x in passes) == 1

@@ -39,13 +39,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import save, ship, slices
+from tideline.llm.common import discard, save, ship, slices
 
 WINDOW, GRAM = 200, 32
-BLOCK = 1 << 20
+#: Bytes whose windows get their anchors together: few enough that a core's cache holds what is computed of them.
+BLOCK = 1 << 16
 #: Different strings of a group beyond which it is split, and the blocks of window starts by which it is, one after another.
 GROUP, STARTS = 1024, (32, 8, 2, 1)
 #: Bytes of strings that are put in order together.
@@ -64,16 +66,27 @@ class Roll:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         out = np.zeros(len(data) + 1, _U)
-        np.cumsum((data.astype(_U) + _U(1)) * self.up[: len(data)], out=out[1:])
+        terms = data.astype(_U)
+        terms += _U(1)
+        terms *= self.up[: len(data)]
+        np.cumsum(terms, out=out[1:])
         return out
 
-    def of(self, sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return _mix((sums[stop] - sums[start]) * self.down[start])
+    def of_all(self, data: np.ndarray, size: int) -> np.ndarray:
+        """Of every substring of ``size`` bytes."""
+        sums = self.sums(data)
+        h = sums[size:] - sums[:-size]
+        h *= self.down[: len(h)]
+        return _mix(h)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93)
-    return (h ^ (h >> _U(29))) * _U(0xA24BAED4963EE407)
+    """In place."""
+    h ^= h >> _U(32)
+    h *= _U(0xD6E8FEB86659FD93)
+    h ^= h >> _U(29)
+    h *= _U(0xA24BAED4963EE407)
+    return h
 
 
 @functools.lru_cache(maxsize=1)
@@ -105,16 +118,18 @@ def runs(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np
     parts = []
     for at in range(0, len(whole) - window + 1, BLOCK):
         data = whole[at : at + BLOCK + window - 1]
-        begin = np.arange(len(data) - gram + 1)
-        grams = roll.of(roll.sums(data), begin, begin + gram)
+        grams = roll.of_all(data, gram)
         places = _U((1 << 21) - 1)
-        anchor = (sliding_min((grams & ~places) | begin.astype(_U), window - gram + 1) & places).astype(np.int64)
+        placed = grams & ~places
+        placed |= np.arange(len(grams), dtype=_U)
+        anchor = (sliding_min(placed, window - gram + 1) & places).astype(np.int64)
         n = len(anchor)
         cut = np.zeros(n, bool)
         cut[0] = True
         cut[1:] = anchor[1:] != anchor[:-1]
-        for edge in (offsets[:-1] - at, offsets[1:] - window + 1 - at):  # a text's first window; its first that would cross its end
-            cut[edge[(edge > 0) & (edge < n)]] = True
+        for edge in (offsets[:-1], offsets[1:] - window + 1):  # a text's first window; its first that would cross its end
+            low, high = np.searchsorted(edge, (at + 1, at + n))
+            cut[edge[low:high] - at] = True
         start = np.flatnonzero(cut)
         stop = np.append(start[1:], n)
         text = np.searchsorted(offsets, start + at, "right") - 1
@@ -177,15 +192,8 @@ def _intervals(mask: np.ndarray) -> tuple[list[int], list[int]]:
     return edge[::2].tolist(), edge[1::2].tolist()
 
 
-def _anchors(docs: DataFrame) -> DataFrame:
-    """h (anchor) of every run."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 0):
-                yield pa.RecordBatch.from_arrays([pa.array(runs([(t or "").encode() for t in part.column(0).to_pylist()])[4].view(np.int64))], ["h"])
-
-    return docs.select("text").mapInArrow(run, "h long")
+def _bytes(texts: pa.Array) -> list[bytes]:
+    return pc.fill_null(texts.cast(pa.binary()), b"").to_pylist()
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -194,7 +202,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                texts = [(t or "").encode() for t in part.column(1).to_pylist()]
+                texts = _bytes(part.column(1))
                 text, at, off, n, h = runs(texts)
                 d = [digest(texts[t][a : a + m + WINDOW - 1]) for t, a, m in zip(text.tolist(), at.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d, pa.binary()), part.column(0).take(pa.array(text)), pa.array(at * _FIRST + off * _OFFSET + n)], ["h", "d", "r", "at"])
@@ -216,8 +224,7 @@ def _cut_out(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 0, 1 << 20):
                 out = []
-                for text, picks in zip(*(c.to_pylist() for c in part.columns)):
-                    data = text.encode()
+                for data, picks in zip(_bytes(part.column(0)), part.column(1).to_pylist()):
                     for p in picks:
                         start, off, n = p["at"] // _FIRST, p["at"] // _OFFSET % _OFFSET, p["at"] % _OFFSET
                         out.append((p["h"], p["d"], p["n"], off, data[start : start + n + WINDOW - 1]))
@@ -296,9 +303,12 @@ def _repeats(strings: DataFrame, group: int, starts: tuple[int, ...]) -> DataFra
 def removed_spans(docs: DataFrame, group: int = GROUP, starts: tuple[int, ...] = STARTS) -> DataFrame:
     """(r, spans): the byte ranges of each row ``r`` that repeated windows cover, as (first window, last window + 1) pairs."""
     ship(docs.sparkSession)
+    # saved, so that texts are hashed once
+    every = save(_occurrences(docs), "occurrences")
     # anchors that occur more than once; saved, so that Spark can split the join's skewed keys
-    again = save(_anchors(docs).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
-    shared = save(_occurrences(docs).join(again, "h", "left_semi"), "shared")
+    again = save(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "again")
+    shared = save(every.join(again, "h", "left_semi"), "shared")
+    discard(every, again)
     # the place of one occurrence stands for all
     strings = shared.groupBy("h", "d").agg(F.count("*").alias("n"), F.first(F.struct("r", "at")).alias("one"))
     cut = _cut_out(docs, strings.select("h", "d", "n", "one.r", "one.at"))
@@ -319,8 +329,7 @@ def dedup(docs: DataFrame, group: int = GROUP, starts: tuple[int, ...] = STARTS)
         for batch in batches:
             for part in slices(batch, 1):
                 rows = []
-                for text, low, high in zip(*(c.to_pylist() for c in part.columns[1:])):
-                    data = (text or "").encode()
+                for data, low, high in zip(_bytes(part.column(1)), *(c.to_pylist() for c in part.columns[2:])):
                     edge = np.zeros(len(data) + 1, np.int32)
                     if low:
                         np.add.at(edge, np.array(low), 1)
