@@ -1,6 +1,7 @@
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
+import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +82,29 @@ def test_a_broken_save_is_not_seen(spark):
         store.save(df.withColumn("x", F.raise_error(F.lit("boom")).cast("double")), "d", "2024-01-02")
     assert store.save(df, "d", "2024-01-03") == 3
     assert sorted(r["version"] for r in store.list().collect()) == [1, 3]
+
+
+def test_linear_fits_pass_over_the_rows_once(spark):
+    """Each iteration was a job over all rows before; coefficients are those of coordinate descent."""
+    from tideline.plans import models
+
+    rnd = random.Random(4)
+    xs = [[rnd.gauss(0, 1) for _ in range(3)] for _ in range(400)]
+    target = np.array([2 * x[0] - x[1] + 5 + rnd.gauss(0, 0.3) for x in xs])
+    rows = spark.createDataFrame([(*x, y) for x, y in zip(xs, target.tolist())], "a double, b double, c double, y double")
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+    for kind in ("ridge", "lasso", "elasticnet"):
+        lr = models.linear(kind, 0.1, *models.moments(rows))
+        try:
+            sc.setJobGroup(f"fit {kind}", kind)
+            got = models.train(rows, ["a", "b", "c"], lr).stages[-1]
+            jobs = tracker.getJobIdsForGroup(f"fit {kind}")
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        assert len(jobs) <= 3
+        want, x, y = np.zeros(3), np.array(xs) - np.mean(xs, 0), target - target.mean()
+        l1, l2 = {"ridge": (0, 0.1 / 400), "lasso": (0.1, 0), "elasticnet": (0.05, 0.05)}[kind]
+        for k in [0, 1, 2] * 500:  # coordinate descent on |y - xb|^2 / 2n + l1 |b| + l2 |b|^2 / 2
+            r = x[:, k] @ (y - x @ want + x[:, k] * want[k]) / 400
+            want[k] = np.sign(r) * max(abs(r) - l1, 0) / (x[:, k] @ x[:, k] / 400 + l2)
+        assert abs(got.coefficients.toArray() - want).max() < 1e-6, kind

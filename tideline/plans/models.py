@@ -6,6 +6,7 @@ import json
 import random
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
+from math import sqrt
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -21,7 +22,10 @@ from tideline.specs import c
 
 def linear(kind: str, alpha: float, n: int, sd: float, ratio: float = 0.5, label: str = "y", weight: str | None = None) -> LinearRegression:
     """ridge, lasso, elasticnet or huber with the usual objective; ``n`` rows and ``sd`` of the target convert ``alpha`` to Spark's."""
-    lr = LinearRegression(featuresCol="features_", labelCol=label, standardization=False, solver="l-bfgs", maxIter=200, tol=1e-9)
+    # squared losses are solved from one pass's sums of products; only huber passes over the rows again and again
+    lr = LinearRegression(featuresCol="features_", labelCol=label, standardization=False, solver="auto", maxIter=200, tol=1e-9)
+    if kind != "huber":
+        sd *= sqrt(max(n - 1, 1) / n)  # that way divides by the deviation of the rows, not of a sample
     if weight:
         lr = lr.setWeightCol(weight)
     if kind == "ridge":
