@@ -34,3 +34,16 @@ def find_groups(n, linked):
                 ra, rb = find(a), find(b)
                 parent[max(ra, rb)] = min(ra, rb)
     return [find(i) for i in range(n)]
+
+
+def plans_of(monkeypatch, *modules):
+    """The plans of the tables that these modules save, by name."""
+    found, save = {}, modules[0].save
+
+    def keep(df, name="t"):
+        found.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return save(df, name)
+
+    for m in modules:
+        monkeypatch.setattr(m, "save", keep)
+    return found

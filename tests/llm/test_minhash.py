@@ -3,8 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from tests.llm.helpers import AWKWARD, docs, find_groups
-from tideline.llm import minhash
+from tests.llm.helpers import AWKWARD, docs, find_groups, plans_of
+from tideline.llm import common, minhash
 
 
 def brute_set(text, words=5):
@@ -111,3 +111,19 @@ def test_least_hashes_rule_out_only_unlike_sets():
         sets = [np.unique(x).view(np.int64)[: minhash.SKETCH].tolist() for x in (pool[:10_000], pool[10_000 - n : 20_000 - n])]
         assert minhash._as_similar(set(sets[0]), set(sets[1]), 0.85, False) == want
     assert minhash._as_similar(set(range(100)), set(range(85)), 0.85, True) and not minhash._as_similar(set(range(100)), set(range(84)), 0.85, True)
+
+
+def test_trees_are_exploded_after_the_join(spark, monkeypatch):
+    """A join takes exploded rows for as small as they were before, so those of 16 trees would be hashed in the driver."""
+    plans = plans_of(monkeypatch, minhash)
+    check(spark, near_texts(5, 40))
+    assert plans["level"][0].index("Generate") < plans["level"][0].index("Join")
+
+
+def test_many_ids_are_shuffled(spark, monkeypatch):
+    """No table of ids beyond a number of rows is hashed whole, and the groups stay the same."""
+    monkeypatch.setattr(common, "FEW", 0)
+    plans = plans_of(monkeypatch, minhash, common)
+    check(spark, near_texts(6, 40), leaf=20)
+    for name in ("level", "regions", "proposed", "second", "members", "large"):
+        assert plans[name] and not any("BroadcastHashJoin" in p for p in plans[name])

@@ -3,8 +3,8 @@ import random
 import numpy as np
 import xxhash
 
-from tests.llm.helpers import AWKWARD, docs, find_groups
-from tideline.llm import minhash, simhash
+from tests.llm.helpers import AWKWARD, docs, find_groups, plans_of
+from tideline.llm import common, minhash, simhash
 
 
 def brute_fingerprint(text):
@@ -235,3 +235,16 @@ def test_short_texts(spark):
     kept = set(kept_ids(spark, texts))
     missed = {length: len(kept.intersection(ids)) for length, ids in at.items()}
     assert len(kept) >= len(texts) / 2 and max(missed.values()) <= 6, missed
+
+
+def test_near_stage_hashes_no_table_of_many_ids(spark, monkeypatch):
+    """What grows with the rows is joined by sort-merge, and the same rows stay."""
+    rnd = random.Random(8)
+    base = [[f"w{rnd.randrange(999)}" for _ in range(n)] for n in (30, 200, 400)]
+    texts = [t for w in base for t in (w, [*w, "more"], rnd.sample(w, len(w)))]
+    want = kept_ids(spark, texts)
+    monkeypatch.setattr(common, "FEW", 0)
+    plans = plans_of(monkeypatch, simhash, minhash, common)
+    assert kept_ids(spark, texts) == want == [1, 3, 4, 6, 7, 9]
+    for name in ("scopes", "level", "regions", "proposed", "second", "members", "listed"):
+        assert plans[name] and not any("BroadcastHashJoin" in p for p in plans[name])

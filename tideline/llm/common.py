@@ -78,6 +78,19 @@ def discard(*saved: DataFrame) -> None:
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+#: Rows of a table of ids up to which a join may hash it whole.
+FEW = 100_000
+
+
+def shuffled(df: DataFrame, n: int | None = None) -> DataFrame:
+    """``df``, of ``n`` rows or as many as it has, for a join that broadcasts it only if its rows are few.
+
+    Spark goes by the size of compressed files. Ids take some seven bytes there and
+    ninety where the driver hashes them, and a table that is exploded counts as it was before.
+    """
+    return df if (df.count() if n is None else n) <= FEW else df.hint("merge")
+
+
 #: Rows of an edge table that a file of it holds.
 EDGES = 100_000
 
@@ -95,15 +108,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         files = max(cores, -(-seen["n"] // EDGES))
         # large star: every larger neighbour goes to the smallest neighbour, or oneself
         least = now.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("m"))
-        large = save(now.join(least, "lo", "left").select("hi", F.coalesce("m", "lo").alias("lo")).coalesce(files), "large")
+        large = save(now.join(shuffled(least, seen["n"]), "lo", "left").select("hi", F.coalesce("m", "lo").alias("lo")).coalesce(files), "large")
         # small star: smaller neighbours, and oneself, go to the smallest
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(low, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi > lo").union(low.select("hi", F.col("m").alias("lo")))
+        small = large.join(shuffled(low, seen["n"]), "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi > lo").union(low.select("hi", F.col("m").alias("lo")))
         before, now = now, save(small.distinct().coalesce(files), "edges")
         discard(before, large)
         mark, seen = seen, now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if seen == mark:
-            return now.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("root"))
+            return shuffled(now.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("root")), seen["n"])
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import components, discard, save, ship, slices
+from tideline.llm.common import components, discard, save, ship, shuffled, slices
 
 SEED, SHINGLE, PERCENT = 42, 5, 85
 FUNCTIONS, TREES = 128, 16
@@ -142,7 +142,7 @@ def _dealt(rows: DataFrame, leaf: int) -> list[DataFrame]:
     found = []
     while True:
         sizes = save(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-        found.append(rows.join(sizes.where(F.col("n") <= leaf), "key", "left_semi").select("tree", "key", "no"))
+        found.append(rows.join(shuffled(sizes).where(F.col("n") <= leaf), "key", "left_semi").select("tree", "key", "no"))
         crowded = sizes.where(F.col("n") > leaf)
         if crowded.isEmpty():
             return found
@@ -154,16 +154,19 @@ def _dealt(rows: DataFrame, leaf: int) -> list[DataFrame]:
 
 def regions(nodes: DataFrame, scopes: DataFrame, leaf: int = LEAF) -> DataFrame:
     """tree, key, no: the nodes of every region with several, saved; only nodes of one scope (no, scope) meet."""
-    ways = scopes.select("no", "scope", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), F.lit(None).cast("long").alias("parent"))
+    ways = scopes.select("no", "scope", F.lit(None).cast("long").alias("parent"))
     twice = nodes.select("no", F.concat("sig", "sig").alias("twice"))
     found, left = [], []
     for depth in DEPTHS:
         prefix = F.col("twice").substr(F.col("tree") * (2 * FUNCTIONS // TREES) + 1, F.lit(2 * depth))
-        now = save(ways.join(twice, "no").select("no", "scope", "tree", "parent", F.xxhash64("scope", "tree", prefix).alias("key")), "level")
+        placed = shuffled(ways).join(twice, "no")
+        if depth == DEPTHS[0]:  # exploded here, as a join takes the rows of all trees for as small as those of one
+            placed = placed.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
+        now = save(placed.select("no", "scope", "tree", "parent", F.xxhash64("scope", "tree", prefix).alias("key")), "level")
         if depth > DEPTHS[0]:  # what a crowd parts into stays in touch
             left.append(now.groupBy("tree", "parent", "key").agg(F.min("no").alias("no")).select("tree", F.xxhash64("parent", F.lit(0)).alias("key"), "no"))
         sizes = save(now.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-        found.append(save(now.join(sizes.where(F.col("n") <= leaf), "key", "left_semi").select("tree", "key", "no"), "regions"))
+        found.append(save(now.join(shuffled(sizes).where(F.col("n") <= leaf), "key", "left_semi").select("tree", "key", "no"), "regions"))
         crowded = sizes.where(F.col("n") > leaf)
         if crowded.isEmpty():
             break
@@ -290,7 +293,7 @@ def _regions_with(found: DataFrame, known: DataFrame, *more: str) -> DataFrame:
     """The rows of regions, with what is known of their nodes (no, root, sig), dealt by region and in its tree's order."""
     n_parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = F.concat("sig", "sig").substr(F.col("tree") * (2 * FUNCTIONS // TREES) + 1, F.lit(2 * FUNCTIONS))
-    rows = found.join(known, "no").select("key", "tree", "no", "root", order.alias("sig"), *more)
+    rows = found.join(known.hint("merge"), "no").select("key", "tree", "no", "root", order.alias("sig"), *more)
     return rows.repartition(n_parts, "key").sortWithinPartitions("key", "sig")
 
 
@@ -314,7 +317,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough, saved."""
     both = F.size(F.array_intersect("set_a", "set_b"))
     a, b = sets.toDF("a", "set_a"), sets.toDF("b", "set_b")
-    rows = pairs.join(a, "a").join(b, "b")
+    rows = shuffled(pairs).join(a, "a").join(b, "b")
     return save(rows.where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select("a", "b"), "links")
 
 
@@ -327,7 +330,7 @@ def links(nodes: DataFrame, docs: DataFrame, scopes: DataFrame | None = None, pe
     found = regions(nodes, scopes, leaf)
     proposed = save(_regions_with(found, nodes.select("no", F.col("no").alias("root"), "sig")).mapInArrow(_propose(likely, least), PAIRS), "proposed")
     ends = save(proposed.select(F.explode(F.array("a", "b")).alias("no")).distinct(), "ends")
-    sets = sets_of(docs, nodes.join(ends, "no"), words)
+    sets = sets_of(docs, nodes.join(shuffled(ends), "no"), words)
     first = save(proposed.where("tree < 2 AND likely").select("a", "b").distinct(), "first")
     linked, tried = _confirm(first, sets, percent), first
 
@@ -337,14 +340,14 @@ def links(nodes: DataFrame, docs: DataFrame, scopes: DataFrame | None = None, pe
         return both.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
     roots = components(linked)
-    second = save(still_apart(proposed.select("a", "b").distinct(), roots).join(tried, ["a", "b"], "left_anti"), "second")
+    second = save(still_apart(proposed.select("a", "b").distinct(), roots).join(shuffled(tried), ["a", "b"], "left_anti"), "second")
     more = _confirm(second, sets, percent)
     linked, tried = linked.unionByName(more), tried.unionByName(second)
     roots = components(roots.toDF("a", "b").unionByName(more))  # goes on from what is joined
     # nodes that were never proposed have no pair at all
     known = nodes.join(sets.select("no", F.slice("set", 1, SKETCH).alias("least")), "no").join(roots.withColumnRenamed("id", "no"), "no", "left").select("no", F.coalesce("root", "no").alias("root"), "sig", "least")
     rest = _regions_with(found, known, "least").mapInArrow(_complete(least, s), PAIRS).select("a", "b").distinct()
-    third = save(rest.join(tried, ["a", "b"], "left_anti"), "third")
+    third = save(rest.join(shuffled(tried), ["a", "b"], "left_anti"), "third")
     linked = save(linked.unionByName(_confirm(third, sets, percent)), "linked")
     discard(sets, proposed, ends, first, second, third)
     return linked
@@ -357,6 +360,6 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, words: int = SHINGLE, l
     roots = components(links(nodes, docs, None, percent, words, leaf)).select(F.col("id").alias("no"), "root")
     members = save(nodes.join(roots, "no", "left").select("digest", F.coalesce("root", "no").alias("root"), F.col("first.doc_id").alias("best")), "members")
     best = members.groupBy("root").agg(F.min("best").alias("component_id"))
-    named = members.join(best, "root").select("digest", "component_id")
-    rows = own.join(named, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = members.join(best.hint("merge"), "root").select("digest", "component_id")
+    rows = own.join(named.hint("merge"), "digest", "left").select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

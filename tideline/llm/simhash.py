@@ -197,8 +197,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, radiu
     roots = components(links(fps.select("fp"), radius)).select(F.col("id").alias("fp"), "root")
     members = save(fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "best"), "members")
     best = members.groupBy("root").agg(F.min("best").alias("component_id"))
-    groups = members.select("fp", "root").join(best, "root").select("fp", "component_id")
-    return own.join(groups, "fp").select("doc_id", "fp", "component_id")
+    groups = members.select("fp", "root").join(best.hint("merge"), "root").select("fp", "component_id")
+    return own.join(groups.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_groups(docs: DataFrame, shingle: int = 1, seed: int = SEED, radius: int = 6, distinct: bool = True, similarity: float = 0.8, words: int = 5, short: int = 128) -> DataFrame:
@@ -227,18 +227,18 @@ def first_of_groups(docs: DataFrame, shingle: int = 1, seed: int = SEED, radius:
     near = components(links(full.select("fp").distinct(), radius)).select(F.col("id").alias("fp"), "root")
     scopes = full.join(near, "fp", "left").select("no", F.xxhash64(F.lit(1), F.coalesce("root", "fp")).alias("scope"))
     several = scopes.groupBy("scope").agg(F.count("*").alias("n")).where("n > 1")
-    scopes = scopes.join(several, "scope", "left_semi").select("no", "scope")
+    scopes = scopes.join(several.hint("merge"), "scope", "left_semi").select("no", "scope")
     small = full.where(F.col("n_words") < short).select("no", F.lit(0).cast("long").alias("scope"))
     linked = minhash.links(full, docs, save(scopes.unionByName(small), "scopes"), round(100 * similarity), words)
     roots = components(linked).select(F.col("id").alias("no"), "root")
 
     members = save(nodes.join(roots, "no", "left").select("digest", F.coalesce("root", "no").alias("root"), "first"), "members")
     best = members.groupBy("root").agg(F.min("first").alias("best"))
-    chosen = members.select("digest", "root").join(best, "root").select("digest", "best")
+    chosen = members.select("digest", "root").join(best.hint("merge"), "root").select("digest", "best")
     each = own.groupBy("digest", "doc_id", "text_hash").agg(F.count("*").alias("n"))
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
     gone, h = fresh(docs.columns, "gone_id", "gone_hash")
-    listed = save(each.join(chosen, "digest").select(F.col("doc_id").alias(gone), F.col("text_hash").alias(h), "n", stays.alias("stays")), "listed")
+    listed = save(each.join(chosen.hint("merge"), "digest").select(F.col("doc_id").alias(gone), F.col("text_hash").alias(h), "n", stays.alias("stays")), "listed")
     discard(own, nodes, members, linked)
     left = docs.join(listed.where("NOT stays").select(gone, h), F.col("doc_id").cast("long").eqNullSafe(F.col(gone)) & (text_hash(F.col("text")) == F.col(h)), "left_anti")
     if listed.where("stays AND n > 1").isEmpty():
