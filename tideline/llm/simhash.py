@@ -169,7 +169,8 @@ def links(fps: DataFrame, radius: int = RADIUS, leaf: int | None = None) -> Data
     spark, n_parts = fps.sparkSession, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ship(spark)
     leaf = leaf or LEAF * comb(radius + 3, radius)
-    now, masks, found = fps.select("fp", F.lit(-1).cast("long").alias("open")), [(1 << 64) - 1], []
+    dealt = lambda df, name: save(df.repartition(n_parts, "fp"), name)  # noqa: E731  Spark would deal few rows to few tasks, but a row becomes one per choice of bands
+    now, masks, found = dealt(fps.select("fp", F.lit(-1).cast("long").alias("open")), "fps"), [(1 << 64) - 1], []
     while masks:
         split = spark.createDataFrame([(_signed(m), [_signed(x) for x in finer(m, radius)]) for m in masks], "open long, to array<long>")
         # a row per mask: their number is fixed by the radius and the level
@@ -183,7 +184,7 @@ def links(fps: DataFrame, radius: int = RADIUS, leaf: int | None = None) -> Data
         found.append(save(few.select("key", "fp").repartition(n_parts, "key").sortWithinPartitions("key", "fp").mapInArrow(_compare(radius), "a long, b long"), "links"))
         if none:
             break
-        now = save(keyed.join(crowded, "key", "left_semi").select("fp", "open"), "crowd")
+        now = dealt(keyed.join(crowded, "key", "left_semi").select("fp", "open"), "crowd")
         masks = [r["open"] % (1 << 64) for r in now.select("open").distinct().collect()]  # masks of one level
         if any(m.bit_count() <= radius for m in masks):
             raise ValueError("leaf is too small")
