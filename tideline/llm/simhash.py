@@ -169,7 +169,7 @@ def links(fps: DataFrame, radius: int = RADIUS, leaf: int | None = None) -> Data
     spark, n_parts = fps.sparkSession, int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ship(spark)
     leaf = leaf or LEAF * comb(radius + 3, radius)
-    dealt = lambda df, name: save(df.repartition(n_parts, "fp"), name)  # noqa: E731  Spark would deal few rows to few tasks, but a row becomes one per choice of bands
+    dealt = lambda df, name: save(df.repartition(n_parts), name)  # noqa: E731  not by fp, which Spark would join into few tasks again: a row becomes one per choice of bands
     now, masks, found = dealt(fps.select("fp", F.lit(-1).cast("long").alias("open")), "fps"), [(1 << 64) - 1], []
     while masks:
         split = spark.createDataFrame([(_signed(m), [_signed(x) for x in finer(m, radius)]) for m in masks], "open long, to array<long>")
